@@ -379,8 +379,108 @@ FROM hw GROUP BY 1, 2 ORDER BY 1, 2
     return body
 
 
+def _q(name: str, alias: str = "q") -> str:
+    """A serving query's body as an extra CTE."""
+    return f", {alias} AS ({SERVING[name].strip()})\n"
+
+
+def _pivot(src: str, value: str) -> str:
+    return _q(src) + f"""
+SELECT day,
+       CAST(COALESCE(SUM({value}) FILTER (WHERE NOT is_bot), 0) AS BIGINT) AS human,
+       CAST(COALESCE(SUM({value}) FILTER (WHERE is_bot), 0) AS BIGINT) AS bot
+FROM q WHERE is_bot IS NOT NULL GROUP BY day ORDER BY day
+"""
+
+
+def _top_group(is_bot: bool) -> str:
+    return _q("top_contributors") + f"""
+SELECT login, is_bot, events, repos, prs,
+       row_number() OVER (PARTITION BY is_bot ORDER BY events DESC, login) AS rank
+FROM q WHERE is_bot = {str(is_bot).upper()}
+QUALIFY rank <= 10
+"""
+
+
+def _org_head(n: int) -> str:
+    return f"""
+SELECT o.login AS org_name, t.total_events, t.active_repos, {r('t.avg_score', 1)} AS avg_activity_score
+FROM (SELECT org_id, CAST(SUM(total_events) AS BIGINT) AS total_events, COUNT(DISTINCT repo_id) AS active_repos,
+             AVG(activity_score) AS avg_score
+      FROM gw WHERE org_id IS NOT NULL GROUP BY org_id ORDER BY total_events DESC, org_id LIMIT {n}) t
+LEFT JOIN orgs_latest o ON o.id = t.org_id
+ORDER BY t.total_events DESC, t.org_id
+"""
+
+
+DERIVED: dict[str, str] = {
+    "contributors_bot_human": _pivot("contributors_over_time", "contributors"),
+    "events_bot_human": _pivot("bot_vs_human", "events"),
+    "prs_bot_human": _pivot("pr_bot_breakdown", "prs"),
+    "bot_human_totals": _q("bot_vs_human") + """
+SELECT CAST(COALESCE(SUM(events) FILTER (WHERE is_bot = FALSE), 0) AS BIGINT) AS human_events,
+       CAST(COALESCE(SUM(events) FILTER (WHERE is_bot), 0) AS BIGINT) AS bot_events
+FROM q
+""",
+    "heatmap_grid": heatmap_sql(END).replace("SELECT CAST(dayofweek", ", heat AS (SELECT CAST(dayofweek", 1).rstrip().removesuffix("ORDER BY 1, 2")
+    + """)
+, grid AS (SELECT CAST(i // 24 AS SMALLINT) AS dow, CAST(i % 24 AS SMALLINT) AS hour FROM (SELECT range AS i FROM range(168)))
+, cells AS (SELECT g.dow, g.hour, CAST(COALESCE(h.events, 0) AS BIGINT) AS events FROM grid g LEFT JOIN heat h USING (dow, hour))
+, st AS (SELECT MAX(events) AS max_events, list_sort(list(events) FILTER (WHERE events > 0)) AS nz FROM cells)
+, med AS (SELECT max_events, CAST(CASE WHEN len(nz) > 0 THEN nz[len(nz) // 2 + 1] ELSE 0 END AS BIGINT) AS median_nonzero FROM st)
+SELECT c.dow, c.hour, c.events, m.max_events, m.median_nonzero, CAST(m.median_nonzero AS DOUBLE) * 0.85 AS floor
+FROM cells c, med m ORDER BY 1, 2
+""",
+    "top_humans": _top_group(False),
+    "top_bots": _top_group(True),
+    "pr_funnel": _q("pr_metrics") + """
+, t AS (SELECT CAST(COALESCE(SUM(prs_opened), 0) AS BIGINT) AS o, CAST(COALESCE(SUM(prs_merged), 0) AS BIGINT) AS m,
+               CAST(COALESCE(SUM(prs_closed_unmerged), 0) AS BIGINT) AS c FROM q)
+SELECT 'Opened' AS stage, o AS count FROM t
+UNION ALL SELECT 'Merged', m FROM t
+UNION ALL SELECT 'Closed w/o merge', c FROM t
+UNION ALL SELECT 'Still open', GREATEST(o - m - c, 0) FROM t
+""",
+    "merge_rate_pct": _q("pr_metrics") + f"SELECT day, {r('avg_merge_rate * 100.0', 1)} AS merge_rate_pct FROM q ORDER BY day\n",
+    "close_rate_pct": _q("issue_metrics") + f"SELECT day, {r('avg_close_rate * 100.0', 1)} AS close_rate_pct FROM q ORDER BY day\n",
+    "period_mean_rates": _q("pr_metrics", "p") + _q("issue_metrics", "i") + f"""
+SELECT (SELECT {s6('AVG(avg_merge_rate)')} FROM p) AS overall_merge_rate,
+       (SELECT {s6('AVG(avg_close_rate)')} FROM i) AS overall_close_rate
+""",
+    "review_totals": _q("code_review_metrics") + f"""
+, t AS (SELECT CAST(COALESCE(SUM(review_events), 0) AS BIGINT) AS total_reviews,
+               CAST(COALESCE(SUM(comment_events), 0) AS BIGINT) AS total_comments,
+               CAST(COALESCE(SUM(pr_events), 0) AS BIGINT) AS total_prs FROM q)
+SELECT *, CASE WHEN total_prs > 0 THEN {r('total_reviews / total_prs', 2)} END AS reviews_per_pr,
+          CASE WHEN total_prs > 0 THEN {r('total_comments / total_prs', 2)} END AS comments_per_pr
+FROM t
+""",
+    "review_ratios": _q("code_review_metrics") + f"""
+SELECT day, CASE WHEN pr_events > 0 THEN {r('review_events / pr_events', 2)} END AS reviews_per_pr,
+            CASE WHEN pr_events > 0 THEN {r('comment_events / pr_events', 2)} END AS comments_per_pr
+FROM q ORDER BY day
+""",
+    "score_bands": _q("daily_event_breakdown") + f"""
+SELECT day, {r('avg_activity_score', 2)} AS score,
+       CASE WHEN {r('avg_activity_score', 2)} <= 30 THEN 'low'
+            WHEN {r('avg_activity_score', 2)} <= 60 THEN 'average' ELSE 'good' END AS band
+FROM q ORDER BY day
+""",
+    "distribution_share": _q("event_type_distribution") + f"""
+SELECT label, count, {s6('count * 100.0 / SUM(count) OVER ()')} AS share_pct FROM q WHERE count > 0
+""",
+    "org_top10": _org_head(10),
+    "org_top100": _org_head(100),
+    "stars_vs_forks_labeled": SERVING["stars_vs_forks"].replace("o.login AS org_name", "COALESCE(o.login, 'n/a') AS org_name"),
+    "default_range": """
+SELECT GREATEST(MIN(day), CAST(MAX(day) - INTERVAL 30 DAY AS DATE)) AS start_day, MAX(day) AS end_day FROM gold
+""",
+}
+
+
 def all_sql() -> dict[str, str]:
     out = {name: with_prefix(body) for name, body in SERVING.items()}
     out["activity_heatmap"] = with_prefix(heatmap_sql(END))
     out["activity_heatmap_push"] = with_prefix(heatmap_sql(END, "PushEvent"))
+    out.update({name: with_prefix(body) for name, body in DERIVED.items()})
     return out

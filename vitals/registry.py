@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vitals.operators import derived as D
 from vitals.oracle import END, START
 from vitals.plans import serving as Q
 from vitals.sources.lake import DerivedLake
@@ -65,7 +66,42 @@ def serving_queries() -> dict[str, QueryFn]:
     }
 
 
+def _on(fn, then) -> QueryFn:
+    """A derived metric over a serving query's output."""
+    return lambda spark, sf_dir: then(fn(spark, sf_dir))
+
+
+def derived_queries() -> dict[str, QueryFn]:
+    sq = serving_queries()
+
+    def period_mean_rates(spark, d):
+        return D.period_mean_rates(sq["pr_metrics"](spark, d), sq["issue_metrics"](spark, d))
+
+    return {
+        "contributors_bot_human": _on(sq["contributors_over_time"], lambda df: D.pivot_bot_human(df, "contributors")),
+        "events_bot_human": _on(sq["bot_vs_human"], lambda df: D.pivot_bot_human(df, "events")),
+        "prs_bot_human": _on(sq["pr_bot_breakdown"], lambda df: D.pivot_bot_human(df, "prs")),
+        "bot_human_totals": _on(sq["bot_vs_human"], D.bot_human_totals),
+        "heatmap_grid": _on(sq["activity_heatmap"], D.heatmap_grid),
+        "top_humans": _on(sq["top_contributors"], lambda df: D.top_per_group(df, False)),
+        "top_bots": _on(sq["top_contributors"], lambda df: D.top_per_group(df, True)),
+        "pr_funnel": _on(sq["pr_metrics"], D.pr_funnel),
+        "merge_rate_pct": _on(sq["pr_metrics"], lambda df: D.rate_pct(df, "avg_merge_rate", "merge_rate_pct")),
+        "close_rate_pct": _on(sq["issue_metrics"], lambda df: D.rate_pct(df, "avg_close_rate", "close_rate_pct")),
+        "period_mean_rates": period_mean_rates,
+        "review_totals": _on(sq["code_review_metrics"], D.review_totals),
+        "review_ratios": _on(sq["code_review_metrics"], D.review_ratios),
+        "score_bands": _on(sq["daily_event_breakdown"], D.score_bands),
+        "distribution_share": _on(sq["event_type_distribution"], D.distribution_share),
+        "org_top10": _on(sq["org_summary"], lambda df: D.head(df, 10)),
+        "org_top100": _on(sq["org_summary"], lambda df: D.head(df, 100)),
+        "stars_vs_forks_labeled": _on(sq["stars_vs_forks"], D.org_label),
+        "default_range": _on(sq["date_range"], D.default_range),
+    }
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(serving_queries())
+    out.update(derived_queries())
     return out
