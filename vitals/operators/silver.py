@@ -55,6 +55,22 @@ def dedup_by_key(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, *(F.col(f"_row.{c}").alias(c) for c in others))
 
 
+def dedup_clustered(df: DataFrame, cluster: list[str], salts: int = 1, key: str = "id") -> DataFrame:
+    """One row per ``key`` where duplicates share the ``cluster`` columns (an event's
+    hour partition follows from its created_at, so copies of one event always do).
+
+    One shuffle on (cluster, pmod(hash(key), salts)); the dedup aggregate keyed on
+    (cluster, salt, key) reuses that partitioning, so the output leaves each cluster
+    value on at most ``salts`` tasks: a partitioned write then makes at most ``salts``
+    files per hour instead of one per task and hour, and a hot hour is still spread
+    over ``salts`` tasks."""
+    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(max(1, int(salts)))).alias("_salt")
+    spread = df.withColumn("_salt", salt).repartition(*cluster, "_salt")
+    others = [c for c in df.columns if c not in (key, *cluster)]
+    out = spread.groupBy(*cluster, "_salt", key).agg(F.min(F.struct(*others)).alias("_row"))
+    return out.select(*(F.col(f"_row.{c}").alias(c) if c in others else F.col(c) for c in df.columns))
+
+
 def events_projection(parsed: DataFrame) -> DataFrame:
     """Typed fact columns of the parsed frame, before null-drop and dedup."""
     return parsed.select(

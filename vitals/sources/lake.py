@@ -11,7 +11,6 @@ Two backings share one interface, so every metric query runs unchanged on either
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,15 +111,16 @@ class TableLake(Lake):
     """The written tables under ``root``: bronze/github_events, silver/{events,actors,
     repos,orgs}, gold/daily_activity (all Parquet, zstd)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, bronze_path: str | None = None):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self.bronze_path = bronze_path
 
     @cached_property
     def paths(self) -> dict[str, str]:
         r = self.root
         return {
-            "bronze": f"{r}/bronze/github_events",
+            "bronze": self.bronze_path or f"{r}/bronze/github_events",
             "events": f"{r}/silver/events",
             "actors": f"{r}/silver/actors",
             "repos": f"{r}/silver/repos",
@@ -165,8 +165,6 @@ class TableLake(Lake):
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (through the Hadoop file system, so the same
     call works for object stores)."""
-    if "://" not in path:
-        return os.path.isdir(path) and any(not n.startswith(".") for n in os.listdir(path))
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
