@@ -478,9 +478,161 @@ SELECT GREATEST(MIN(day), CAST(MAX(day) - INTERVAL 30 DAY AS DATE)) AS start_day
 }
 
 
+COPIES = """
+, copies AS (SELECT * FROM typed UNION ALL SELECT * FROM typed WHERE event_id % 50 = 0)
+"""
+
+ACTORS_FULL = """
+, actors_full AS (
+    SELECT id, login, login AS display_login, '' AS gravatar_id, 'https://api.github.com/users/' || login AS url,
+           'https://avatars.githubusercontent.com/u/' || CAST(id AS VARCHAR) || '?' AS avatar_url,
+           COALESCE(regexp_matches(login, '\\[bot\\]|bot$'), FALSE) AS is_bot, first_seen_at,
+           TIMESTAMP '2024-02-01 00:00:00' AS inserted_at
+    FROM actor_versions
+)
+, repos_full AS (
+    SELECT id, name, 'https://api.github.com/repos/' || name AS url, first_seen_at,
+           TIMESTAMP '2024-02-01 00:00:00' AS inserted_at
+    FROM repo_versions
+)
+, orgs_full AS (
+    SELECT id, login, '' AS gravatar_id, 'https://api.github.com/orgs/' || login AS url,
+           'https://avatars.githubusercontent.com/u/' || CAST(id AS VARCHAR) || '?' AS avatar_url, first_seen_at,
+           TIMESTAMP '2024-02-01 00:00:00' AS inserted_at
+    FROM org_versions
+)
+, gold_full AS (SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS updated_at FROM gold)
+, bronze_rows AS (
+    SELECT CAST(event_id AS VARCHAR) AS id, type, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at FROM copies
+)
+"""
+
+KNOWN = "('PushEvent', 'PullRequestEvent', 'IssuesEvent', 'WatchEvent', 'IssueCommentEvent', 'PullRequestReviewEvent', 'PullRequestReviewCommentEvent', 'CreateEvent', 'DeleteEvent', 'ForkEvent', 'ReleaseEvent', 'CommitCommentEvent')"
+
+# Events built without the type filter: unknown types keep a null action.
+UNFILTERED = """
+, unfiltered AS (
+    SELECT s.id, t.type, s.action, s.actor_id, s.repo_id, s.org_id, s.public, s.created_at,
+           s.year, s.month, s.day, s.hour
+    FROM (SELECT event_id AS id, type,
+                 CASE WHEN type IN ('GollumEvent', 'MemberEvent') THEN NULL END AS action_override
+          FROM typed) t
+    JOIN (
+        SELECT event_id AS id, NULL::VARCHAR AS action, CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id END AS actor_id,
+               repo_id, org_id, TRUE AS public, created_at,
+               strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month,
+               strftime(created_at, '%d') AS day, strftime(created_at, '%H') AS hour
+        FROM typed WHERE type IN ('GollumEvent', 'MemberEvent')
+        UNION ALL
+        SELECT id, action, actor_id, repo_id, org_id, public, created_at, year, month, day, hour FROM silver
+    ) s USING (id)
+    WHERE s.actor_id IS NOT NULL
+)
+"""
+
+
+def _contract_sql(table: str, contract_name: str) -> str:
+    from vitals.operators.contracts import ALL, sql_check
+
+    return COPIES + ACTORS_FULL + UNFILTERED + sql_check(table, ALL[contract_name])
+
+
+def _pending_days_sql(wm: str) -> str:
+    return f"""
+SELECT DISTINCT CAST(created_at AS DATE) AS day FROM silver
+WHERE created_at > TIMESTAMP '{wm} 00:00:00' ORDER BY day
+"""
+
+
+OPS: dict[str, str] = {
+    "filter_known_events": COPIES + f"""
+SELECT CAST(event_id AS VARCHAR) AS id, type, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at, TRUE AS public
+FROM copies WHERE type IN {KNOWN}
+""",
+    "parse_structs": """
+SELECT CAST(p.id AS VARCHAR) AS id, p.actor_id,
+       CASE WHEN p.actor_id IS NULL THEN NULL ELSE p.actor_login END AS actor_login,
+       p.repo_id, p.repo_name, p.org_id, CASE WHEN p.org_id IS NULL THEN NULL ELSE p.org_login END AS org_login,
+       p.created_at
+FROM parsed p JOIN (SELECT 1 AS c UNION ALL SELECT 2) k ON k.c = 1 OR p.id % 50 = 0
+""",
+    "parse_created_at": COPIES + """
+SELECT CAST(event_id AS VARCHAR) AS id, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at_text, created_at
+FROM copies
+""",
+    "dedup_events": """
+SELECT CAST(id AS VARCHAR) AS id, type, created_at FROM parsed
+""",
+    "extract_action": """
+SELECT CAST(id AS VARCHAR) AS id, type, action FROM parsed
+""",
+    "build_events": """
+SELECT id, type, action, actor_id, repo_id, org_id, public, created_at, year, month, day, hour FROM silver
+""",
+    "detect_bot": """
+SELECT DISTINCT login, COALESCE(regexp_matches(login, '\\[bot\\]|bot$'), FALSE) AS is_bot FROM actor_versions
+""",
+    "build_actors": ACTORS_FULL + """
+SELECT id, login, display_login, gravatar_id, url, avatar_url, is_bot, first_seen_at FROM actors_full
+""",
+    "build_repos": ACTORS_FULL + """
+SELECT id, name, url, first_seen_at FROM repos_full
+""",
+    "build_orgs": ACTORS_FULL + """
+SELECT id, login, gravatar_id, url, avatar_url, first_seen_at FROM orgs_full
+""",
+    "filter_scd1": """
+, a_old AS (SELECT DISTINCT actor_id AS id, actor_login AS login FROM parsed
+            WHERE actor_id IS NOT NULL AND date_trunc('hour', created_at) < TIMESTAMP '2024-01-16 00:00:00')
+, a_new AS (SELECT DISTINCT actor_id AS id, actor_login AS login FROM parsed
+            WHERE actor_id IS NOT NULL AND date_trunc('hour', created_at) >= TIMESTAMP '2024-01-16 00:00:00')
+SELECT n.id, n.login, COALESCE(regexp_matches(n.login, '\\[bot\\]|bot$'), FALSE) AS is_bot
+FROM a_new n ANTI JOIN a_old o ON o.id = n.id AND o.login = n.login
+""",
+    "latest_actors": "SELECT id, login, is_bot FROM actors_latest",
+    "latest_repos": "SELECT id, name FROM repos_latest",
+    "latest_orgs": "SELECT id, login FROM orgs_latest",
+    "contract_bronze": _contract_sql("bronze_rows", "bronze"),
+    "contract_events": _contract_sql("silver", "events"),
+    "contract_actors": _contract_sql("actors_full", "actors"),
+    "contract_repos": _contract_sql("repos_full", "repos"),
+    "contract_orgs": _contract_sql("orgs_full", "orgs"),
+    "contract_gold": _contract_sql("gold_full", "gold"),
+    "contract_events_unfiltered": _contract_sql("unfiltered", "events"),
+    "violation_sample": UNFILTERED + f"""
+SELECT id, type, action,
+       CAST((type NOT IN {KNOWN})::INT + (action IS NULL)::INT AS BIGINT) AS n_failed
+FROM unfiltered
+WHERE type NOT IN {KNOWN} OR action IS NULL
+ORDER BY id LIMIT 20
+""",
+    "pending_partitions": """
+SELECT DISTINCT strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month,
+       strftime(created_at, '%d') AS day, strftime(created_at, '%H') AS hour
+FROM typed WHERE date_trunc('hour', created_at) >= TIMESTAMP '2024-01-20 00:00:00'
+ORDER BY 1, 2, 3, 4
+""",
+    "gold_watermark": """
+SELECT COALESCE(MAX(day), DATE '2014-12-31') AS watermark FROM gold WHERE day <= DATE '2024-01-20'
+""",
+    "pending_days": _pending_days_sql("2024-01-20"),
+    "batches": f"""
+, pd AS ({_pending_days_sql("2024-01-20").strip()})
+SELECT batch, MIN(day) AS first_day, MAX(day) AS last_day, COUNT(*) AS n_days
+FROM (SELECT day, (row_number() OVER (ORDER BY day) - 1) // 2 AS batch FROM pd)
+GROUP BY batch ORDER BY batch
+""",
+    "read_events_for_days": """
+SELECT type, action, actor_id, repo_id, org_id, created_at FROM silver
+WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-20' AND DATE '2024-01-21'
+""",
+}
+
+
 def all_sql() -> dict[str, str]:
     out = {name: with_prefix(body) for name, body in SERVING.items()}
     out["activity_heatmap"] = with_prefix(heatmap_sql(END))
     out["activity_heatmap_push"] = with_prefix(heatmap_sql(END, "PushEvent"))
     out.update({name: with_prefix(body) for name, body in DERIVED.items()})
+    out.update({name: with_prefix(body) for name, body in OPS.items()})
     return out

@@ -105,3 +105,165 @@ def queries() -> dict[str, QueryFn]:
     out.update(serving_queries())
     out.update(derived_queries())
     return out
+
+
+# ---------------------------------------------------------------------------
+# Silver operators, dimensions, contracts, incremental planning (lazy)
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from vitals.functions.columns import detect_bot  # noqa: E402
+from vitals.operators import contracts as C  # noqa: E402
+from vitals.operators import gold as G  # noqa: E402
+from vitals.operators import silver as SV  # noqa: E402
+from vitals.plans import incremental as I  # noqa: E402
+
+# Fixed split used by the incremental operators: the lake "holds" data up to here.
+PROCESSED_UNTIL = "2024-01-20"
+# First day of the second ingest batch for the version anti-join.
+SECOND_BATCH_FROM = "2024-01-16"
+
+
+def _parsed_all_types(lake: DerivedLake):
+    """Parsed frame without the type filter (for the contract-violation operators)."""
+    return SV.with_action(SV.parse_structs(lake.bronze().drop("source_file", "ingestion_timestamp")))
+
+
+def _unfiltered_events(lake: DerivedLake):
+    return SV.build_events(_parsed_all_types(lake))
+
+
+def _bronze_before(lake: DerivedLake, ts: str, before: bool):
+    fh = F.to_timestamp_ntz(F.concat_ws(" ", F.concat_ws("-", "year", "month", "day"), F.col("hour")), F.lit("yyyy-MM-dd HH"))
+    cond = fh < F.lit(f"{ts} 00:00:00").cast("timestamp_ntz")
+    return lake.bronze().where(cond if before else ~cond)
+
+
+def silver_queries() -> dict[str, QueryFn]:
+    def L(spark, d):
+        return _lake(spark, d)
+
+    def filter_known(spark, d):
+        return SV.filter_known_events(L(spark, d).bronze()).select("id", "type", "created_at", "public")
+
+    def parse_structs(spark, d):
+        p = SV.parse_structs(SV.filter_known_events(L(spark, d).bronze()))
+        return p.select(
+            "id",
+            F.col("actor_struct.id").alias("actor_id"),
+            F.col("actor_struct.login").alias("actor_login"),
+            F.col("repo_struct.id").alias("repo_id"),
+            F.col("repo_struct.name").alias("repo_name"),
+            F.col("org_struct.id").alias("org_id"),
+            F.col("org_struct.login").alias("org_login"),
+            "created_at",
+        )
+
+    def parse_created_at(spark, d):
+        from vitals.functions.columns import parse_created_at as pc
+
+        b = L(spark, d).bronze()
+        return b.select("id", F.col("created_at").alias("created_at_text"), pc("created_at").alias("created_at"))
+
+    def dedup_events(spark, d):
+        p = SV.parse_structs(SV.filter_known_events(L(spark, d).bronze())).select("id", "type", "created_at")
+        return SV.dedup_by_key(p, "id")
+
+    def extract_action(spark, d):
+        p = SV.with_action(SV.filter_known_events(L(spark, d).bronze())).select("id", "type", "action")
+        return SV.dedup_by_key(p, "id")
+
+    def dims(name, cols):
+        def q(spark, d):
+            return getattr(L(spark, d), name)().select(*cols)
+
+        return q
+
+    def detect_bots(spark, d):
+        a = L(spark, d).actors().select("login").distinct()
+        return a.select("login", F.coalesce(detect_bot("login"), F.lit(False)).alias("is_bot"))
+
+    def filter_scd1(spark, d):
+        lake = L(spark, d)
+        old = SV.build_actors(SV.parse_bronze(_bronze_before(lake, SECOND_BATCH_FROM, True)), lake.now)
+        new = SV.build_actors(SV.parse_bronze(_bronze_before(lake, SECOND_BATCH_FROM, False)), lake.now)
+        return SV.filter_new_versions(new, old, "id", "login").select("id", "login", "is_bot")
+
+    return {
+        "filter_known_events": filter_known,
+        "parse_structs": parse_structs,
+        "parse_created_at": parse_created_at,
+        "dedup_events": dedup_events,
+        "extract_action": extract_action,
+        "build_events": lambda spark, d: L(spark, d).events(),
+        "detect_bot": detect_bots,
+        "build_actors": dims("actors", ["id", "login", "display_login", "gravatar_id", "url", "avatar_url", "is_bot", "first_seen_at"]),
+        "build_repos": dims("repos", ["id", "name", "url", "first_seen_at"]),
+        "build_orgs": dims("orgs", ["id", "login", "gravatar_id", "url", "avatar_url", "first_seen_at"]),
+        "filter_scd1": filter_scd1,
+        "latest_actors": lambda spark, d: L(spark, d).latest_actors(),
+        "latest_repos": lambda spark, d: L(spark, d).latest_repos(),
+        "latest_orgs": lambda spark, d: L(spark, d).latest_orgs(),
+    }
+
+
+def contract_queries() -> dict[str, QueryFn]:
+    def on(table, contract):
+        return lambda spark, d: C.check(getattr(_lake(spark, d), table)(), contract)
+
+    def unfiltered(spark, d):
+        return C.check(_unfiltered_events(_lake(spark, d)), C.EVENTS)
+
+    def sample(spark, d):
+        return C.violations(_unfiltered_events(_lake(spark, d)), C.EVENTS, "id", 20).select("id", "type", "action", "n_failed")
+
+    return {
+        "contract_bronze": on("bronze", C.BRONZE),
+        "contract_events": on("events", C.EVENTS),
+        "contract_actors": on("actors", C.ACTORS),
+        "contract_repos": on("repos", C.REPOS),
+        "contract_orgs": on("orgs", C.ORGS),
+        "contract_gold": on("gold", C.GOLD),
+        "contract_events_unfiltered": unfiltered,
+        "violation_sample": sample,
+    }
+
+
+def incremental_queries() -> dict[str, QueryFn]:
+    def pending_partitions(spark, d):
+        lake = _lake(spark, d)
+        ledger = I.bronze_partitions(_bronze_before(lake, PROCESSED_UNTIL, True))
+        return I.pending_partitions(lake.bronze(), ledger)
+
+    def watermark(spark, d):
+        lake = _lake(spark, d)
+        return I.gold_watermark(spark, lake.gold().where(F.col("day") <= F.lit(PROCESSED_UNTIL).cast("date")))
+
+    def pending_days(spark, d):
+        return I.pending_days(_lake(spark, d).events(), PROCESSED_UNTIL)
+
+    def batches(spark, d):
+        return I.batches(pending_days(spark, d), 2)
+
+    def read_days(spark, d):
+        return G.events_for_days(_lake(spark, d).events(), PROCESSED_UNTIL, "2024-01-21")
+
+    return {
+        "pending_partitions": pending_partitions,
+        "gold_watermark": watermark,
+        "pending_days": pending_days,
+        "batches": batches,
+        "read_events_for_days": read_days,
+    }
+
+
+_base_queries = queries
+
+
+def queries() -> dict[str, QueryFn]:  # noqa: F811
+    out = _base_queries()
+    out.update(silver_queries())
+    out.update(contract_queries())
+    out.update(incremental_queries())
+    return out
