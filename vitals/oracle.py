@@ -629,10 +629,82 @@ WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-20' AND DATE '2024-01-21'
 }
 
 
+PAYLOAD_ACTION = """
+CASE type
+    WHEN 'PullRequestEvent' THEN ['opened', 'closed', 'merged', 'reopened'][j % 4 + 1]
+    WHEN 'IssuesEvent' THEN ['opened', 'closed', 'labeled'][j % 3 + 1]
+    WHEN 'WatchEvent' THEN 'started'
+    WHEN 'IssueCommentEvent' THEN 'created'
+    WHEN 'PullRequestReviewEvent' THEN 'created'
+    WHEN 'PullRequestReviewCommentEvent' THEN 'created'
+    WHEN 'ForkEvent' THEN 'forked'
+    WHEN 'ReleaseEvent' THEN 'published'
+END"""
+
+ARCHIVE_FILE = "strftime(created_at, '%Y-%m-%d') || '-' || CAST(hour(created_at) AS VARCHAR) || '.json.gz'"
+LOGIN = """CASE WHEN event_id % 97 = 0 THEN NULL ELSE
+    CASE WHEN user_id % 7 = 0 AND created_at >= TIMESTAMP '2024-01-16 00:00:00' THEN 'r-' ELSE '' END
+    || 'user' || CAST(user_id AS VARCHAR)
+    || CASE user_id % 10 WHEN 0 THEN '[bot]' WHEN 1 THEN 'bot' ELSE '' END END"""
+
+_HOURS = """
+, bounds AS (SELECT date_trunc('day', MAX(ts)) - INTERVAL 30 DAY AS lo, date_trunc('hour', MAX(ts)) AS hi FROM events)
+, hrs AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS TIMESTAMP) AS hour_ts FROM bounds)
+"""
+
+WRITES: dict[str, str] = {
+    "read_raw_events": COPIES + f"""
+SELECT CAST(event_id AS VARCHAR) AS id, type, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at, TRUE AS public,
+       {LOGIN} AS actor_login, {PAYLOAD_ACTION} AS payload_action, {ARCHIVE_FILE} AS archive_file
+FROM copies
+""",
+    "land_bronze": COPIES + f"""
+SELECT CAST(event_id AS VARCHAR) AS id, type, strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month,
+       strftime(created_at, '%d') AS day, strftime(created_at, '%H') AS hour, {ARCHIVE_FILE} AS archive_file
+FROM copies
+""",
+    "hours_to_ingest": _HOURS + "SELECT hour_ts FROM hrs",
+    "skip_existing_hours": _HOURS + """
+, avail AS (SELECT DISTINCT date_trunc('hour', created_at) AS h FROM typed)
+SELECT hour_ts,
+       CASE WHEN hour_ts < TIMESTAMP '2024-01-16 00:00:00' AND hour_ts IN (SELECT h FROM avail) THEN 'skipped'
+            WHEN hour_ts NOT IN (SELECT h FROM avail) THEN 'skipped' ELSE 'success' END AS status,
+       CASE WHEN hour_ts < TIMESTAMP '2024-01-16 00:00:00' AND hour_ts IN (SELECT h FROM avail) THEN 'already landed'
+            WHEN hour_ts NOT IN (SELECT h FROM avail) THEN 'source missing' ELSE 'landed' END AS reason
+FROM hrs
+""",
+    "read_bronze_partitions": COPIES + """
+SELECT CAST(event_id AS VARCHAR) AS id, type, strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month,
+       strftime(created_at, '%d') AS day, strftime(created_at, '%H') AS hour
+FROM copies WHERE date_trunc('hour', created_at) >= TIMESTAMP '2024-01-20 00:00:00'
+""",
+}
+_EVENTS_ALL = "SELECT id, type, action, actor_id, repo_id, org_id, public, created_at, year, month, day, hour FROM silver"
+_GOLD_NO_CLOCK = f"SELECT {GOLD_COLUMNS} FROM gold"
+WRITES["append_fact"] = _EVENTS_ALL
+WRITES["transform_batch"] = _EVENTS_ALL
+WRITES["stream_silver"] = _EVENTS_ALL
+WRITES["silver_to_gold"] = _GOLD_NO_CLOCK
+WRITES["replace_days"] = _GOLD_NO_CLOCK
+WRITES["stream_gold"] = _GOLD_NO_CLOCK
+WRITES["export_gold_window"] = _GOLD_NO_CLOCK + " WHERE day BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'"
+WRITES["export_events_window"] = """
+SELECT id, type, action, actor_id, repo_id, org_id, public, created_at, CAST(created_at AS DATE) AS date FROM silver
+WHERE created_at BETWEEN TIMESTAMP '2024-01-23 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'
+"""
+WRITES["csv_download"] = (
+    _org_head(100)
+    .replace("o.login AS org_name", 'o.login AS "Organization"')
+    .replace("t.total_events, t.active_repos,", 't.total_events AS "Total events", t.active_repos AS "Active repos",')
+    .replace("AS avg_activity_score", 'AS "Avg activity score"')
+)
+
+
 def all_sql() -> dict[str, str]:
     out = {name: with_prefix(body) for name, body in SERVING.items()}
     out["activity_heatmap"] = with_prefix(heatmap_sql(END))
     out["activity_heatmap_push"] = with_prefix(heatmap_sql(END, "PushEvent"))
     out.update({name: with_prefix(body) for name, body in DERIVED.items()})
     out.update({name: with_prefix(body) for name, body in OPS.items()})
+    out.update({name: with_prefix(body) for name, body in WRITES.items()})
     return out

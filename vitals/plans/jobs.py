@@ -66,19 +66,40 @@ def silver_batch(
     pending = I.pending_partitions(bronze, ledger)
     if max_partitions is not None:
         pending = pending.limit(max_partitions)
-    pending = TB.stage(spark, pending, "pending")
-    n_pending = pending.count()
-    if n_pending == 0:
-        return BatchReport(EMPTY)
+    # One row per pending hour: bounded by the hours in the backlog.
+    pending = pending.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_pending = pending.count()
+        if n_pending == 0:
+            return BatchReport(EMPTY)
+        report = silver_from_bronze(lake, read_bronze_partitions(bronze, pending), now, on_violation, n_pending)
+        if report.status == SUCCESS:
+            TB.append(pending.withColumn("processed_at", now), lake.paths["ledger"])
+        report.partitions = n_pending
+        return report
+    finally:
+        pending.unpersist()
 
-    parsed = SV.parse_bronze(read_bronze_partitions(bronze, pending)).persist(StorageLevel.MEMORY_AND_DISK)
+
+def silver_from_bronze(
+    lake: TableLake,
+    bronze_rows: DataFrame,
+    now: Column,
+    on_violation: str = "fail",
+    n_hours: int = 1,
+) -> BatchReport:
+    """Bronze rows (a batch or a stream micro-batch) → staged, checked, published
+    silver. Duplicates across batches are removed exactly by merging with the
+    existing rows of the touched hour partitions (no streaming state needed)."""
+    spark = lake.spark
+    parsed = SV.parse_bronze(bronze_rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = TB.touched_partitions(SV.events_projection(parsed), EVENT_PARTITIONS)
+        facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
+        touched = TB.touched_partitions(facts, EVENT_PARTITIONS)
         existing = TB.existing_in(lake.events(), touched, EVENT_PARTITIONS)
         # Files per hour stay bounded: spread each hour over shuffle_width / hours tasks.
         width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salts = max(1, width // max(1, n_pending))
-        facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
+        salts = max(1, width // max(1, n_hours))
         merged = SV.dedup_clustered(existing.unionByName(facts), list(EVENT_PARTITIONS), salts)
         staged = {"events": TB.stage(spark, merged, "events", EVENT_PARTITIONS)}
         dims = {
@@ -95,12 +116,11 @@ def silver_batch(
     contracts = {"events": C.EVENTS, "actors": C.ACTORS, "repos": C.REPOS, "orgs": C.ORGS}
     found = [v for name, df in staged.items() for v in _violations(name, C.check(df, contracts[name]))]
     if found and on_violation == "fail":
-        return BatchReport(FAILED, n_pending, violations=found)
+        return BatchReport(FAILED, violations=found)
     if found:  # quarantine: failing rows aside, the rest goes on
         for name, df in staged.items():
-            rules = C.rule_table(df, contracts[name])
             ok = F.lit(True)
-            for _, _, expr in rules:
+            for _, _, expr in C.rule_table(df, contracts[name]):
                 ok = ok & expr
             TB.write_parquet(df.where(~ok), f"{lake.root}/_rejects/{name}", mode="append")
             staged[name] = df.where(ok)
@@ -108,9 +128,8 @@ def silver_batch(
     TB.replace_partitions(staged["events"], lake.paths["events"], EVENT_PARTITIONS)
     for name in ("actors", "repos", "orgs"):
         TB.append(staged[name], lake.paths[name])
-    TB.append(pending.withColumn("processed_at", now), lake.paths["ledger"])
     rows = {name: df.count() for name, df in staged.items()}
-    return BatchReport(SUCCESS, n_pending, rows, found)
+    return BatchReport(SUCCESS, rows=rows, violations=found)
 
 
 def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str] | None = None) -> BatchReport:

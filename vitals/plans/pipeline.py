@@ -64,3 +64,13 @@ def build_lake(spark: SparkSession, sf_dir: str, now: str = DEFAULT_NOW) -> Tabl
     if rep.status != J.SUCCESS:
         raise RuntimeError(f"gold batch {rep.status}: {rep.violations}")
     return lake
+
+
+def stream_lake(spark: SparkSession, sf_dir: str, now: str = DEFAULT_NOW, max_files: int | None = None) -> TableLake:
+    """Same result as :func:`build_lake`, driven by Structured Streaming."""
+    from vitals.streaming.stream import stream_gold, stream_silver
+
+    lake = fresh_lake(spark, sf_dir)
+    stream_silver(lake, now_col(now), max_files=max_files)
+    stream_gold(lake, now_col(now))
+    return lake

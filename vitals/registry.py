@@ -267,3 +267,143 @@ def queries() -> dict[str, QueryFn]:  # noqa: F811
     out.update(contract_queries())
     out.update(incremental_queries())
     return out
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks and write jobs (each call writes under a fresh folder of the shared
+# checkpoint directory and returns the re-read result)
+# ---------------------------------------------------------------------------
+
+from vitals.plans import jobs as J  # noqa: E402
+from vitals.plans import pipeline as P  # noqa: E402
+from vitals.session import scratch_path  # noqa: E402
+from vitals.sources import bronze as B  # noqa: E402
+from vitals.sources import export as X  # noqa: E402
+from vitals.sources import tables as TB  # noqa: E402
+from vitals.sources.lake import TableLake  # noqa: E402
+
+EXPORT_DAYS = 7
+LANDED_BEFORE = "2024-01-16"
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> TableLake:
+    return TableLake(spark, scratch_path(spark, "ro"), bronze_path=P.landed_bronze(spark, sf_dir))
+
+
+def _max_ts_plus_hour(spark: SparkSession, sf_dir: str):
+    """Injected "now": one hour after the newest event (one scalar)."""
+    mx = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts").alias("m")).first()["m"]
+    return F.lit(mx).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
+
+
+def write_queries() -> dict[str, QueryFn]:
+    def read_raw(spark, d):
+        raw = B.read_raw_events(spark, P.write_archive(spark, d))
+        return raw.select(
+            "id",
+            "type",
+            "created_at",
+            "public",
+            F.get_json_object("actor", "$.login").alias("actor_login"),
+            F.get_json_object("payload", "$.action").alias("payload_action"),
+            F.regexp_extract("source_file", B.FILE_HOUR_REGEX, 0).alias("archive_file"),
+        )
+
+    def land(spark, d):
+        lake = _landed(spark, d)
+        return lake.bronze().select("id", "type", "year", "month", "day", "hour", F.regexp_extract("source_file", B.FILE_HOUR_REGEX, 0).alias("archive_file"))
+
+    def hours(spark, d):
+        return B.hours_to_ingest(spark, _max_ts_plus_hour(spark, d), 30)
+
+    def skip_existing(spark, d):
+        lake = _landed(spark, d)
+        parts = I.bronze_partitions(lake.bronze())
+        fh = F.to_timestamp_ntz(F.concat_ws(" ", F.concat_ws("-", "year", "month", "day"), "hour"), F.lit("yyyy-MM-dd HH"))
+        landed = parts.where(fh < F.lit(f"{LANDED_BEFORE} 00:00:00").cast("timestamp_ntz"))
+        return B.skip_existing_hours(B.hours_to_ingest(spark, _max_ts_plus_hour(spark, d), 30), landed, parts)
+
+    def read_partitions(spark, d):
+        lake = _landed(spark, d)
+        ledger = I.bronze_partitions(_bronze_before(_lake(spark, d), PROCESSED_UNTIL, True))
+        pending = I.pending_partitions(lake.bronze(), ledger)
+        return B.read_bronze_partitions(lake.bronze(), pending).select("id", "type", "year", "month", "day", "hour")
+
+    def append_fact(spark, d):
+        events = _lake(spark, d).events()
+        path = scratch_path(spark, "append")
+        first = F.col("created_at") < F.lit(f"{LANDED_BEFORE} 00:00:00").cast("timestamp_ntz")
+        TB.append(events.where(first), path, ["year", "month", "day", "hour"])
+        TB.append(events.where(~first), path, ["year", "month", "day", "hour"])
+        from vitals.functions.schemas import SILVER_EVENTS_SCHEMA
+
+        return spark.read.schema(SILVER_EVENTS_SCHEMA).option("basePath", path).parquet(path)
+
+    def transform_batch(spark, d):
+        lake = P.fresh_lake(spark, d)
+        rep = J.silver_batch(lake, P.now_col())
+        if rep.status != J.SUCCESS:
+            raise RuntimeError(str(rep))
+        return lake.events()
+
+    def silver_to_gold(spark, d):
+        return P.build_lake(spark, d).gold().drop("updated_at")
+
+    def replace_days(spark, d):
+        lake = P.build_lake(spark, d)
+        rep = J.gold_batch(lake, P.now_col(), days=(PROCESSED_UNTIL, "2024-01-21"))
+        if rep.status != J.SUCCESS:
+            raise RuntimeError(str(rep))
+        return lake.gold().drop("updated_at")
+
+    def export_gold(spark, d):
+        lake = _lake(spark, d)
+        out = scratch_path(spark, "extract")
+        paths = X.write_extract(lake, out, EXPORT_DAYS)
+        from vitals.sources.lake import GOLD_SCHEMA
+
+        return spark.read.schema(GOLD_SCHEMA).parquet(paths["gold"]).drop("updated_at")
+
+    def export_events(spark, d):
+        lake = _lake(spark, d)
+        out = scratch_path(spark, "extract")
+        paths = X.write_extract(lake, out, EXPORT_DAYS)
+        return spark.read.parquet(paths["events"]).withColumn("date", F.col("date").cast("date"))
+
+    def csv_download(spark, d):
+        path = scratch_path(spark, "orgs-csv")
+        X.write_org_csv(Q.org_summary(_lake(spark, d), START, END), path, 100)
+        schema = "`Organization` STRING, `Total events` BIGINT, `Active repos` BIGINT, `Avg activity score` DOUBLE"
+        return spark.read.schema(schema).option("header", True).csv(path)
+
+    def stream_silver(spark, d):
+        return P.stream_lake(spark, d, max_files=200).events()
+
+    def stream_gold(spark, d):
+        return P.stream_lake(spark, d, max_files=200).gold().drop("updated_at")
+
+    return {
+        "read_raw_events": read_raw,
+        "land_bronze": land,
+        "hours_to_ingest": hours,
+        "skip_existing_hours": skip_existing,
+        "read_bronze_partitions": read_partitions,
+        "append_fact": append_fact,
+        "transform_batch": transform_batch,
+        "silver_to_gold": silver_to_gold,
+        "replace_days": replace_days,
+        "export_gold_window": export_gold,
+        "export_events_window": export_events,
+        "csv_download": csv_download,
+        "stream_silver": stream_silver,
+        "stream_gold": stream_gold,
+    }
+
+
+_lazy_queries = queries
+
+
+def queries() -> dict[str, QueryFn]:  # noqa: F811
+    out = _lazy_queries()
+    out.update(write_queries())
+    return out
