@@ -55,22 +55,39 @@ def dedup_by_key(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, *(F.col(f"_row.{c}").alias(c) for c in others))
 
 
-def dedup_clustered(df: DataFrame, cluster: list[str], salts: int = 1, key: str = "id") -> DataFrame:
+def dedup_clustered(df: DataFrame, cluster: list[str], buckets: DataFrame, n_partitions: int, key: str = "id") -> DataFrame:
     """One row per ``key`` where duplicates share the ``cluster`` columns (an event's
     hour partition follows from its created_at, so copies of one event always do).
 
-    One shuffle on (cluster, pmod(hash(key), salts)); the dedup aggregate keyed on
-    (cluster, salt, key) reuses that partitioning, so the output leaves each cluster
-    value on at most ``salts`` tasks: a partitioned write then makes at most ``salts``
-    files per hour instead of one per task and hour, and a hot hour is still spread
-    over ``salts`` tasks."""
-    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(max(1, int(salts)))).alias("_salt")
-    spread = df.withColumn("_salt", salt).repartition(*cluster, "_salt")
+    ``buckets`` has one row per cluster value with its number of salt buckets (sized
+    from the row count, so a hot hour gets many buckets and a quiet hour one). A single
+    shuffle on (cluster, salt) into ``n_partitions`` feeds the dedup aggregate keyed on
+    (cluster, salt, key) without another exchange, and leaves every hour on only as many
+    tasks as it has buckets: a partitioned write then makes about one file per bucket.
+    ``buckets`` is bounded by the number of hours in the batch, so it is broadcast."""
+    n_salt = F.coalesce(F.col("_buckets"), F.lit(1))
+    salted = df.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(F.col(key)), n_salt)
+    )
+    spread = salted.drop("_buckets").repartition(max(1, int(n_partitions)), *cluster, "_salt")
     others = [c for c in df.columns if c not in (key, *cluster)]
     out = spread.groupBy(*cluster, "_salt", key).agg(F.min(F.struct(*others)).alias("_row"))
     return out.select(*(F.col(f"_row.{c}").alias(c) if c in others else F.col(c) for c in df.columns))
 
 
+def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tuple[DataFrame, int]:
+    """Buckets per cluster value = ceil(rows / rows_per_file), and their total.
+
+    One map-side-combined count per hour; the result has one row per hour of the
+    batch (a bounded, small frame), so it comes back to the driver."""
+    counts = facts.groupBy(*cluster).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.select(*cluster, F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(int(rows_per_file)))).cast("long").alias("buckets")).collect()
+    spark = facts.sparkSession
+    schema = ", ".join(f"`{c}` string" for c in cluster) + ", buckets long"
+    table = spark.createDataFrame([tuple(r) for r in rows], schema)
+    return table, int(sum(r["buckets"] for r in rows))
+
+
 def events_projection(parsed: DataFrame) -> DataFrame:
     """Typed fact columns of the parsed frame, before null-drop and dedup."""
     return parsed.select(

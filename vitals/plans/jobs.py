@@ -21,6 +21,7 @@ Gold batch
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -38,6 +39,9 @@ from vitals.sources.lake import TableLake
 
 SUCCESS, FAILED, EMPTY = "success", "failed", "empty"
 
+# Target rows per silver file (~100+ MB of narrow fact rows in zstd Parquet).
+ROWS_PER_FILE = 2_000_000
+
 
 @dataclass
 class BatchReport:
@@ -93,15 +97,25 @@ def silver_from_bronze(
     existing rows of the touched hour partitions (no streaming state needed)."""
     spark = lake.spark
     parsed = SV.parse_bronze(bronze_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    cached: list[DataFrame] = [parsed]
     try:
         facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
-        touched = TB.touched_partitions(facts, EVENT_PARTITIONS)
-        existing = TB.existing_in(lake.events(), touched, EVENT_PARTITIONS)
-        # Files per hour stay bounded: spread each hour over shuffle_width / hours tasks.
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salts = max(1, width // max(1, n_hours))
-        merged = SV.dedup_clustered(existing.unionByName(facts), list(EVENT_PARTITIONS), salts)
-        staged = {"events": TB.stage(spark, merged, "events", EVENT_PARTITIONS)}
+        buckets, n_buckets = SV.salt_buckets(facts, list(EVENT_PARTITIONS), ROWS_PER_FILE)
+        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        n_parts = max(1, min(n_buckets, 4 * width))
+        overlap = lake.has("events") and _touches_existing(lake.events(), buckets)
+        if overlap:
+            # Late rows for hours already in silver: merge with those partitions only,
+            # stage (the plan reads the table it will overwrite), then publish.
+            existing = TB.existing_in(lake.events(), buckets.select(*EVENT_PARTITIONS), EVENT_PARTITIONS)
+            merged = SV.dedup_clustered(existing.unionByName(facts), list(EVENT_PARTITIONS), buckets, n_parts)
+            events = TB.stage(spark, merged, "events", EVENT_PARTITIONS)
+        else:
+            # Only new hours: the plan never reads the target, so check and publish the
+            # same persisted frame (a lost block is recomputed; the dedup is deterministic).
+            events = SV.dedup_clustered(facts, list(EVENT_PARTITIONS), buckets, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(events)
+        staged = {"events": events}
         dims = {
             "actors": (SV.build_actors(parsed, now), "login"),
             "repos": (SV.build_repos(parsed, now), "name"),
@@ -110,9 +124,20 @@ def silver_from_bronze(
         for name, (frame, track) in dims.items():
             held = getattr(lake, name)() if lake.has(name) else None
             staged[name] = TB.stage(spark, SV.filter_new_versions(frame, held, "id", track), name)
+        return _check_and_publish(lake, staged, on_violation)
     finally:
-        parsed.unpersist()
+        for df in cached:
+            df.unpersist()
+
+
+def _touches_existing(table: DataFrame, buckets: DataFrame) -> bool:
+    """Whether any hour of the batch already has silver rows (partition listing plus a
+    one-row probe of the touched folders only)."""
+    keys = list(EVENT_PARTITIONS)
+    return bool(TB.existing_in(table.select(*keys), buckets.select(*keys), keys).limit(1).count())
 
+
+def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violation: str) -> BatchReport:
     contracts = {"events": C.EVENTS, "actors": C.ACTORS, "repos": C.REPOS, "orgs": C.ORGS}
     found = [v for name, df in staged.items() for v in _violations(name, C.check(df, contracts[name]))]
     if found and on_violation == "fail":
@@ -125,10 +150,10 @@ def silver_from_bronze(
             TB.write_parquet(df.where(~ok), f"{lake.root}/_rejects/{name}", mode="append")
             staged[name] = df.where(ok)
 
+    rows = {name: df.count() for name, df in staged.items()}
     TB.replace_partitions(staged["events"], lake.paths["events"], EVENT_PARTITIONS)
     for name in ("actors", "repos", "orgs"):
         TB.append(staged[name], lake.paths[name])
-    rows = {name: df.count() for name, df in staged.items()}
     return BatchReport(SUCCESS, rows=rows, violations=found)
 
 
@@ -143,14 +168,20 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
         if days is None:
             return BatchReport(EMPTY)
     first, last = days
+    n_days = (dt.date.fromisoformat(last) - dt.date.fromisoformat(first)).days + 1
     daily = G.daily_activity(G.events_for_days(events, first, last), now)
-    # Gold is small next to events: one extra shuffle by day keeps one file per day.
-    staged = TB.stage(spark, daily.repartition("day"), "gold", GOLD_PARTITIONS)
-    found = _violations("gold", C.check(staged, C.GOLD))
-    if found:
-        return BatchReport(FAILED, violations=found)
-    TB.replace_partitions(staged, lake.paths["gold"], GOLD_PARTITIONS)
-    return BatchReport(SUCCESS, rows={"gold": staged.count()})
+    # The plan reads silver only, so no staging copy is needed. Gold is small next to
+    # events: one shuffle by day gives one task (and file) per day.
+    daily = daily.repartition(max(1, n_days), "day").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = _violations("gold", C.check(daily, C.GOLD))
+        if found:
+            return BatchReport(FAILED, violations=found)
+        n = daily.count()
+        TB.replace_partitions(daily, lake.paths["gold"], GOLD_PARTITIONS)
+        return BatchReport(SUCCESS, rows={"gold": n})
+    finally:
+        daily.unpersist()
 
 
 def run_all(spark: SparkSession, root: str, now: Column | None = None) -> dict[str, BatchReport]:

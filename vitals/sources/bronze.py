@@ -84,7 +84,7 @@ def write_archive_files(raw: DataFrame, root: str) -> None:
         F.format_string("%s-%d.json.gz", F.date_format("file_hour", "yyyy-MM-dd"), F.hour("file_hour")).alias("archive"),
     )
     # One file per archive hour, like the real archive.
-    out.repartition("archive").write.mode("overwrite").option("compression", "gzip").partitionBy("archive").text(root)
+    out.repartition(64, "archive").write.mode("overwrite").option("compression", "gzip").partitionBy("archive").text(root)
 
 
 def _json_value(c: str) -> Column:
