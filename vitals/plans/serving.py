@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitals.functions.columns import round_even, stable
+from vitals.operators import silver as SV
 from vitals.sources.lake import Lake
 
 
@@ -61,11 +62,19 @@ def _sum(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast("long")
 
 
+def _latest_for(dim: DataFrame, track: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """Latest version of only the dimension rows whose id is in ``ids`` (≤ k rows, so
+    broadcast): the dimension is filtered by a semi join before its per-id
+    aggregation, so the work is proportional to k, not to the dimension's size."""
+    wanted = F.broadcast(ids.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()))
+    return SV.latest_dim(dim.join(wanted, "id", "left_semi"), track, ["id", track])
+
+
 def _topk_join_name(ranked: DataFrame, lake: Lake, order: list[Column], limit: int, select: list[Column]) -> DataFrame:
     """Top ``limit`` aggregated repo rows, then the latest repo name (left join)."""
     top = ranked.orderBy(*order, F.col("repo_id").asc()).limit(limit)
-    names = lake.latest_repos().withColumnRenamed("id", "repo_id")
-    return top.join(names, "repo_id", "left").select(*select)
+    names = _latest_for(lake.repos(), "name", top, "repo_id").withColumnRenamed("id", "repo_id")
+    return top.join(F.broadcast(names), "repo_id", "left").select(*select)
 
 
 # ---------------------------------------------------------------------------
@@ -407,9 +416,10 @@ def _first_org(g: DataFrame) -> Column:
 
 
 def _with_repo_and_org(top: DataFrame, lake: Lake) -> DataFrame:
-    names = lake.latest_repos().withColumnRenamed("id", "repo_id")
-    orgs = lake.latest_orgs().select(F.col("id").alias("org_id"), F.col("login").alias("org_name"))
-    return top.join(names, "repo_id", "left").join(orgs, "org_id", "left")
+    """Names for ≤ k top rows: both dimensions are cut to the k ids first."""
+    names = _latest_for(lake.repos(), "name", top, "repo_id").withColumnRenamed("id", "repo_id")
+    orgs = _latest_for(lake.orgs(), "login", top, "org_id").select(F.col("id").alias("org_id"), F.col("login").alias("org_name"))
+    return top.join(F.broadcast(names), "repo_id", "left").join(F.broadcast(orgs), "org_id", "left")
 
 
 def stars_vs_forks(lake: Lake, start: str, end: str, limit: int = 60) -> DataFrame:
