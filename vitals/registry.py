@@ -377,10 +377,10 @@ def write_queries() -> dict[str, QueryFn]:
         return spark.read.schema(schema).option("header", True).csv(path)
 
     def stream_silver(spark, d):
-        return P.stream_lake(spark, d, max_files=200).events()
+        return P.stream_lake(spark, d, max_files=400).events()
 
     def stream_gold(spark, d):
-        return P.stream_lake(spark, d, max_files=200).gold().drop("updated_at")
+        return P.stream_lake(spark, d, max_files=400).gold().drop("updated_at")
 
     return {
         "read_raw_events": read_raw,
