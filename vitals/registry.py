@@ -11,11 +11,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vitals.functions.columns import detect_bot
+from vitals.operators import contracts as C
 from vitals.operators import derived as D
+from vitals.operators import gold as G
+from vitals.operators import silver as SV
 from vitals.oracle import END, START
+from vitals.plans import incremental as I
+from vitals.plans import jobs as J
+from vitals.plans import pipeline as P
 from vitals.plans import serving as Q
-from vitals.sources.lake import DerivedLake
+from vitals.session import scratch_path
+from vitals.sources import bronze as B
+from vitals.sources import export as X
+from vitals.sources import tables as TB
+from vitals.sources.lake import DerivedLake, TableLake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -100,24 +112,10 @@ def derived_queries() -> dict[str, QueryFn]:
     }
 
 
-def queries() -> dict[str, QueryFn]:
-    out: dict[str, QueryFn] = {}
-    out.update(serving_queries())
-    out.update(derived_queries())
-    return out
-
-
 # ---------------------------------------------------------------------------
 # Silver operators, dimensions, contracts, incremental planning (lazy)
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from vitals.functions.columns import detect_bot  # noqa: E402
-from vitals.operators import contracts as C  # noqa: E402
-from vitals.operators import gold as G  # noqa: E402
-from vitals.operators import silver as SV  # noqa: E402
-from vitals.plans import incremental as I  # noqa: E402
 
 # Fixed split used by the incremental operators: the lake "holds" data up to here.
 PROCESSED_UNTIL = "2024-01-20"
@@ -258,29 +256,11 @@ def incremental_queries() -> dict[str, QueryFn]:
     }
 
 
-_base_queries = queries
-
-
-def queries() -> dict[str, QueryFn]:  # noqa: F811
-    out = _base_queries()
-    out.update(silver_queries())
-    out.update(contract_queries())
-    out.update(incremental_queries())
-    return out
-
-
 # ---------------------------------------------------------------------------
 # Sources, sinks and write jobs (each call writes under a fresh folder of the shared
 # checkpoint directory and returns the re-read result)
 # ---------------------------------------------------------------------------
 
-from vitals.plans import jobs as J  # noqa: E402
-from vitals.plans import pipeline as P  # noqa: E402
-from vitals.session import scratch_path  # noqa: E402
-from vitals.sources import bronze as B  # noqa: E402
-from vitals.sources import export as X  # noqa: E402
-from vitals.sources import tables as TB  # noqa: E402
-from vitals.sources.lake import TableLake  # noqa: E402
 
 EXPORT_DAYS = 7
 LANDED_BEFORE = "2024-01-16"
@@ -400,10 +380,8 @@ def write_queries() -> dict[str, QueryFn]:
     }
 
 
-_lazy_queries = queries
-
-
-def queries() -> dict[str, QueryFn]:  # noqa: F811
-    out = _lazy_queries()
-    out.update(write_queries())
+def queries() -> dict[str, QueryFn]:
+    out: dict[str, QueryFn] = {}
+    for section in (serving_queries, derived_queries, silver_queries, contract_queries, incremental_queries, write_queries):
+        out.update(section())
     return out
