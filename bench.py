@@ -62,13 +62,31 @@ def serving(lake):
     }
 
 
+def replicated_events(spark, sf_dir: str, factor: int) -> str:
+    """``events`` repeated ``factor`` times with shifted ids (same hours, more events
+    per hour), written once to scratch: the like-for-like throughput run."""
+    from pyspark.sql import functions as F
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    span = ev.agg(F.max("event_id")).first()[0] + 1
+    out = scratch_path(spark, "replicated")
+    rep = ev.select("*", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).alias("_r"))
+    rep = rep.withColumn("event_id", F.col("event_id") + F.col("_r") * F.lit(span)).drop("_r")
+    rep.write.mode("overwrite").parquet(f"{out}/events.parquet")
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    replicate = int(os.environ.get("BENCH_REPLICATE", "1"))
     spark = local_session(cpus, "vitals-bench")
-    n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    src_dir = sf_dir
+    if replicate > 1:
+        src_dir = replicated_events(spark, sf_dir, replicate)
+    n_events = spark.read.parquet(f"{src_dir}/events.parquet").count()
 
-    archive = P.write_archive(spark, sf_dir)  # input synthesis, not timed
+    archive = P.write_archive(spark, src_dir)  # input synthesis, not timed
     lake = TableLake(spark, scratch_path(spark, "bench-lake"))
     times: dict[str, float] = {}
 
@@ -99,6 +117,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir).removeprefix("sf"),
+        "replicate": replicate,
         "events": n_events,
         "pipeline_sec": round(pipeline, 3),
         "pipeline_events_per_sec": round(n_events / pipeline, 1) if pipeline else None,

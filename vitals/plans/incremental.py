@@ -12,9 +12,24 @@ from vitals.functions.schemas import BRONZE_PARTITIONS, GOLD_SENTINEL_DAY
 PARTITION_KEYS = list(BRONZE_PARTITIONS)
 
 
+def partition_values(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct partition values of a partitioned table, answered from the folder
+    listing alone (metadata-only optimisation: no data file is opened). One row per
+    partition (hours), so the values are materialised as a small local frame."""
+    spark = table.sparkSession
+    key = "spark.sql.optimizer.metadataOnly"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        rows = table.select(*keys).distinct().collect()
+    finally:
+        spark.conf.set(key, before)
+    schema = ", ".join(f"`{k}` {table.schema[k].dataType.simpleString()}" for k in keys)
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
+
+
 def bronze_partitions(bronze: DataFrame) -> DataFrame:
-    """Distinct hour partitions of bronze (answered from the folder listing / partition
-    columns; no data file is opened for a partition-only projection)."""
+    """Distinct hour partitions of bronze."""
     return bronze.select(*PARTITION_KEYS).distinct()
 
 

@@ -67,7 +67,7 @@ def silver_batch(
     now = now if now is not None else F.current_timestamp()
     bronze = lake.bronze()
     ledger = spark.read.parquet(lake.paths["ledger"]) if lake.has("ledger") else None
-    pending = I.pending_partitions(bronze, ledger)
+    pending = I.pending_partitions(I.partition_values(bronze, I.PARTITION_KEYS), ledger)
     if max_partitions is not None:
         pending = pending.limit(max_partitions)
     # One row per pending hour: bounded by the hours in the backlog.
@@ -112,7 +112,7 @@ def silver_from_bronze(
             events = TB.stage(spark, merged, "events", EVENT_PARTITIONS)
         else:
             # Only new hours: the plan never reads the target, so check and publish the
-            # same persisted frame (a lost block is recomputed; the dedup is deterministic).
+            # same persisted frame (a lost block is recomputed, still one row per id).
             events = SV.dedup_clustered(facts, list(EVENT_PARTITIONS), buckets, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(events)
         staged = {"events": events}
@@ -131,10 +131,10 @@ def silver_from_bronze(
 
 
 def _touches_existing(table: DataFrame, buckets: DataFrame) -> bool:
-    """Whether any hour of the batch already has silver rows (partition listing plus a
-    one-row probe of the touched folders only)."""
+    """Whether any hour of the batch already has silver rows (from the folder listing)."""
     keys = list(EVENT_PARTITIONS)
-    return bool(TB.existing_in(table.select(*keys), buckets.select(*keys), keys).limit(1).count())
+    held = I.partition_values(table, keys)
+    return bool(buckets.select(*keys).join(held, keys, "left_semi").limit(1).count())
 
 
 def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violation: str) -> BatchReport:
