@@ -62,10 +62,30 @@ def _sum(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast("long")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes through projections / filters)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+
+
+def broadcast_limit(spark) -> int:
+    """The session's broadcast threshold in bytes (accepts "10485760" or "10MB")."""
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix) and v[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(v[: -len(suffix)]) * units[suffix]
+    return int(v)
+
+
 def _latest_for(dim: DataFrame, track: str, ids: DataFrame, id_col: str) -> DataFrame:
-    """Latest version of only the dimension rows whose id is in ``ids`` (≤ k rows, so
-    broadcast): the dimension is filtered by a semi join before its per-id
-    aggregation, so the work is proportional to k, not to the dimension's size."""
+    """Latest (id, track) rows needed to name the ≤ k ``ids``.
+
+    Checked size: when the dimension's estimated size is within the broadcast limit its
+    whole latest version is built once and broadcast; beyond that the dimension is
+    first cut by a semi join with the k ids (broadcast, ≤ k rows), so the per-id
+    aggregation only sees the versions of those ids and never the whole dimension."""
+    if estimated_bytes(dim) <= broadcast_limit(dim.sparkSession):
+        return SV.latest_dim(dim, track, ["id", track])
     wanted = F.broadcast(ids.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()))
     return SV.latest_dim(dim.join(wanted, "id", "left_semi"), track, ["id", track])
 
