@@ -95,3 +95,14 @@ def stable(c: str | Column) -> Column:
     """6-place rounding for unrounded float outputs (means of rates), so that
     summation order cannot change the compared value."""
     return round_even(c, 6)
+
+
+def one_row(*frames):
+    """Side-by-side combination of one-row aggregates without a join: the frames are
+    unioned (missing columns null) and collapsed by one global aggregate. Each column
+    is non-null in at most one input row, so ``first(ignorenulls)`` picks it."""
+    from functools import reduce
+
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    cols = [c for f in frames for c in f.columns]
+    return merged.agg(*(F.first(c, ignorenulls=True).alias(c) for c in cols))

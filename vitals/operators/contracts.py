@@ -103,6 +103,28 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
     return out
 
 
+def evaluate(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, str, int]], int]:
+    """Failing rules as (rule, column, n_bad) plus the row count, from one aggregate
+    pass (and one group-by per unique key). The one-row result is all that reaches
+    the driver."""
+    rules = rule_table(df, contract)
+    aggs = [F.count_if(~ok).cast("long").alias(f"r{i}") for i, (_, _, ok) in enumerate(rules)]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs).first()
+    bad = [(rule, col, int(row[f"r{i}"])) for i, (rule, col, _) in enumerate(rules) if row[f"r{i}"]]
+    for c in contract.columns:
+        if c.unique and c.name in df.columns:
+            dup = (
+                df.where(F.col(c.name).isNotNull())
+                .groupBy(c.name)
+                .agg(F.count(F.lit(1)).alias("n"))
+                .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("d"))
+                .first()["d"]
+            )
+            if dup:
+                bad.append((f"{c.name}_unique", c.name, int(dup)))
+    return bad, int(row["_rows"])
+
+
 def failed(report: DataFrame) -> DataFrame:
     return report.where(F.col("n_bad") > 0)
 

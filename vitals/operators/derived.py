@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitals.functions.columns import round_even, stable
+from vitals.functions.columns import one_row, round_even, stable
 
 # FIXED VALUES: labels of the PR funnel stages and the score bands, in order.
 FUNNEL_STAGES: tuple[str, ...] = ("Opened", "Merged", "Closed w/o merge", "Still open")
@@ -91,7 +91,7 @@ def period_mean_rates(pr_daily: DataFrame, issue_daily: DataFrame) -> DataFrame:
     """Mean over days of the daily mean merge / close rate (one row each side)."""
     a = pr_daily.agg(stable(F.avg("avg_merge_rate")).alias("overall_merge_rate"))
     b = issue_daily.agg(stable(F.avg("avg_close_rate")).alias("overall_close_rate"))
-    return a.crossJoin(b)
+    return one_row(a, b)
 
 
 def review_totals(review_daily: DataFrame) -> DataFrame:

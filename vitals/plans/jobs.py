@@ -51,9 +51,9 @@ class BatchReport:
     violations: list[tuple[str, str, str, int]] = field(default_factory=list)
 
 
-def _violations(name: str, report: DataFrame) -> list[tuple[str, str, str, int]]:
-    # Reports have one row per rule (a few dozen rows), never data rows.
-    return [(name, r["rule"], r["column"], int(r["n_bad"])) for r in C.failed(report).collect()]
+def _evaluate(name: str, df: DataFrame, contract: C.Contract) -> tuple[list[tuple[str, str, str, int]], int]:
+    bad, rows = C.evaluate(df, contract)
+    return [(name, rule, col, n) for rule, col, n in bad], rows
 
 
 def silver_batch(
@@ -139,7 +139,10 @@ def _touches_existing(table: DataFrame, buckets: DataFrame) -> bool:
 
 def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violation: str) -> BatchReport:
     contracts = {"events": C.EVENTS, "actors": C.ACTORS, "repos": C.REPOS, "orgs": C.ORGS}
-    found = [v for name, df in staged.items() for v in _violations(name, C.check(df, contracts[name]))]
+    found, rows = [], {}
+    for name, df in staged.items():
+        bad, rows[name] = _evaluate(name, df, contracts[name])
+        found += bad
     if found and on_violation == "fail":
         return BatchReport(FAILED, violations=found)
     if found:  # quarantine: failing rows aside, the rest goes on
@@ -150,7 +153,8 @@ def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violati
             TB.write_parquet(df.where(~ok), f"{lake.root}/_rejects/{name}", mode="append")
             staged[name] = df.where(ok)
 
-    rows = {name: df.count() for name, df in staged.items()}
+    if found:
+        rows = {name: df.count() for name, df in staged.items()}
     TB.replace_partitions(staged["events"], lake.paths["events"], EVENT_PARTITIONS)
     for name in ("actors", "repos", "orgs"):
         TB.append(staged[name], lake.paths[name])
@@ -174,10 +178,9 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
     # events: one shuffle by day gives one task (and file) per day.
     daily = daily.repartition(max(1, n_days), "day").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = _violations("gold", C.check(daily, C.GOLD))
+        found, n = _evaluate("gold", daily, C.GOLD)
         if found:
             return BatchReport(FAILED, violations=found)
-        n = daily.count()
         TB.replace_partitions(daily, lake.paths["gold"], GOLD_PARTITIONS)
         return BatchReport(SUCCESS, rows={"gold": n})
     finally:

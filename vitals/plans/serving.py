@@ -18,7 +18,7 @@ Shapes that matter at scale:
 * big-side aggregation happens before any dimension join (events are first reduced
   to (day, actor) or (actor, repo) rows), so a hot actor or repository is combined
   map-side instead of being shuffled row by row into one join task;
-* one-row frames are combined with a cross join of two single rows (proven size);
+* one-row aggregates are combined by a union and one more aggregate (no join at all);
 * cumulative sums run over per-day rows only.
 """
 
@@ -29,7 +29,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitals.functions.columns import round_even, stable
+from vitals.functions.columns import one_row, round_even, stable
 from vitals.operators import silver as SV
 from vitals.sources.lake import Lake
 
@@ -112,7 +112,7 @@ def overview_kpis(lake: Lake, start: str, end: str) -> DataFrame:
         stable(F.avg("activity_score")).alias("avg_activity_score"),
     )
     s = silver_window(lake, start, end).agg(F.count_distinct("actor_id").alias("unique_contributors"))
-    return g.crossJoin(s)
+    return one_row(g, s)
 
 
 def daily_timeline(lake: Lake, start: str, end: str) -> DataFrame:
@@ -355,7 +355,7 @@ def ecosystem_kpis(lake: Lake, start: str, end: str) -> DataFrame:
             round_even(F.coalesce(F.avg("active_repos"), F.lit(0.0)), 1).alias("avg_active_repos_per_day"),
         )
     )
-    return totals.crossJoin(daily).select(
+    return one_row(totals, daily).select(
         "active_repos",
         "total_stars",
         "total_forks",
