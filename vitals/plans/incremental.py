@@ -68,6 +68,18 @@ def pending_days(events: DataFrame, watermark: str) -> DataFrame:
     return cand.select(F.to_date("created_at").alias("day")).distinct().orderBy("day")
 
 
+def pending_day_bounds(events: DataFrame, watermark: str) -> tuple[str, str] | None:
+    """First and last pending day in one pass: a global min / max (map-side partial,
+    no shuffle) over the partition-pruned scan of the days after the watermark."""
+    wm = F.lit(f"{watermark} 00:00:00").cast("timestamp_ntz")
+    ymd = F.concat_ws("-", "year", "month", "day")
+    d = F.to_date("created_at")
+    row = events.where((ymd >= F.lit(watermark)) & (F.col("created_at") > wm)).agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
+    if row is None or row["lo"] is None:
+        return None
+    return str(row["lo"]), str(row["hi"])
+
+
 def batches(days: DataFrame, size: int) -> DataFrame:
     """I4: consecutive chunks of ``size`` pending days: (batch, first_day, last_day,
     n_days). One row per day in, so a single ordered window is bounded by the number

@@ -168,7 +168,7 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
     events = lake.events()
     if days is None:
         wm = I.watermark_value(I.gold_watermark(spark, lake.gold() if lake.has("gold") else None))
-        days = I.day_bounds(I.pending_days(events, wm))
+        days = I.pending_day_bounds(events, wm)
         if days is None:
             return BatchReport(EMPTY)
     first, last = days

@@ -64,7 +64,10 @@ def _sum(c: str) -> Column:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes through projections / filters)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+    except Exception:  # noqa: BLE001 - unknown size: treat as large (never broadcast)
+        return 1 << 62
 
 
 def broadcast_limit(spark) -> int:

@@ -40,14 +40,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private one created and
     registered, so every later call in the session reuses it.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    root = None
+    if sc is not None:
+        root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="vitals-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

@@ -165,7 +165,12 @@ class TableLake(Lake):
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (through the Hadoop file system, so the same
     call works for object stores)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle: local paths only
+        import os
+
+        return os.path.exists(path.removeprefix("file:"))
