@@ -56,24 +56,24 @@ def dedup_by_key(df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def dedup_clustered(df: DataFrame, cluster: list[str], buckets: DataFrame, n_partitions: int, key: str = "id") -> DataFrame:
-    """One row per ``key`` where duplicates share the ``cluster`` columns (an event's
-    hour partition follows from its created_at, so copies of one event always do).
-
-    ``buckets`` has one row per cluster value with its number of salt buckets (sized
-    from the row count, so a hot hour gets many buckets and a quiet hour one). A single
-    shuffle on (cluster, salt) into ``n_partitions`` feeds the dedup aggregate keyed on
-    (cluster, salt, key) without another exchange, and leaves every hour on only as many
-    tasks as it has buckets: a partitioned write then makes about one file per bucket.
-    ``buckets`` is bounded by the number of hours in the batch, so it is broadcast."""
+    """One row per ``key`` within each ``cluster`` value (an event's hour partition
+    follows from its created_at, so copies of one event always share it), laid out so
+    that a partitioned write makes few files per hour.
+
+    1. Dedup on (cluster, key): Spark plans it as a map-side partial aggregate, so
+       even if one event is delivered so often that its copies are a third of all rows,
+       each map task forwards a single copy; any one copy survives (they are identical
+       in practice).
+    2. Shuffle the deduplicated rows on (cluster, salt) into ``n_partitions``, where
+       ``buckets`` gives each hour a salt count sized from its row count: a hot hour
+       is spread over many tasks and files, a quiet hour stays one file. ``buckets``
+       has one row per hour of the batch, so it is broadcast."""
+    unique = df.dropDuplicates([*cluster, key])
     n_salt = F.coalesce(F.col("_buckets"), F.lit(1))
-    salted = df.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
+    salted = unique.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(F.col(key)), n_salt)
     )
-    spread = salted.drop("_buckets").repartition(max(1, int(n_partitions)), *cluster, "_salt")
-    # Any one copy survives (copies of an event are identical in practice); keying on
-    # (cluster, salt, key) reuses the exchange above, and this hash-based dedup is
-    # about twice as fast as an ordered choice of survivor.
-    return spread.dropDuplicates([*cluster, "_salt", key]).select(*df.columns)
+    return salted.repartition(max(1, int(n_partitions)), *cluster, "_salt").select(*df.columns)
 
 
 def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tuple[DataFrame, int]:
