@@ -21,7 +21,6 @@ Gold batch
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -172,11 +171,11 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
         if days is None:
             return BatchReport(EMPTY)
     first, last = days
-    n_days = (dt.date.fromisoformat(last) - dt.date.fromisoformat(first)).days + 1
     daily = G.daily_activity(G.events_for_days(events, first, last), now)
     # The plan reads silver only, so no staging copy is needed. Gold is small next to
-    # events: one shuffle by day gives one task (and file) per day.
-    daily = daily.repartition(max(1, n_days), "day").persist(StorageLevel.MEMORY_AND_DISK)
+    # events: one rebalancing shuffle by day gives about one file per day, and AQE
+    # splits a day that is far larger than the others instead of giving it one task.
+    daily = daily.hint("rebalance", "day").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found, n = _evaluate("gold", daily, C.GOLD)
         if found:

@@ -76,7 +76,7 @@ def write_extract(lake: Lake, out: str, days: int = 7) -> dict[str, str]:
     paths["events"] = f"{out}/silver/events"
     (
         events_window(lake, days, max_day)
-        .repartition("date")
+        .hint("rebalance", "date")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy("date")

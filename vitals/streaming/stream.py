@@ -72,7 +72,7 @@ def stream_gold(lake: TableLake, now: Column, checkpoint: str | None = None, ava
         events = lake.events()
         day_set = F.to_date("created_at").isin(*[F.lit(d).cast("date") for d in days])
         daily = G.daily_activity(G.events_for_days(events, min(days), max(days)).where(day_set), now)
-        staged = TB.stage(spark, daily.repartition("day"), "gold", S.GOLD_PARTITIONS)
+        staged = TB.stage(spark, daily.hint("rebalance", "day"), "gold", S.GOLD_PARTITIONS)
         TB.replace_partitions(staged, lake.paths["gold"], S.GOLD_PARTITIONS)
 
     w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-gold"))
