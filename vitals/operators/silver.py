@@ -111,18 +111,41 @@ def build_events(parsed: DataFrame) -> DataFrame:
     return dedup_by_key(facts, "id")
 
 
+def dimension_source(bronze: DataFrame) -> DataFrame:
+    """Raw actor / repo / org JSON text of the tracked event types, with the parsed
+    event time: the input of the dimension builders (no JSON parsed yet)."""
+    return filter_known_events(bronze).select("actor", "repo", "org", parse_created_at("created_at").alias("created_at"))
+
+
 def _dimension(
-    parsed: DataFrame,
+    rows: DataFrame,
     struct_col: str,
+    text_col: str,
+    schema,
     track_col: str,
     latest_fields: list[str],
     now: Column,
     bot_flag: bool = False,
 ) -> DataFrame:
-    rows = parsed.select(F.col(f"{struct_col}.*"), "created_at").where(F.col("id").isNotNull())
-    # Latest values of the version: taken from its newest event, ties broken by value.
-    newest = F.max(F.struct(F.col("created_at").alias("_ts"), *(F.col(c) for c in latest_fields))).alias("_newest")
-    agg = rows.groupBy("id", track_col).agg(newest, F.min("created_at").alias("first_seen_at"))
+    """One row per (id, track) version: latest field values (from the newest event,
+    ties broken by value) and the first time seen.
+
+    From raw rows (``text_col`` present) the events are first reduced to one row per
+    distinct JSON text with its first and last event time (a hash aggregate,
+    combined map-side, so a hot actor costs one row per map task), and only those
+    distinct texts are parsed: an actor's text repeats on every one of its events,
+    so JSON parsing shrinks from once per event to once per distinct object. An
+    already parsed frame (``struct_col`` present) is aggregated directly."""
+    if text_col in rows.columns:
+        per_text = rows.where(F.col(text_col).isNotNull()).groupBy(text_col).agg(
+            F.min("created_at").alias("_first"), F.max("created_at").alias("_last")
+        )
+        objs = per_text.select(F.from_json(text_col, schema).alias("_o"), "_first", "_last").select("_o.*", "_first", "_last")
+    else:
+        objs = rows.select(F.col(f"{struct_col}.*"), F.col("created_at").alias("_first"), F.col("created_at").alias("_last"))
+    objs = objs.where(F.col("id").isNotNull())
+    newest = F.max(F.struct(F.col("_last").alias("_ts"), *(F.col(c) for c in latest_fields))).alias("_newest")
+    agg = objs.groupBy("id", track_col).agg(newest, F.min("_first").alias("first_seen_at"))
     cols = [F.col("id"), F.col(track_col)] + [F.col(f"_newest.{c}").alias(c) for c in latest_fields]
     if bot_flag:
         cols.append(F.coalesce(detect_bot(track_col), F.lit(False)).alias("is_bot"))
@@ -130,19 +153,20 @@ def _dimension(
     return agg.select(*cols)
 
 
-def build_actors(parsed: DataFrame, now: Column) -> DataFrame:
-    """One row per (id, login) version; is_bot from the login."""
-    return _dimension(parsed, "actor_struct", "login", ["display_login", "gravatar_id", "url", "avatar_url"], now, bot_flag=True)
+def build_actors(rows: DataFrame, now: Column) -> DataFrame:
+    """One row per (id, login) version; is_bot from the login. ``rows``: the
+    :func:`dimension_source` frame (preferred) or a parsed frame."""
+    return _dimension(rows, "actor_struct", "actor", ACTOR_STRUCT, "login", ["display_login", "gravatar_id", "url", "avatar_url"], now, bot_flag=True)
 
 
-def build_repos(parsed: DataFrame, now: Column) -> DataFrame:
+def build_repos(rows: DataFrame, now: Column) -> DataFrame:
     """One row per (id, name) version."""
-    return _dimension(parsed, "repo_struct", "name", ["url"], now)
+    return _dimension(rows, "repo_struct", "repo", REPO_STRUCT, "name", ["url"], now)
 
 
-def build_orgs(parsed: DataFrame, now: Column) -> DataFrame:
+def build_orgs(rows: DataFrame, now: Column) -> DataFrame:
     """One row per (id, login) version; events without org are skipped."""
-    return _dimension(parsed, "org_struct", "login", ["gravatar_id", "url", "avatar_url"], now)
+    return _dimension(rows, "org_struct", "org", ORG_STRUCT, "login", ["gravatar_id", "url", "avatar_url"], now)
 
 
 def filter_new_versions(new: DataFrame, existing: DataFrame | None, id_col: str, track_col: str) -> DataFrame:

@@ -3,8 +3,8 @@ idempotent, each one Spark job over all pending work (write, audit, publish).
 
 Silver batch
     1. pending bronze partitions (ledger difference) → semi-join read (pruned);
-    2. one parsed frame, persisted (MEMORY_AND_DISK) because four outputs derive
-       from it; unpersisted in ``finally``;
+    2. the narrow fact projection is persisted (MEMORY_AND_DISK) for its count and
+       dedup; dimensions parse JSON once per distinct object; unpersisted in ``finally``;
     3. facts: new rows + existing rows of the touched partitions, deduplicated by id,
        staged; dimensions: versions not yet held, staged;
     4. contracts on the staged bytes; any violation → nothing is published
@@ -95,10 +95,14 @@ def silver_from_bronze(
     silver. Duplicates across batches are removed exactly by merging with the
     existing rows of the touched hour partitions (no streaming state needed)."""
     spark = lake.spark
-    parsed = SV.parse_bronze(bronze_rows).persist(StorageLevel.MEMORY_AND_DISK)
-    cached: list[DataFrame] = [parsed]
+    # The fact needs only the ids of actor / repo / org (the JSON readers are pruned to
+    # them) and the action; its narrow projection is cached for the count and dedup.
+    # The dimensions parse their JSON once per distinct object instead (see
+    # operators/silver._dimension), so the wide parsed frame is never materialised.
+    facts = SV.events_projection(SV.parse_bronze(bronze_rows)).dropna(subset=["id", "actor_id", "repo_id"])
+    facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+    cached: list[DataFrame] = [facts]
     try:
-        facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
         buckets, n_buckets = SV.salt_buckets(facts, list(EVENT_PARTITIONS), ROWS_PER_FILE)
         width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         n_parts = max(1, min(n_buckets, 4 * width))
@@ -115,10 +119,11 @@ def silver_from_bronze(
             events = SV.dedup_clustered(facts, list(EVENT_PARTITIONS), buckets, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(events)
         staged = {"events": events}
+        source = SV.dimension_source(bronze_rows)
         dims = {
-            "actors": (SV.build_actors(parsed, now), "login"),
-            "repos": (SV.build_repos(parsed, now), "name"),
-            "orgs": (SV.build_orgs(parsed, now), "login"),
+            "actors": (SV.build_actors(source, now), "login"),
+            "repos": (SV.build_repos(source, now), "name"),
+            "orgs": (SV.build_orgs(source, now), "login"),
         }
         for name, (frame, track) in dims.items():
             held = getattr(lake, name)() if lake.has(name) else None

@@ -184,8 +184,8 @@ def silver_queries() -> dict[str, QueryFn]:
 
     def filter_scd1(spark, d):
         lake = L(spark, d)
-        old = SV.build_actors(SV.parse_bronze(_bronze_before(lake, SECOND_BATCH_FROM, True)), lake.now)
-        new = SV.build_actors(SV.parse_bronze(_bronze_before(lake, SECOND_BATCH_FROM, False)), lake.now)
+        old = SV.build_actors(SV.dimension_source(_bronze_before(lake, SECOND_BATCH_FROM, True)), lake.now)
+        new = SV.build_actors(SV.dimension_source(_bronze_before(lake, SECOND_BATCH_FROM, False)), lake.now)
         return SV.filter_new_versions(new, old, "id", "login").select("id", "login", "is_bot")
 
     return {

@@ -95,13 +95,13 @@ class DerivedLake(Lake):
         return SV.build_events(self.parsed())
 
     def actors(self) -> DataFrame:
-        return SV.build_actors(self.parsed(), self.now)
+        return SV.build_actors(SV.dimension_source(self.bronze()), self.now)
 
     def repos(self) -> DataFrame:
-        return SV.build_repos(self.parsed(), self.now)
+        return SV.build_repos(SV.dimension_source(self.bronze()), self.now)
 
     def orgs(self) -> DataFrame:
-        return SV.build_orgs(self.parsed(), self.now)
+        return SV.build_orgs(SV.dimension_source(self.bronze()), self.now)
 
     def gold(self) -> DataFrame:
         return G.daily_activity(self.events(), self.now)
