@@ -100,7 +100,7 @@ def silver_from_bronze(
     try:
         facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
         buckets, n_buckets = SV.salt_buckets(facts, list(EVENT_PARTITIONS), ROWS_PER_FILE)
-        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        width = _parallelism(spark)
         n_parts = max(1, min(n_buckets, 4 * width))
         overlap = lake.has("events") and _touches_existing(lake.events(), buckets)
         if overlap:
@@ -129,6 +129,15 @@ def silver_from_bronze(
             df.unpersist()
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """Shuffle width of the session (at least the cluster's default parallelism)."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        return max(width, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return width
+
+
 def _touches_existing(table: DataFrame, buckets: DataFrame) -> bool:
     """Whether any hour of the batch already has silver rows (from the folder listing)."""
     keys = list(EVENT_PARTITIONS)
