@@ -100,3 +100,34 @@ def test_streaming_equals_batch(spark):
     d = DerivedLake(spark, SMOKE)
     assert _cmp(lk.events(), d.events())
     assert _cmp(lk.gold(), d.gold())
+
+
+def test_streaming_late_file_recomputes_its_day(spark):
+    """A late file arriving after a first streaming run: the second availableNow run
+    merges it into silver exactly and recomputes only the touched day in gold."""
+    from vitals.streaming.stream import stream_gold, stream_silver
+
+    root = scratch_path(spark, "test-stream-late")
+    lk = TableLake(spark, root)
+    P.land(spark, P.write_archive(spark, SMOKE), lk.paths["bronze"])
+    ck_s, ck_g = f"{root}/_ckpt/silver", f"{root}/_ckpt/gold"
+    stream_silver(lk, _now(), checkpoint=ck_s)
+    stream_gold(lk, _now(), checkpoint=ck_g)
+    n_events = lk.events().count()
+    day_rows = lk.gold().where("day = DATE'2024-01-05'").drop("updated_at").collect()
+
+    late = [
+        ("99999101", "ForkEvent", actor(3, "user3"), repo(1, "org/repo1"), json.dumps({"action": "forked"}), True, "2024-01-05T07:30:00Z", org(1, "org1")),
+    ]
+    _land_rows(spark, lk, late, "2024-02-05-1.json.gz")
+    stream_silver(lk, _now(), checkpoint=ck_s)
+    stream_gold(lk, _now(), checkpoint=ck_g)
+
+    assert lk.events().count() == n_events + 1
+    g = lk.gold()
+    assert g.groupBy("day", "repo_id", "org_id").count().where("count > 1").count() == 0
+    after = g.where("day = DATE'2024-01-05'").agg(F.sum("total_events"), F.sum("fork_events")).first()
+    before_total = sum(r["total_events"] for r in day_rows)
+    before_forks = sum(r["fork_events"] for r in day_rows)
+    assert (after[0], after[1]) == (before_total + 1, before_forks + 1)
+    assert _cmp(g.where("day <> DATE'2024-01-05'"), DerivedLake(spark, SMOKE).gold().where("day <> DATE'2024-01-05'"))
