@@ -68,6 +68,12 @@ class TestEvents:
         df = events(spark).unionByName(events(spark))
         assert bad(C.check(df, C.EVENTS)) == {"id_unique": 2}
 
+    def test_quarantine_split_sets_aside_duplicates_and_bad_rows(self, spark):
+        df = events(spark).unionByName(events(spark)).unionByName(events(spark, id=2)).unionByName(events(spark, id=3, type="GollumEvent"))
+        good, bad = C.split_passing(df, C.EVENTS)
+        assert sorted(r.id for r in good.collect()) == [2]
+        assert sorted(r.id for r in bad.collect()) == [1, 1, 3]
+
     def test_violation_sample_is_bounded(self, spark):
         df = events(spark, type="GollumEvent", action=None)
         out = C.violations(df, C.EVENTS, "id", 5).collect()

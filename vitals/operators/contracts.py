@@ -125,6 +125,22 @@ def evaluate(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, str, in
     return bad, int(row["_rows"])
 
 
+def split_passing(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """(passing rows, failing rows) for quarantine: a row fails when any row rule fails
+    or its unique key occurs more than once (all copies are set aside). The duplicate
+    keys are found with one group-by and removed with an anti join."""
+    ok = F.lit(True)
+    for _, _, expr in rule_table(df, contract):
+        ok = ok & expr
+    good, bad = df.where(ok), df.where(~ok)
+    for c in contract.columns:
+        if c.unique and c.name in df.columns:
+            dup_keys = df.groupBy(c.name).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(c.name)
+            bad = bad.unionByName(good.join(dup_keys, c.name, "left_semi"))
+            good = good.join(dup_keys, c.name, "left_anti")
+    return good, bad
+
+
 def failed(report: DataFrame) -> DataFrame:
     return report.where(F.col("n_bad") > 0)
 

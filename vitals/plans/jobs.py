@@ -155,11 +155,9 @@ def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violati
         return BatchReport(FAILED, violations=found)
     if found:  # quarantine: failing rows aside, the rest goes on
         for name, df in staged.items():
-            ok = F.lit(True)
-            for _, _, expr in C.rule_table(df, contracts[name]):
-                ok = ok & expr
-            TB.write_parquet(df.where(~ok), f"{lake.root}/_rejects/{name}", mode="append")
-            staged[name] = df.where(ok)
+            good, bad = C.split_passing(df, contracts[name])
+            TB.write_parquet(bad, f"{lake.root}/_rejects/{name}", mode="append")
+            staged[name] = good
 
     if found:
         rows = {name: df.count() for name, df in staged.items()}
