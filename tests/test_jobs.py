@@ -131,3 +131,16 @@ def test_streaming_late_file_recomputes_its_day(spark):
     before_forks = sum(r["fork_events"] for r in day_rows)
     assert (after[0], after[1]) == (before_total + 1, before_forks + 1)
     assert _cmp(g.where("day <> DATE'2024-01-05'"), DerivedLake(spark, SMOKE).gold().where("day <> DATE'2024-01-05'"))
+
+
+def test_compaction_of_append_only_tables(spark):
+    from vitals.sources import tables as TB
+
+    path = scratch_path(spark, "compact-test")
+    for i in range(3):
+        TB.append(spark.range(i * 10, i * 10 + 10).repartition(2), path)
+    assert len(spark.read.parquet(path).inputFiles()) == 6
+    assert TB.compact_if_fragmented(spark, path, max_files=4)
+    df = spark.read.parquet(path)
+    assert len(df.inputFiles()) == 1 and df.count() == 30
+    assert not TB.compact_if_fragmented(spark, path, max_files=4)

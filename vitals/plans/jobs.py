@@ -40,6 +40,8 @@ SUCCESS, FAILED, EMPTY = "success", "failed", "empty"
 
 # Target rows per silver file (~100+ MB of narrow fact rows in zstd Parquet).
 ROWS_PER_FILE = 2_000_000
+# Append-only tables (ledger, dimensions) are rewritten once they exceed this many files.
+COMPACT_AFTER_FILES = 64
 
 
 @dataclass
@@ -78,6 +80,10 @@ def silver_batch(
         report = silver_from_bronze(lake, read_bronze_partitions(bronze, pending), now, on_violation, n_pending)
         if report.status == SUCCESS:
             TB.append(pending.withColumn("processed_at", now), lake.paths["ledger"])
+            # Append-only tables grow by one small file set per batch: keep them compact.
+            for name in ("ledger", "actors", "repos", "orgs"):
+                if lake.has(name):
+                    TB.compact_if_fragmented(spark, lake.paths[name], COMPACT_AFTER_FILES)
         report.partitions = n_pending
         return report
     finally:

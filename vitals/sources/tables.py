@@ -62,3 +62,33 @@ def existing_in(table: DataFrame, touched: DataFrame, partition_by: Sequence[str
     """Rows of ``table`` in the touched partitions. The semi join on partition columns
     with a small distinct side lets dynamic partition pruning skip all other folders."""
     return table.join(F.broadcast(touched), list(partition_by), "left_semi")
+
+
+TARGET_FILE_BYTES = 256 << 20
+
+
+def table_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes stored under ``path`` (one listing call on the file system)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(hpath).getLength())
+    except Exception:  # noqa: BLE001 - no JVM handle
+        return None
+
+
+def compact_if_fragmented(spark: SparkSession, path: str, max_files: int = 64) -> bool:
+    """Rewrite an append-only table (ledger, dimensions) once it holds more than
+    ``max_files`` files, into files of about 256 MB (sized from the bytes stored, so a
+    large dimension is still written by many tasks), so reads do not slow down as small
+    batch appends accumulate. The rows go through a staging copy first: the table is
+    never overwritten by a plan that reads it. Returns whether it compacted."""
+    current = spark.read.parquet(path)
+    if len(current.inputFiles()) <= max_files:
+        return False
+    size = table_bytes(spark, path)
+    n_files = max(1, -(-size // TARGET_FILE_BYTES)) if size else 1
+    staged = stage(spark, current.repartition(n_files), "compact")
+    write_parquet(staged, path)
+    return True
