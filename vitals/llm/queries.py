@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm import decontam, mixing, tokens
+from vitals.llm import decontam, langid, mixing, tokens, toxicity
 from vitals.llm.common import table
 from vitals.session import scratch_path
 
@@ -21,6 +21,13 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_vocabulary() -> str:
+    """Path of the public 32k piece vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
     tokens.write_tokens(table(spark, sf_dir, "documents"), out, word_tokenizer())
@@ -44,5 +51,26 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held = (toxicity.fold() == toxicity.HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = piece_vocabulary()
+    found = langid.predict(docs, langid.fit(docs, path), path)
+    held = (toxicity.fold(folds=langid.FOLDS) == langid.HELD_OUT).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score")
+
+
 def queries() -> dict[str, QueryFn]:
-    return {"op1_token_ids": op1_token_ids, "op2_mixing": op2_mixing, "op3_decontamination": op3_decontamination}
+    return {
+        "op1_token_ids": op1_token_ids,
+        "op2_mixing": op2_mixing,
+        "op3_decontamination": op3_decontamination,
+        "op4_toxicity": op4_toxicity,
+        "op5_language": op5_language,
+    }
