@@ -110,20 +110,19 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     join partitions are split by AQE.
     """
     cur = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-e")
-    while True:
-        # large star
+    before = None
+    while not cur.isEmpty():
+        # large star: each node's larger neighbours go to its smallest one
         both = cur.unionAll(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # small star: pairs point downwards
-        large = stage(large.where("a <> b").distinct(), f"{name}-l")
-        small_min = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_min, "a")
+        large = stage(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), f"{name}-l")
+        # small star: its smaller neighbours too
+        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         nxt = small.select("a", F.col("m").alias("b")).unionAll(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
         nxt = stage(nxt.where("a <> b").distinct(), f"{name}-s")
-        digest = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
-        same = cur.agg(*digest).first() == nxt.agg(*digest).first()
+        after = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         discard(cur, large)
-        cur = nxt
+        cur, before, same = nxt, after, before == after
         if same:
-            return cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            break
+    return cur.select(F.col("a").alias("node"), F.col("b").alias("component"))

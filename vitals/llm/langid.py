@@ -53,36 +53,72 @@ def pieces(path: str) -> dict[str, int]:
     return out
 
 
-_VOCAB: dict[str, dict[str, int]] = {}
+def stretches(text: str) -> list[str]:
+    """The lower-case words of a text; overlong ones in stretches of ``MAX_WORD`` letters."""
+    return WORD.findall(text.lower())
 
 
-def vocabulary(path: str) -> dict[str, int]:
-    if path not in _VOCAB:
-        _VOCAB[path] = pieces(path)
-    return _VOCAB[path]
+_STEP, _SPREAD = np.uint64(0x9FB21C651E98DF25), np.uint64(0x9E3779B97F4A7C15)
 
 
-def stretches(text: str) -> list[str]:
-    """The lower-case words of a text; overlong ones in stretches of ``MAX_WORD`` letters."""
-    return WORD.findall(text.lower())
+def _codes(text: str) -> np.ndarray:
+    """A 64-bit number for each character."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    c = (c ^ (c >> np.uint64(7))) * _SPREAD
+    return (c ^ (c >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
 
+class Pieces:
+    """The vocabulary as a hash table that numpy can probe: piece hash → row."""
 
-def lattice(words: list[str], vocab: dict[str, int]) -> np.ndarray:
+    def __init__(self, vocab: dict[str, int], bits: int = 18):
+        self.size, self.shift, self.mask = len(vocab), np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.rows, self.probes = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32), 1
+        for piece, row in vocab.items():
+            h = np.uint64(0)
+            for c in _codes(piece)[::-1]:
+                h = np.multiply(h, _STEP) + c
+            at, tries = int((h * _SPREAD) >> self.shift), 1
+            while self.rows[at] >= 0:
+                at, tries = (at + 1) & self.mask, tries + 1
+            self.keys[at], self.rows[at], self.probes = h, row, max(self.probes, tries)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        at = ((h * _SPREAD) >> self.shift).astype(np.int64)
+        out = np.where(self.keys[at] == h, self.rows[at], -1)
+        for _ in range(self.probes - 1):
+            at = (at + 1) & self.mask
+            out = np.where((out < 0) & (self.keys[at] == h), self.rows[at], out)
+        return out
+
+
+def lattice(words: list[str], vocab: Pieces) -> np.ndarray:
     """Piece rows of words of one length: [end - 1, lag - 1, word]; -1 where no piece fits.
 
     A single character without a piece counts as the unknown piece, row 0.
     """
-    marked = [START + w for w in words]
-    n = len(marked[0])
-    arcs = np.full((n, min(n, MAX_PIECE), len(marked)), -1, np.int32)
-    find = vocab.get
+    n = len(words[0]) + 1
+    codes = _codes("".join(START + w for w in words)).reshape(len(words), n).T.copy()
+    arcs = np.full((n, min(n, MAX_PIECE), len(words)), -1, np.int32)
     for end in range(1, n + 1):
+        h = np.zeros(len(words), np.uint64)
         for lag in range(1, min(end, MAX_PIECE) + 1):
-            a, missing = end - lag, 0 if lag == 1 else -1
-            arcs[end - 1, lag - 1] = np.fromiter((find(w[a:end], missing) for w in marked), np.int32, len(marked))
+            h = h * _STEP + codes[end - lag]
+            found = vocab.find(h)
+            arcs[end - 1, lag - 1] = np.maximum(found, 0) if lag == 1 else found
     return arcs
 
 
+_VOCAB: dict[str, Pieces] = {}
+
+
+def vocabulary(path: str) -> Pieces:
+    """One table for each worker process and vocabulary file."""
+    if path not in _VOCAB:
+        _VOCAB[path] = Pieces(pieces(path))
+    return _VOCAB[path]
+
+
 def forward(arcs: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """alpha[end, word, language]: probability of all segmentations up to ``end``. The last row of
     ``prob`` is 0, which is what arcs of -1 read."""
@@ -109,7 +145,7 @@ def padded(prob: np.ndarray) -> np.ndarray:
     return np.vstack([prob, np.zeros((1, prob.shape[1]))])
 
 
-def log_probabilities(words: list[str], vocab: dict[str, int], prob: np.ndarray) -> np.ndarray:
+def log_probabilities(words: list[str], vocab: Pieces, prob: np.ndarray) -> np.ndarray:
     """Log-probability of each word in every language; ``prob`` is padded."""
     out = np.zeros((len(words), prob.shape[1]))
     for ids, group in by_length(words):
@@ -117,7 +153,7 @@ def log_probabilities(words: list[str], vocab: dict[str, int], prob: np.ndarray)
     return out
 
 
-def expected(words: list[str], counts: np.ndarray, vocab: dict[str, int], prob: np.ndarray) -> np.ndarray:
+def expected(words: list[str], counts: np.ndarray, vocab: Pieces, prob: np.ndarray) -> np.ndarray:
     """Expected counts of every piece, for words seen ``counts`` times in each language."""
     total = np.zeros_like(prob)
     for ids, group in by_length(words):
@@ -179,7 +215,7 @@ def fit(docs: DataFrame, path: str, max_docs: int = MAX_DOCS, rounds: int = ROUN
     learn = docs.where((fold(folds=FOLDS) != HELD_OUT) & F.col("lang").isNotNull())
     by = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     langs = sorted(by, key=lambda x: x.encode())
-    vocab = vocabulary(path)
+    vocab = pieces(path)
     if not langs:
         return [], np.zeros((len(vocab) + 1, 0))
     limit = F.lit(0)

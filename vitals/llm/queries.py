@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm import decontam, langid, mixing, tokens, toxicity
+from vitals.llm import decontam, langid, mixing, ngram_join, tokens, toxicity
 from vitals.llm.common import table
 from vitals.session import scratch_path
 
@@ -66,6 +66,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held, "lang_pred", "score")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_token_ids": op1_token_ids,
@@ -73,4 +77,5 @@ def queries() -> dict[str, QueryFn]:
         "op3_decontamination": op3_decontamination,
         "op4_toxicity": op4_toxicity,
         "op5_language": op5_language,
+        "op6_ngram_join": op6_ngram_join,
     }
