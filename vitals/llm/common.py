@@ -71,13 +71,13 @@ def _pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 FILTER_BITS = 25
 
 
-def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+def key_filter(keys: DataFrame, column: str, mixed: bool = False) -> np.ndarray:
     """One-hash Bloom filter over a long column as a packed bit array of fixed size.
 
     Built on the executors with bitmap aggregates; the driver receives the fixed-size
-    bitmap alone, never the keys.
+    bitmap alone, never the keys. ``mixed``: the keys are hashes already, their low bits serve.
     """
-    slot = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)) + 1
+    slot = (F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) if mixed else slot_of(column)) + 1
     parts = (
         keys.select(slot.alias("s"))
         .groupBy(F.expr("bitmap_bucket_number(s)").alias("b"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm import decontam, langid, mixing, ngram_join, tokens, toxicity
+from vitals.llm import decontam, langid, mixing, ngram_join, substrings, tokens, toxicity, warc
 from vitals.llm.common import table
 from vitals.session import scratch_path
 
@@ -70,6 +70,17 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), out)
+    return warc.resolve(warc.read_warc(spark, out))
+
+
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.strip_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_token_ids": op1_token_ids,
@@ -78,4 +89,6 @@ def queries() -> dict[str, QueryFn]:
         "op4_toxicity": op4_toxicity,
         "op5_language": op5_language,
         "op6_ngram_join": op6_ngram_join,
+        "op7_warc": op7_warc,
+        "op8_repeated_substrings": op8_repeated_substrings,
     }
