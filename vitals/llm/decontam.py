@@ -107,8 +107,8 @@ def _scan(shared):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
-    """One row per document row: doc_id, n_words, items (ids with an occurring window), hit_words
-    (indices) and spans (character offsets in the original text)."""
+    """One row per document row: doc_id, row_hash (of doc_id and text), n_words, items (ids with an
+    occurring window), hit_words (indices) and spans (character offsets in the original text)."""
     spark = prepare(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     windows = stage(items.mapInArrow(_windows(window), "pattern binary, item string").groupBy("pattern").agg(F.collect_set("item").alias("items")), "decontam-windows")
@@ -130,7 +130,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             (F.count("*") / slices).cast("int").alias("m"),
         )
         out = grouped.withColumn("m", F.explode(F.sequence(F.lit(1), "m"))).drop("m")
-    return out.drop("row_hash")
+    return out
 
 
 def is_contaminated():

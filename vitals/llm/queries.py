@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm import decontam, langid, mixing, ngram_join, substrings, tokens, toxicity, warc
+from vitals.llm import decontam, html_extract, langid, mixing, ngram_join, substrings, tokens, toxicity, vectors, warc
 from vitals.llm.common import table
 from vitals.session import scratch_path
 
@@ -81,6 +81,15 @@ def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_token_ids": op1_token_ids,
@@ -91,4 +100,6 @@ def queries() -> dict[str, QueryFn]:
         "op6_ngram_join": op6_ngram_join,
         "op7_warc": op7_warc,
         "op8_repeated_substrings": op8_repeated_substrings,
+        "op9_near_vectors": op9_near_vectors,
+        "op10_main_text": op10_main_text,
     }
