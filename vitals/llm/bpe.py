@@ -3,65 +3,75 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+#: A word of Latin letters with ASCII punctuation after it: two parts at most, whatever stands around it.
+PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
+class _Known(dict):
+    """Word → ids; a word not met yet passes the tokenizer."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.make(word)
+        if len(self) < self.most and len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are the
-    concatenation of the ids of its blank-separated words. Words repeat, so each distinct
-    word passes the tokenizer library once; the caches are bounded and start over when full.
+    The tokenizer lower-cases, drops white space, splits words into runs of letters, single digits and runs of other
+    characters, and merges within those alone; so a text's ids are the concatenation of its parts' ids. Each distinct
+    part passes the tokenizer library once; the caches are bounded and start over when full.
     """
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 300_000, max_parts: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size()
         self.dtype = np.uint16 if self.vocab <= 1 << 16 else np.uint32
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.max_words = max_words
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = _Known(self._word, max_words), _Known(self._part, max_parts)
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
+    def _model(self, part: str) -> bytes:
+        return self._ids([t.id for t in self.tok.model.tokenize(part)])
+
+    def _part(self, part: str) -> bytes:
+        """A part in plain characters; the pre-tokenizer spells its bytes as the vocabulary does."""
+        if part.isascii():
+            return self._model(part)
+        return b"".join(self._model(p) for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(part))
+
     def _word(self, word: str) -> bytes:
+        plain = PLAIN.fullmatch(word.lower())
+        if plain:
+            core, rest = plain.groups()
+            return self.parts[core] + self.parts[rest] if rest else self.parts[core]
         if any(s in word for s in self.special):
             return self._ids(self.tok.encode(word, add_special_tokens=False).ids)
-        out = []
-        for part, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(word)):
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.parts[part] = self._ids([t.id for t in self.tok.model.tokenize(part)])
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(self._model(p) for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(word)))
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of ``dtype``."""
-        words, known = text.replace("\n", " ").split(" "), self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > self.max_words:
-            known.clear()
-        if len(self.parts) > self.max_words:
-            self.parts.clear()
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = self._word(w)
-                if len(w) <= 64:
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        for cache in (self.words, self.parts):
+            if len(cache) >= cache.most:
+                cache.clear()
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
