@@ -18,10 +18,11 @@ Which tokens are frequent is a fixed-size bitmap of heavy hitters, so it can be
 are; any such bitmap gives the same links, only other candidates.
 
 Equal sets are joined by their 128-bit digest first, and one representative goes on. Signatures that
-occur once are dropped; the others give candidates in rounds: each signature links its rows to one
-pivot, links are verified on the whole sets, and rows that are connected already are not compared again.
-After ``PIVOTS`` rounds all remaining pairs of one signature that are still in different components are
-verified, so no link is lost and a group of m near copies costs about m comparisons a round.
+occur once (among sets of like size) are dropped; the others give candidates: all pairs where a signature has
+``SMALL`` rows at most, else in rounds: each signature compares its rows to one pivot, links are verified on
+the whole sets, and rows that are connected already are not compared again. After ``PIVOTS`` rounds all remaining
+pairs of one signature that are still in different components are verified, so no link is lost and a
+group of m near copies costs about m comparisons a round.
 
 Cases: null text, or text without a word, has an empty set and links with nothing; with fewer words
 than the shingle the whole sequence is one shingle; rows with the same doc_id are one node and are each
@@ -30,6 +31,8 @@ returned; null doc_ids get a null component; an empty table gives no rows; other
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,6 +48,10 @@ BITMAP_BITS = 25
 #: (sets from this size on, classes of frequent tokens)
 LEVELS = ((0, 1), (64, 16), (1024, 256), (16384, 4096))
 PIVOTS = 3
+#: Signatures with at most SMALL rows compare all of them at once.
+SMALL = 8
+#: Ids of a round that are broadcast (16 bytes each) to fetch their sets; more go by a shuffle.
+FEW_IDS = 200_000
 
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -195,11 +202,12 @@ def _signatures(n: int, percent: int, shared):
     def run(batches):
         bits = shared.value
         for batch in batches:
-            sigs = []
+            sigs, sizes = [], []
             for s in shingle_sets(texts(batch), n):
+                sizes.append(len(s))
                 slot = (s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                 sigs.append(signatures(s, (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1, percent).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "size", "sigs"])
 
     return run
 
@@ -245,7 +253,13 @@ def _frequent(found: DataFrame) -> np.ndarray:
 
 def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
     """Posts with the component of each row (itself if it has none)."""
-    return posts.join(labels, posts["doc_id"] == labels["node"], "left").select("sig", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    return posts.join(labels, posts["doc_id"] == labels["node"], "left").select("sig", "doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
+
+
+def _shared(posts: DataFrame) -> DataFrame:
+    """The posts of signatures that several documents have."""
+    often = posts.groupBy("sig").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("sig")
+    return posts.join(often, "sig", "left_semi").select("sig", "doc_id", "size")
 
 
 def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -258,24 +272,30 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # equal sets: the smallest id stands for all (min is combined map-side, so copies cost nothing)
     first = sized.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = first.select(F.col("rep").alias("doc_id")).distinct()
-    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, sigs array<long>").where(F.size("sigs") > 0)
-    posts = stage(signed.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("sigs").alias("sig")), "join-posts")
-    often = posts.groupBy("sig").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("sig")
-    active = stage(posts.join(often, "sig", "left_semi").select("sig", "doc_id"), "join-active")
+    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, size int, sigs array<long>").where(F.size("sigs") > 0)
+    posts = stage(signed.join(reps, "doc_id", "left_semi").select("doc_id", "size", F.explode("sigs").alias("sig")), "join-posts")
+    first_cut = stage(_shared(posts), "join-shared")
     discard(posts)
+    # sizes of a linked pair differ by a factor of 100 / percent at most: they meet in one of two neighbouring size classes
+    bucket = F.floor(F.log("size") / (math.log(100 / percent) * 1.001)) if percent < 100 else F.col("size").cast("long")
+    classed = first_cut.select(F.explode(F.array(bucket, bucket + 1)).alias("b"), "sig", "doc_id", "size").select(F.xxhash64("sig", "b").alias("sig"), "doc_id", "size")
+    active = stage(_shared(classed), "join-active")
+    discard(first_cut)
     ids = active.select("doc_id").distinct()
     passing = spark.sparkContext.broadcast(key_filter(ids, "doc_id"))
     some = docs.select("doc_id", "text", slot_of("doc_id").alias("slot")).mapInArrow(_sets(n, passing), "doc_id long, tokens binary")
     sets = stage(some.join(ids, "doc_id", "left_semi").distinct(), "join-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    size = stage(sets.select("doc_id", (F.octet_length("tokens") / 8).cast("long").alias("size")), "join-sizes")
-    na, nb = (size.select(F.col("doc_id").alias(c), F.col("size").alias(f"n{c}")) for c in "ab")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         # the smaller set needs percent of the larger one's size: settled before the sets travel
-        near = pairs.join(na, "a").join(nb, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
-        return stage(near.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "a long, b long"), name)
+        near = stage(pairs.where(F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent).select("a", "b").distinct(), f"{name}-near")
+        wanted = stage(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
+        held = sets.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id", "left_semi")
+        left = held.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
+        right = held.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
+        out = stage(near.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "a long, b long").distinct(), name)
+        discard(near, wanted)
+        return out
 
     # a doc_id with several texts is one node: it links the representatives of its texts
     by_rep = sized.join(first, "digest", "left")
@@ -283,24 +303,28 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     labels = components(links, "join-cc")
     for turn in range(PIVOTS + 1):
         now = _labelled(active, labels)
-        low = now.groupBy("sig").agg(
-            F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn))).alias("pivot")
-        ).where("c0 < c1")
-        open_ = stage(now.join(low.select("sig", "pivot"), "sig"), "join-open")
+        stats = now.groupBy("sig").agg(
+            F.count("*").alias("m"), F.min("component").alias("c0"), F.max("component").alias("c1"),
+            F.min_by(F.struct("doc_id", "size", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("pivot"),
+        ).where("c0 < c1")
+        open_ = stage(now.join(stats.select("sig", "m", "pivot"), "sig"), "join-open")
         discard(active)
-        active = open_.select("sig", "doc_id")
         if open_.isEmpty():
             break
-        if turn < PIVOTS:
-            pivot = open_.where("doc_id = pivot").select("sig", F.col("component").alias("pc")).distinct()
-            pairs = open_.join(pivot, "sig").where("component <> pc").select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
-        else:
-            other = open_.select("sig", F.col("doc_id").alias("other"), F.col("component").alias("oc"))
-            pairs = open_.join(other, "sig").where("doc_id < other and component <> oc").select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
+        few = F.col("m") <= SMALL if turn < PIVOTS else F.lit(True)
+        other = open_.where(few).select("sig", F.col("doc_id").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"))
+        pairs = open_.where(few).join(other, "sig").where("doc_id < b and component <> cb").select(F.col("doc_id").alias("a"), "b", F.col("size").alias("sa"), "sb")
+        to_pivot = open_.where(~few).where("component <> pivot.component")
+        pairs = pairs.unionAll(
+            to_pivot.select(F.least("doc_id", "pivot.doc_id").alias("a"), F.greatest("doc_id", "pivot.doc_id").alias("b"), F.col("size").alias("sa"), F.col("pivot.size").alias("sb"))
+        )
         new = verified(pairs, "join-verified")
         if not new.isEmpty():
             links = links.unionAll(new)
             labels = components(links, "join-cc")
+        active = open_.where(~few).select("sig", "doc_id", "size")
+        if turn == PIVOTS or active.isEmpty():
+            break
     # the rows of a representative share its component, whose smallest id is a representative
     out = by_rep.join(labels, by_rep["rep"] == labels["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
