@@ -15,6 +15,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,20 +49,20 @@ def _windows(size: int):
     return lambda batches: rows_batches(rows(batches), pa.schema([("pattern", pa.binary()), ("item", pa.string())]))
 
 
-_BUILT: dict[int, tuple] = {}
+_BUILT: dict[str, object] = {}
 
 
 def _automaton(shared):
     """One automaton for each worker process and slice."""
     import ahocorasick
 
-    key = shared.id if hasattr(shared, "id") else id(shared)
+    key, patterns, _ = shared.value
     if key not in _BUILT:
         _BUILT.clear()
         a = ahocorasick.Automaton()
-        for at, pattern in enumerate(shared.value[0]):
+        for at, pattern in enumerate(patterns):
             a.add_word(" " + pattern.decode("latin-1") + " ", at)
-        if len(shared.value[0]):
+        if patterns:
             a.make_automaton()
         _BUILT[key] = a
     return _BUILT[key]
@@ -85,7 +87,7 @@ def _spans(flat: bytes, hit: np.ndarray) -> list[dict]:
 def _scan(shared):
     def rows(batches):
         auto = _automaton(shared)
-        patterns, owners = shared.value
+        _, patterns, owners = shared.value
         for batch in batches:
             for doc_id, row_hash, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_hash").to_pylist(), texts(batch), strict=True):
                 flat, found = _words(text)
@@ -118,7 +120,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     for k in range(slices):
         part = windows if slices == 1 else windows.where(F.pmod(F.xxhash64("pattern"), F.lit(slices)) == k)
         held = part.orderBy("pattern").collect()  # at most about slice_windows rows
-        shared = spark.sparkContext.broadcast(([bytes(r["pattern"]) for r in held], [r["items"] for r in held]))
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, [bytes(r["pattern"]) for r in held], [r["items"] for r in held]))
         one = rows.mapInArrow(_scan(shared), _OUT)
         out = one if out is None else out.unionAll(one)
     if slices > 1:
