@@ -68,20 +68,20 @@ def _automaton(shared):
     return _BUILT[key]
 
 
-_OUT = "doc_id long, row_hash long, n_words long, items array<string>, hit_words array<int>, spans array<struct<start:int,end:int>>"
-_SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_OUT = "doc_id long, row_hash long, n_words long, items array<string>, hit_words array<int>, spans array<struct<first:int,last:int,start:int,end:int>>"
+_SPAN = pa.struct([(n, pa.int32()) for n in ("first", "last", "start", "end")])
 _OUT_PA = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("hit_words", pa.list_(pa.int32())), ("spans", pa.list_(_SPAN))])
 
 
 def _spans(flat: bytes, hit: np.ndarray) -> list[dict]:
-    """Character offsets in the original text of the runs of hit words."""
+    """The runs of hit words: first and last word, and character offsets in the original text."""
     raw = np.frombuffer(flat, np.uint8)
     gap = raw == 32
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
     first, last = edge[::2], edge[1::2]
     run = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
     chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    return [{"start": int(chars[first[a]]), "end": int(chars[last[b - 1]])} for a, b in zip(run[::2], run[1::2], strict=True)]
+    return [{"first": int(a), "last": int(b) - 1, "start": int(chars[first[a]]), "end": int(chars[last[b - 1]])} for a, b in zip(run[::2], run[1::2], strict=True)]
 
 
 def _scan(shared):
@@ -108,6 +108,23 @@ def _scan(shared):
     return lambda batches: rows_batches(rows(batches), _OUT_PA)
 
 
+def _unite(slices: int):
+    def rows(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                spans: list[dict] = []
+                for x in sorted(r["spans"], key=lambda x: (x["first"], x["last"])):
+                    if spans and x["first"] <= spans[-1]["last"] + 1:
+                        if x["last"] > spans[-1]["last"]:
+                            spans[-1] |= {"last": x["last"], "end": x["end"]}
+                    else:
+                        spans.append(dict(x))
+                for _ in range(r["n"] // slices):
+                    yield r["doc_id"], r["row_hash"], r["n_words"], sorted(r["items"]), sorted(r["hit_words"]), spans
+
+    return lambda batches: rows_batches(rows(batches), _OUT_PA)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """One row per document row: doc_id, row_hash (of doc_id and text), n_words, items (ids with an
     occurring window), hit_words (indices) and spans (character offsets in the original text)."""
@@ -124,14 +141,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         one = rows.mapInArrow(_scan(shared), _OUT)
         out = one if out is None else out.unionAll(one)
     if slices > 1:
-        # the slices' hits of a row are united; equal rows have equal results, one of which is kept for each
-        grouped = out.groupBy("doc_id", "row_hash", "n_words").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-            (F.count("*") / slices).cast("int").alias("m"),
+        # the slices' hits of a row are united; equal rows have equal results, each of which comes back
+        out = (
+            out.groupBy("doc_id", "row_hash", "n_words")
+            .agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.array_distinct(F.flatten(F.collect_list("hit_words"))).alias("hit_words"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.count("*").alias("n"))
+            .mapInArrow(_unite(slices), _OUT)
         )
-        out = grouped.withColumn("m", F.explode(F.sequence(F.lit(1), "m"))).drop("m")
     return out
 
 
