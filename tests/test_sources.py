@@ -52,3 +52,35 @@ def test_raw_read_keeps_nested_objects_as_text(spark):
     assert json.loads(r["actor"]) == {"id": 5, "login": "a"}
     assert r["org"] is None and r["public"] is True
     assert "2024-01-05-7.json.gz" in r["source_file"]
+
+
+def test_listed_partitions_are_the_only_files_read(spark, tmp_path):
+    from vitals.sources.tables import MAX_LITERAL_PARTITIONS, in_partitions
+
+    path = str(tmp_path / "hours")
+    hours = spark.range(48).selectExpr("id", "'2024' AS year", "'01' AS month", "lpad(1 + id div 24, 2, '0') AS day", "lpad(id % 24, 2, '0') AS hour")
+    hours.write.partitionBy("year", "month", "day", "hour").parquet(path)
+    keys = ("year", "month", "day", "hour")
+    lake = spark.read.schema(hours.schema).parquet(path)
+    wanted = hours.where("id IN (3, 30)")
+    many = spark.range(MAX_LITERAL_PARTITIONS + 5).selectExpr("'2024' AS year", "'01' AS month", "'01' AS day", "lpad(id, 2, '0') AS hour")
+    assert in_partitions(lake, many, keys).count() == 24
+    assert in_partitions(lake, wanted.limit(0), keys).count() == 0
+    # a read that opened any other hour would fail
+    for f in (tmp_path / "hours").rglob("*.parquet"):
+        if not ("day=01/hour=03" in str(f) or "day=02/hour=06" in str(f)):
+            f.write_bytes(b"broken")
+    assert sorted(r["id"] for r in in_partitions(lake, wanted, keys).collect()) == [3, 30]
+
+
+def test_missing_and_unreadable_tables_raise(spark, tmp_path):
+    import pytest
+
+    from vitals.sources.lake import TableLake, exists
+
+    lake = TableLake(spark, str(tmp_path / "nowhere"))
+    assert not lake.has("gold")
+    with pytest.raises(FileNotFoundError):
+        lake.gold()
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        exists(spark, "nosuchscheme://bucket/table")

@@ -66,6 +66,8 @@ def silver_batch(
     """Process every pending bronze hour into silver (events + 3 dimensions)."""
     spark = lake.spark
     now = now if now is not None else F.current_timestamp()
+    if not lake.has("bronze"):
+        return BatchReport(EMPTY)
     bronze = lake.bronze()
     ledger = spark.read.parquet(lake.paths["ledger"]) if lake.has("ledger") else None
     pending = I.pending_partitions(I.partition_values(bronze, I.PARTITION_KEYS), ledger)
@@ -177,6 +179,8 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
     """Recompute gold for the pending days (or an explicit ``days`` range)."""
     spark = lake.spark
     now = now if now is not None else F.current_timestamp()
+    if not lake.has("events"):
+        return BatchReport(EMPTY)
     events = lake.events()
     if days is None:
         wm = I.watermark_value(I.gold_watermark(spark, lake.gold() if lake.has("gold") else None))

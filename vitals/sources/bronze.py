@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions.columns import zero_pad
 from vitals.functions.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA
+from vitals.sources.tables import in_partitions
 
 FILE_HOUR_REGEX = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json\.gz"
 
@@ -135,8 +136,5 @@ def skip_existing_hours(hours: DataFrame, landed: DataFrame, available: DataFram
 
 
 def read_bronze_partitions(bronze: DataFrame, partitions: DataFrame) -> DataFrame:
-    """The rows of the listed hour partitions. A semi join on the partition
-    columns with the (small, distinct) list prunes every other folder at planning
-    or run time (dynamic partition pruning)."""
-    keys = list(BRONZE_PARTITIONS)
-    return bronze.join(F.broadcast(partitions.select(*keys).distinct()), keys, "left_semi")
+    """The rows of the listed hour partitions, and only their files."""
+    return in_partitions(bronze, partitions, BRONZE_PARTITIONS)

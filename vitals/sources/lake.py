@@ -132,7 +132,7 @@ class TableLake(Lake):
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         path = self.paths[name]
         if not exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            raise FileNotFoundError(f"no table {name!r} at {path}")
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
     def bronze(self) -> DataFrame:
@@ -165,12 +165,6 @@ class TableLake(Lake):
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (through the Hadoop file system, so the same
     call works for object stores)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle: local paths only
-        import os
-
-        return os.path.exists(path.removeprefix("file:"))
+    # An unreadable store raises: only a path that the store says is absent is missing.
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath))

@@ -58,10 +58,37 @@ def touched_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.select(*partition_by).distinct()
 
 
+#: Longest list of partitions that is named in a predicate (about 12 weeks of hours).
+MAX_LITERAL_PARTITIONS = 2000
+
+
+def in_partitions(table: DataFrame, partitions: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``table`` in the listed partitions.
+
+    The list comes to the driver (at most ``MAX_LITERAL_PARTITIONS`` short rows) and goes back as
+    literals on the partition columns, which prunes files at planning time; a join does not prune
+    unless its side is filtered. A longer list stays a semi join.
+    """
+    keys = list(partition_by)
+    listed = partitions.select(*keys).distinct()
+    rows = listed.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+    if len(rows) > MAX_LITERAL_PARTITIONS:
+        return table.join(listed, keys, "left_semi")
+    by: dict[tuple, list] = {}
+    for r in rows:
+        by.setdefault(tuple(r)[:-1], []).append(r[-1])
+    wanted = F.lit(False)
+    for head, last in sorted(by.items()):
+        one = F.col(keys[-1]).isin(*sorted(last))
+        for key, value in zip(keys, head, strict=False):
+            one = one & (F.col(key) == F.lit(value))
+        wanted = wanted | one
+    return table.where(wanted)
+
+
 def existing_in(table: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of ``table`` in the touched partitions. The semi join on partition columns
-    with a small distinct side lets dynamic partition pruning skip all other folders."""
-    return table.join(F.broadcast(touched), list(partition_by), "left_semi")
+    """Rows of ``table`` in the touched partitions; no other file is read."""
+    return in_partitions(table, touched, partition_by)
 
 
 TARGET_FILE_BYTES = 256 << 20

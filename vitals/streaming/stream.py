@@ -11,8 +11,8 @@
   that day, so no watermark-based drop of late data is needed.
 
 Both run with ``trigger(availableNow=True)`` for scheduled catch-up, or with a
-processing-time trigger as a long-running job; checkpoints live under the shared
-checkpoint folder.
+processing-time trigger as a long-running job; checkpoints live under the lake's root, so
+a later call goes on where the last one ended.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitals.functions import schemas as S
+from vitals.operators import contracts as C
 from vitals.operators import gold as G
 from vitals.plans import jobs as J
 from vitals.sources import tables as TB
 from vitals.sources.lake import TableLake
-from vitals.session import scratch_path
 
 
 def _bronze_stream_schema() -> T.StructType:
@@ -51,7 +51,7 @@ def stream_silver(lake: TableLake, now: Column, checkpoint: str | None = None, a
             raise RuntimeError(f"silver micro-batch {epoch_id} failed contracts: {rep.violations}")
         reports.append(rep)
 
-    w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-silver"))
+    w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or f"{lake.root}/_checkpoints/silver")
     if available_now:
         w = w.trigger(availableNow=True)
     handle = w.start()
@@ -69,13 +69,18 @@ def stream_gold(lake: TableLake, now: Column, checkpoint: str | None = None, ava
         days = [str(r["d"]) for r in batch.select(F.to_date("created_at").alias("d")).distinct().collect()]
         if not days:
             return
-        events = lake.events()
+        # Only these days' partitions are read, however far apart they are.
+        events = TB.in_partitions(lake.events(), batch, S.GOLD_PARTITIONS)
         day_set = F.to_date("created_at").isin(*[F.lit(d).cast("date") for d in days])
-        daily = G.daily_activity(G.events_for_days(events, min(days), max(days)).where(day_set), now)
+        events = G.events_for_days(events, min(days), max(days)).where(day_set)
+        daily = G.daily_activity(events, now)
         staged = TB.stage(spark, daily.hint("rebalance", "day"), "gold", S.GOLD_PARTITIONS)
+        bad, _ = C.evaluate(staged, C.GOLD)
+        if bad:
+            raise RuntimeError(f"gold micro-batch {epoch_id} failed contracts: {bad}")
         TB.replace_partitions(staged, lake.paths["gold"], S.GOLD_PARTITIONS)
 
-    w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-gold"))
+    w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or f"{lake.root}/_checkpoints/gold")
     if available_now:
         w = w.trigger(availableNow=True)
     handle = w.start()
