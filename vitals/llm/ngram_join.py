@@ -20,9 +20,10 @@ are; any such bitmap gives the same links, only other candidates.
 Equal sets are joined by their 128-bit digest first, and one representative goes on. Signatures that
 occur once (among sets of like size) are dropped; the others give candidates: all pairs where a signature has
 ``SMALL`` rows at most, else in rounds: each signature compares its rows to one pivot, links are verified on
-the whole sets, and rows that are connected already are not compared again. After ``PIVOTS`` rounds all remaining
-pairs of one signature that are still in different components are verified, so no link is lost and a
-group of m near copies costs about m comparisons a round.
+the whole sets, and rows that are connected already are not compared again. The rows that are still open after
+``PIVOTS`` rounds are joined anew among themselves, by prefixes in ascending order of how many of them hold a token,
+and a pair is verified only if what follows its shared token, and the parity sketches of both sets, leave room for
+a link. So no link is lost, and a group of m near copies costs about m comparisons a round.
 
 Cases: null text, or text without a word, has an empty set and links with nothing; with fewer words
 than the shingle the whole sequence is one shingle; rows with the same doc_id are one node and are each
@@ -50,6 +51,8 @@ LEVELS = ((0, 1), (64, 16), (1024, 256), (16384, 4096))
 PIVOTS = 3
 #: Signatures with at most SMALL rows compare all of them at once.
 SMALL = 8
+#: 64-bit words of a set's parity sketch (a power of two), and prefix tokens looked back at for a pair's first one.
+SKETCH_WORDS, EARLIER = 8, 64
 #: Ids of a round that are broadcast (16 bytes each) to fetch their sets; more go by a shuffle.
 FEW_IDS = 200_000
 
@@ -240,6 +243,46 @@ def _verify(percent: int):
     return run
 
 
+def _exploded(batches):
+    """A row for each token of each set."""
+    for batch in batches:
+        for doc_id, component, tokens in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "component", "tokens")), strict=True):
+            token = np.frombuffer(tokens, np.int64)
+            n, key = len(token), xxhash.xxh3_64_intdigest(tokens) >> 1
+            for at in range(0, n, CHUNK):
+                part = token[at : at + CHUNK]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), v)) for v in (doc_id, component, key, n)] + [pa.array(part)], names=["doc_id", "component", "key", "size", "token"]
+                )
+
+
+def _open_pairs(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b, sa, sb) among the documents ``left`` (doc_id, component): prefixes in ascending order of
+    the tokens' numbers among them, and the sets' rests after a shared token must be able to link.
+
+    The parities of a set's tokens by their low bits are its sketch; two sets differ in as many tokens as their
+    sketches in bits, or more, so a pair whose sketches differ too much can't link.
+    """
+    own = stage(sets.join(left, "doc_id").mapInArrow(_exploded, "doc_id long, component long, key long, size long, token long"), "join-tokens")
+    held = own.groupBy("token").agg(F.count("*").alias("n"))
+    words = [f"w{i}" for i in range(SKETCH_WORDS)]
+    bit, word = F.expr("shiftleft(1L, cast(token & 63 as int))"), F.shiftright("token", 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
+    sketch = [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(w) for i, w in enumerate(words)]
+    ranked = own.join(held, "token").groupBy("doc_id", "component", "key", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked"), *sketch)
+    most = (F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1).cast("int")
+    prefix = ranked.withColumn("ranked", F.slice("ranked", F.lit(1), most)).select("doc_id", "component", "size", *words, "ranked", F.posexplode("ranked").alias("at", "t"))
+    # a pair is made at its first shared token; beyond EARLIER tokens it may be made more than once
+    earlier = F.when(F.col("at") <= EARLIER, F.slice("ranked.token", F.lit(1), F.col("at"))).otherwise(F.array().cast("array<long>"))
+    prefix = prefix.where("t.n > 1").select("doc_id", "component", "size", *words, (F.col("size") - F.col("at")).alias("rest"), earlier.alias("earlier"), F.col("t.token").alias("token"))
+    prefix = stage(prefix, "join-prefixes")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    both, shared = F.expr("x.size + y.size"), F.expr("least(x.rest, y.rest)")
+    apart = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in words), F.lit(0))
+    able = (shared * 100 >= (both - shared) * percent) & (apart * (100 + percent) <= both * (100 - percent))
+    pairs = x.join(y, F.expr("x.token = y.token and x.doc_id < y.doc_id and x.component <> y.component") & able & ~F.arrays_overlap("x.earlier", "y.earlier"))
+    return pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.size").alias("sa"), F.col("y.size").alias("sb"))
+
+
 def _frequent(found: DataFrame) -> np.ndarray:
     """The bitmap of frequent tokens: fixed size, built from heavy hitters of all sets."""
     heavy = found.where("token is not null").groupBy("token").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= FREQUENT)
@@ -311,7 +354,12 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         discard(active)
         if open_.isEmpty():
             break
-        few = F.col("m") <= SMALL if turn < PIVOTS else F.lit(True)
+        if turn == PIVOTS:
+            new = verified(_open_pairs(sets, open_.select("doc_id", "component").distinct(), percent), "join-verified")
+            if not new.isEmpty():
+                labels = components(links.unionAll(new), "join-cc")
+            break
+        few = F.col("m") <= SMALL
         other = open_.where(few).select("sig", F.col("doc_id").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"))
         pairs = open_.where(few).join(other, "sig").where("doc_id < b and component <> cb").select(F.col("doc_id").alias("a"), "b", F.col("size").alias("sa"), "sb")
         to_pivot = open_.where(~few).where("component <> pivot.component")
@@ -323,7 +371,7 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
             links = links.unionAll(new)
             labels = components(links, "join-cc")
         active = open_.where(~few).select("sig", "doc_id", "size")
-        if turn == PIVOTS or active.isEmpty():
+        if active.isEmpty():
             break
     # the rows of a representative share its component, whose smallest id is a representative
     out = by_rep.join(labels, by_rep["rep"] == labels["node"], "left")
