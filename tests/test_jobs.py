@@ -144,3 +144,40 @@ def test_compaction_of_append_only_tables(spark):
     df = spark.read.parquet(path)
     assert len(df.inputFiles()) == 1 and df.count() == 30
     assert not TB.compact_if_fragmented(spark, path, max_files=4)
+
+
+def _fork(event_id, at):
+    return (str(event_id), "ForkEvent", actor(5, "ann"), repo(8, "tools/kit"), json.dumps({"action": "forked"}), True, at, org(2, "tools"))
+
+
+def test_an_id_in_two_hours_stays_one_row(spark):
+    lk = TableLake(spark, scratch_path(spark, "test-two-hours"))
+    _land_rows(spark, lk, [_fork(71, "2024-03-01T02:00:00Z"), _fork(71, "2024-03-01T01:59:59Z"), _fork(72, "2024-03-01T02:10:00Z")], "2024-03-01-2.json.gz")
+    assert J.silver_batch(lk, _now()).status == J.SUCCESS
+    assert sorted((r["id"], r["hour"]) for r in lk.events().collect()) == [(71, "01"), (72, "02")]
+    # a later batch brings the published id again, in another hour that it touches as well
+    again = [_fork(72, "2024-03-01T01:00:00Z"), _fork(73, "2024-03-01T02:20:00Z"), _fork(74, "2024-03-01T01:30:00Z")]
+    _land_rows(spark, lk, again, "2024-03-01-3.json.gz")
+    assert J.silver_batch(lk, _now(), on_violation="quarantine").status == J.SUCCESS
+    assert sorted((r["id"], r["hour"]) for r in lk.events().collect()) == [(71, "01"), (72, "02"), (73, "02"), (74, "01")]
+
+
+def test_a_late_row_keeps_the_files_of_a_large_hour(spark, monkeypatch):
+    monkeypatch.setattr(J, "ROWS_PER_FILE", 20)
+    lk = TableLake(spark, scratch_path(spark, "test-late-layout"))
+    _land_rows(spark, lk, [_fork(100 + i, "2024-03-02T04:00:00Z") for i in range(100)], "2024-03-02-4.json.gz")
+    J.silver_batch(lk, _now())
+    before = len(lk.events().inputFiles())
+    _land_rows(spark, lk, [_fork(500, "2024-03-02T04:30:00Z")], "2024-03-02-5.json.gz")
+    J.silver_batch(lk, _now())
+    assert before > 1 and len(lk.events().inputFiles()) >= before and lk.events().count() == 101
+
+
+def test_bad_times_are_set_aside(spark):
+    lk = TableLake(spark, scratch_path(spark, "test-bad-times"))
+    rows = [_fork(81, "2024-03-03T05:00:00Z"), _fork(82, "not a time"), _fork(83, "2024-13-40T05:00:00Z")]
+    _land_rows(spark, lk, rows, "2024-03-03-5.json.gz")
+    assert J.silver_batch(lk, _now(), on_violation="fail").status == J.FAILED
+    assert J.silver_batch(lk, _now(), on_violation="quarantine").status == J.SUCCESS
+    assert [r["id"] for r in lk.events().collect()] == [81]
+    assert {r["id"] for r in spark.read.parquet(f"{lk.root}/_rejects/events").collect()} == {82, 83}

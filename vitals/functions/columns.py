@@ -20,8 +20,10 @@ def col(c: str | Column) -> Column:
 
 
 def parse_created_at(c: str | Column) -> Column:
-    """Raw ``2024-01-05T10:11:12Z`` text to a naive (UTC by convention) timestamp."""
-    return F.to_timestamp_ntz(col(c), F.lit(CREATED_AT_FORMAT))
+    """Raw ``2024-01-05T10:11:12Z`` text to a naive (UTC by convention) timestamp.
+
+    Text of another form, or no such time, gives null, which the contracts then reject."""
+    return F.when(col(c).rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"), col(c).try_cast("timestamp_ntz"))
 
 
 def format_created_at(c: str | Column) -> Column:

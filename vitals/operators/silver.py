@@ -55,25 +55,31 @@ def dedup_by_key(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, *(F.col(f"_row.{c}").alias(c) for c in others))
 
 
+#: 0 for rows that are published already, 1 for new ones.
+PUBLISHED_FIRST = "_new"
+
+
 def dedup_clustered(df: DataFrame, cluster: list[str], buckets: DataFrame, n_partitions: int, key: str = "id") -> DataFrame:
-    """One row per ``key`` within each ``cluster`` value (an event's hour partition
-    follows from its created_at, so copies of one event always share it), laid out so
-    that a partitioned write makes few files per hour.
-
-    1. Dedup on (cluster, key): Spark plans it as a map-side partial aggregate, so
-       even if one event is delivered so often that its copies are a third of all rows,
-       each map task forwards a single copy; any one copy survives (they are identical
-       in practice).
+    """One row per ``key``, laid out so that a partitioned write makes few files per ``cluster`` value (hour).
+
+    1. Dedup on the key alone, so copies of one event in two hours become one too. Of the copies a
+       published one survives (see ``PUBLISHED_FIRST``), then the earliest, then the smallest row: the choice is
+       stable under retries, and no published hour is emptied. The minimum is a map-side partial
+       aggregate, so even if one event is delivered so often that its copies are a third of all
+       rows, each map task forwards a single copy.
     2. Shuffle the deduplicated rows on (cluster, salt) into ``n_partitions``, where
        ``buckets`` gives each hour a salt count sized from its row count: a hot hour
        is spread over many tasks and files, a quiet hour stays one file. ``buckets``
        has one row per hour of the batch, so it is broadcast."""
-    unique = df.dropDuplicates([*cluster, key])
+    columns = [c for c in df.columns if c != PUBLISHED_FIRST]
+    order = [c for c in (PUBLISHED_FIRST, "created_at") if c in df.columns]
+    order += [c for c in columns if c not in (key, *order)]
+    unique = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_row")).select(*(key if c == key else F.col(f"_row.{c}").alias(c) for c in columns))
     n_salt = F.coalesce(F.col("_buckets"), F.lit(1))
     salted = unique.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(F.col(key)), n_salt)
     )
-    return salted.repartition(max(1, int(n_partitions)), *cluster, "_salt").select(*df.columns)
+    return salted.repartition(max(1, int(n_partitions)), *cluster, "_salt").select(*columns)
 
 
 def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tuple[DataFrame, int]:

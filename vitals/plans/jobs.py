@@ -109,18 +109,20 @@ def silver_from_bronze(
         facts = SV.events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
         buckets, n_buckets = SV.salt_buckets(facts, list(EVENT_PARTITIONS), ROWS_PER_FILE)
         width = _parallelism(spark)
-        n_parts = max(1, min(n_buckets, 4 * width))
         overlap = lake.has("events") and _touches_existing(lake.events(), buckets)
         if overlap:
             # Late rows for hours already in silver: merge with those partitions only,
             # stage (the plan reads the table it will overwrite), then publish.
-            existing = TB.existing_in(lake.events(), buckets.select(*EVENT_PARTITIONS), EVENT_PARTITIONS)
-            merged = SV.dedup_clustered(existing.unionByName(facts), list(EVENT_PARTITIONS), buckets, n_parts)
+            existing = TB.existing_in(lake.events(), buckets.select(*EVENT_PARTITIONS).dropna(), EVENT_PARTITIONS)
+            both = existing.withColumn(SV.PUBLISHED_FIRST, F.lit(0)).unionByName(facts.withColumn(SV.PUBLISHED_FIRST, F.lit(1)))
+            # the layout follows all rows of an hour, not the late ones alone
+            buckets, n_buckets = SV.salt_buckets(both, list(EVENT_PARTITIONS), ROWS_PER_FILE)
+            merged = SV.dedup_clustered(both, list(EVENT_PARTITIONS), buckets, max(1, min(n_buckets, 4 * width)))
             events = TB.stage(spark, merged, "events", EVENT_PARTITIONS)
         else:
             # Only new hours: the plan never reads the target, so check and publish the
             # same persisted frame (a lost block is recomputed, still one row per id).
-            events = SV.dedup_clustered(facts, list(EVENT_PARTITIONS), buckets, n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+            events = SV.dedup_clustered(facts, list(EVENT_PARTITIONS), buckets, max(1, min(n_buckets, 4 * width))).persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(events)
         staged = {"events": events}
         dims = {
