@@ -223,6 +223,21 @@ def test_ngram_join_brute_force(spark, sf, monkeypatch):
     assert len(got) == len(_docs()) and all(r["n_shingles"] == 0 for r in got if r["doc_id"] in (4, 5, 6))
 
 
+def test_ngram_join_rows_left_after_the_pivots(spark, monkeypatch):
+    # near copies of one text with a few words exchanged; without pivot rounds all of them are joined anew
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(f"x{k}_{i}" if rng.random() < 0.04 * (k % 4) else w for i, w in enumerate(base)) for k in range(40)]
+    docs = [(k, t) for k, t in enumerate([*texts, texts[3], "", None, "one two"])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = _components(docs, 4, 85)
+    assert 1 < len(set(want.values())) < len(docs)
+    for pivots, earlier in ((0, 64), (0, 0), (1, 2)):
+        monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+        monkeypatch.setattr(ngram_join, "EARLIER", earlier)
+        assert {r["doc_id"]: r["component_id"] for r in rows(ngram_join.jaccard_join(df, 4, 85))} == want
+
+
 def test_signatures_are_shared_by_linked_sets():
     rng = np.random.default_rng(2)
     for size in (2, 5, 40, 60, 64, 70, 900, 1030):
