@@ -175,6 +175,13 @@ ORGS_SCHEMA = T.StructType(
     ]
 )
 
+# Columns kept per dimension in the static extract.
+EXTRACT_DIM_COLUMNS: dict[str, tuple[str, ...]] = {
+    "orgs": ("id", "login"),
+    "repos": ("id", "name"),
+    "actors": ("id", "login", "is_bot"),
+}
+
 GOLD_COUNT_COLUMNS: tuple[str, ...] = (
     "total_events",
     "unique_actors",

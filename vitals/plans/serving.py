@@ -46,16 +46,15 @@ def gold_window(lake: Lake, start: str, end: str) -> DataFrame:
 def silver_window(lake: Lake, start: str, end: str, include_end_day: bool = False) -> DataFrame:
     """Silver events with created_at in [start 00:00, end 00:00] (or the whole end day).
 
-    The same bounds are also stated on the zero-padded partition strings so a
-    partitioned table is pruned to the days in range."""
+    The same bounds are also stated on the table's partition columns (``lake.on_days``) so
+    a partitioned table is pruned to the days in range."""
     lo = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
     end_excl = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1)
     if include_end_day:
         ts_ok = (F.col("created_at") >= lo) & (F.col("created_at") < F.lit(f"{end_excl} 00:00:00").cast("timestamp_ntz"))
     else:
         ts_ok = F.col("created_at").between(lo, F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
-    ymd = F.concat_ws("-", "year", "month", "day")
-    return lake.events().where(ts_ok & (ymd >= F.lit(str(start))) & (ymd <= F.lit(str(end))))
+    return lake.events().where(ts_ok & lake.on_days(start, end))
 
 
 def _sum(c: str) -> Column:

@@ -8,15 +8,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitals.functions.schemas import EXTRACT_DIM_COLUMNS
 from vitals.operators import silver as SV
 from vitals.sources.lake import Lake
 
 # FIXED VALUES: columns kept per dimension in the extract, and CSV headers.
-DIM_COLUMNS: dict[str, tuple[str, ...]] = {
-    "orgs": ("id", "login"),
-    "repos": ("id", "name"),
-    "actors": ("id", "login", "is_bot"),
-}
+DIM_COLUMNS: dict[str, tuple[str, ...]] = EXTRACT_DIM_COLUMNS
 DIM_TRACK: dict[str, str] = {"orgs": "login", "repos": "name", "actors": "login"}
 ORG_CSV_HEADERS: tuple[tuple[str, str], ...] = (
     ("org_name", "Organization"),
@@ -44,10 +41,8 @@ def events_window(lake: Lake, days: int, max_day: str) -> DataFrame:
     hour partition columns."""
     lo = dt.date.fromisoformat(max_day) - dt.timedelta(days=days)
     hi = dt.date.fromisoformat(max_day) + dt.timedelta(days=1)
-    ymd = F.concat_ws("-", "year", "month", "day")
     ev = lake.events().where(
-        (ymd >= F.lit(str(lo)))
-        & (ymd <= F.lit(str(hi)))
+        lake.on_days(str(lo), str(hi))
         & F.col("created_at").between(F.lit(f"{lo} 00:00:00").cast("timestamp_ntz"), F.lit(f"{hi} 00:00:00").cast("timestamp_ntz"))
     )
     return ev.withColumn("date", F.to_date("created_at")).drop("year", "month", "day", "hour")

@@ -1,9 +1,11 @@
 """Table access: one object hands out the five lakehouse tables as DataFrames.
 
-Two backings share one interface, so every metric query runs unchanged on either:
+Three backings share one interface, so every metric query runs unchanged on each:
 
 * :class:`TableLake` reads the written Parquet tables under a root folder with
   explicit schemas (no inference, partition values stay typed as declared).
+* :class:`ExtractLake` reads the static extract of ``export.write_extract`` (events by
+  ``date``, dimensions cut to their newest version).
 * :class:`DerivedLake` derives the same tables lazily from the driver's ``events``
   table through the full raw-JSON → silver → gold path (used by the registered
   queries and the tests, so each answer exercises the whole pipeline).
@@ -62,6 +64,11 @@ class Lake:
     def gold(self) -> DataFrame:
         raise NotImplementedError
 
+    def on_days(self, first: str, last: str) -> Column:
+        """Events of the days [first, last], stated on the partition columns (prunes)."""
+        ymd = F.concat_ws("-", "year", "month", "day")
+        return (ymd >= F.lit(str(first))) & (ymd <= F.lit(str(last)))
+
     # Latest version per id, cut to the columns the queries join on.
     def latest_actors(self) -> DataFrame:
         return SV.latest_dim(self.actors(), "login", ["id", "login", "is_bot"])
@@ -135,16 +142,28 @@ class TableLake(Lake):
             raise FileNotFoundError(f"no table {name!r} at {path}")
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
+    def _read_partitioned(self, name: str, schema: T.StructType, partitions: tuple[str, ...]) -> DataFrame:
+        """As ``_read``, but raises where the partition columns are absent: the explicit
+        schema would fill them with nulls, and every filter on them would drop all rows."""
+        df, path = self._read(name, schema), self.paths[name]
+        folders, files = children(self.spark, path)
+        held = {f.split("=", 1)[0] for f in folders if "=" in f}
+        if files:  # not in folders: the columns must be in the files
+            held |= {c for c in self.spark.read.parquet(path).columns if c == partitions[0]} or {"no folder"}
+        if held - {partitions[0]}:
+            raise ValueError(f"table {name!r} at {path} is laid out by {sorted(held)}, not by {list(partitions)}")
+        return df
+
     def bronze(self) -> DataFrame:
         schema = T.StructType(
             list(S.BRONZE_SCHEMA.fields)
             + [T.StructField("source_file", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampType())]
             + [T.StructField(p, T.StringType()) for p in S.BRONZE_PARTITIONS]
         )
-        return self._read("bronze", schema)
+        return self._read_partitioned("bronze", schema, S.BRONZE_PARTITIONS)
 
     def events(self) -> DataFrame:
-        return self._read("events", S.SILVER_EVENTS_SCHEMA)
+        return self._read_partitioned("events", S.SILVER_EVENTS_SCHEMA, S.EVENT_PARTITIONS)
 
     def actors(self) -> DataFrame:
         return self._read("actors", S.ACTORS_SCHEMA)
@@ -162,6 +181,40 @@ class TableLake(Lake):
         return exists(self.spark, self.paths[name])
 
 
+class ExtractLake(TableLake):
+    """The static extract under ``root`` (``export.write_extract``), for serving only: events
+    partitioned by ``date``, dimensions with one row per id and the extract's columns."""
+
+    def on_days(self, first: str, last: str) -> Column:
+        return F.col("date").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+
+    def events(self) -> DataFrame:
+        kept = [f for f in S.SILVER_EVENTS_SCHEMA.fields if f.name not in S.EVENT_PARTITIONS]
+        return self._read_partitioned("events", T.StructType([*kept, T.StructField("date", T.DateType())]), ("date",))
+
+    def _dimension(self, name: str, schema: T.StructType) -> DataFrame:
+        cut = T.StructType([schema[c] for c in S.EXTRACT_DIM_COLUMNS[name]])
+        # one version per id is left, so the missing time of first sight decides nothing
+        return self._read(name, cut).withColumn("first_seen_at", F.lit(None).cast("timestamp_ntz"))
+
+    def actors(self) -> DataFrame:
+        return self._dimension("actors", S.ACTORS_SCHEMA)
+
+    def repos(self) -> DataFrame:
+        return self._dimension("repos", S.REPOS_SCHEMA)
+
+    def orgs(self) -> DataFrame:
+        return self._dimension("orgs", S.ORGS_SCHEMA)
+
+
+def children(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """Names of the folders directly under ``path``, and whether Parquet files lie there."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hpath)
+    names = [(f.getPath().getName(), f.isDirectory()) for f in found]
+    return [n for n, folder in names if folder], any(n.endswith(".parquet") for n, folder in names if not folder)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (through the Hadoop file system, so the same
     call works for object stores)."""
