@@ -1,7 +1,7 @@
 """Operator 5: language identification by segmentation-marginalised unigrams.
 
 The pieces of a fixed public vocabulary have a probability in each language. The probability
-of a word is the sum over all its segmentations into pieces (forward algorithm); a text's
+of a word, however long, is the sum over all its segmentations into pieces (forward algorithm); a text's
 is the product over its words. The pieces' probabilities are fitted by expectation maximisation (forward-backward
 counts) on word counts of labelled documents outside the held-out fold. The text is scored whole; the
 words' log-probabilities are computed once for each distinct word a worker meets.
@@ -30,13 +30,16 @@ from vitals.llm.toxicity import fold
 
 FOLDS, HELD_OUT = 4, 2
 MAX_DOCS, ROUNDS = 1000, 2
-#: Longest piece looked up, and the longest stretch of a word handled at once.
-MAX_PIECE, MAX_WORD = 12, 48
+#: Characters walked in one scale, characters between the places that a long word's walk is taken up from again, and
+#: characters of the words walked together.
+BLOCK, STRETCH, CELLS = 16, 1024, 8192
 SMOOTH = 0.1
-#: Words whose probabilities a worker keeps before it starts over.
-MAX_KNOWN = 300_000
+#: Words, and their letters, whose probabilities a worker keeps before it starts over.
+MAX_KNOWN, MAX_LETTERS = 300_000, 16_000_000
+#: Expected counts held before they are added up.
+MAX_FLOWS = 1 << 18
 
-WORD = re.compile(r"[^\W\d_]{1,%d}" % MAX_WORD)
+WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
 
 
@@ -48,13 +51,13 @@ def pieces(path: str) -> dict[str, int]:
     out: dict[str, int] = {}
     for i in range(sp.get_piece_size()):
         p = sp.id_to_piece(i)
-        if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i)) and len(p) <= MAX_PIECE:
+        if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i)):
             out.setdefault(p, len(out) + 1)
     return out
 
 
-def stretches(text: str) -> list[str]:
-    """The lower-case words of a text; overlong ones in stretches of ``MAX_WORD`` letters."""
+def words_of(text: str) -> list[str]:
+    """The lower-case words of a text."""
     return WORD.findall(text.lower())
 
 
@@ -72,6 +75,7 @@ class Pieces:
     """The vocabulary as a hash table that numpy can probe: piece hash → row."""
 
     def __init__(self, vocab: dict[str, int], bits: int = 18):
+        self.longest = max(map(len, vocab), default=1)
         self.size, self.shift, self.mask = len(vocab), np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.rows, self.probes = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32), 1
         for piece, row in vocab.items():
@@ -92,20 +96,25 @@ class Pieces:
         return out
 
 
-def lattice(words: list[str], vocab: Pieces) -> np.ndarray:
-    """Piece rows of words of one length: [end - 1, lag - 1, word]; -1 where no piece fits.
+def characters(words: list[str]) -> np.ndarray:
+    """Character numbers of words of one length, each behind its start mark: [position, word]."""
+    return _codes("".join(START + w for w in words)).reshape(len(words), -1).T.copy()
+
+
+def lattice(codes: np.ndarray, at: int, to: int, vocab: Pieces) -> np.ndarray:
+    """Piece rows of the pieces that end after ``at`` + 1 to ``to`` characters: [end, lag - 1, word]; -1 where no
+    piece fits.
 
     A single character without a piece counts as the unknown piece, row 0.
     """
-    n = len(words[0]) + 1
-    codes = _codes("".join(START + w for w in words)).reshape(len(words), n).T.copy()
-    arcs = np.full((n, min(n, MAX_PIECE), len(words)), -1, np.int32)
-    for end in range(1, n + 1):
-        h = np.zeros(len(words), np.uint64)
-        for lag in range(1, min(end, MAX_PIECE) + 1):
-            h = h * _STEP + codes[end - lag]
-            found = vocab.find(h)
-            arcs[end - 1, lag - 1] = np.maximum(found, 0) if lag == 1 else found
+    arcs = np.full((to - at, min(len(codes), vocab.longest), codes.shape[1]), -1, np.int32)
+    h = np.zeros((to - at, codes.shape[1]), np.uint64)
+    for lag in range(1, min(to, vocab.longest) + 1):
+        first = max(at + 1, lag)
+        part = h[first - at - 1 :]
+        part[:] = part * _STEP + codes[first - lag : to - lag + 1]
+        found = vocab.find(part)
+        arcs[first - at - 1 :, lag - 1] = np.maximum(found, 0) if lag == 1 else found
     return arcs
 
 
@@ -119,24 +128,42 @@ def vocabulary(path: str) -> Pieces:
     return _VOCAB[path]
 
 
-def forward(arcs: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """alpha[end, word, language]: probability of all segmentations up to ``end``. The last row of
-    ``prob`` is 0, which is what arcs of -1 read."""
-    n, lags, m = arcs.shape
-    alpha = np.zeros((n + 1, m, prob.shape[1]))
-    alpha[0] = 1
-    for end in range(1, n + 1):
-        for lag in range(1, min(end, lags) + 1):
-            alpha[end] += alpha[end - lag] * prob[arcs[end - 1, lag - 1]]
+def opening(codes: np.ndarray, vocab: Pieces, prob: np.ndarray) -> np.ndarray:
+    """The alphas before the first character."""
+    alpha = np.zeros((min(len(codes), vocab.longest), codes.shape[1], prob.shape[1]))
+    alpha[-1] = 1
     return alpha
 
 
-def by_length(words: list[str], most: int = 4096):
-    """Indices and texts of words of equal length, at most ``most`` at a time."""
+def forward(codes: np.ndarray, at: int, to: int, before: np.ndarray, vocab: Pieces, prob: np.ndarray):
+    """Blocks (at, arcs, alpha, shift) of the characters from ``at`` to ``to``, given the last alphas before them.
+
+    alpha[lags + i, word, language] is the probability of all segmentations up to ``at`` + i + 1 characters, divided by
+    two to the power of the shifts so far; the rows above are the last alphas before the block, in the same
+    scale. Powers of two alone are taken out, so nothing is rounded. The last row of ``prob`` is 0, which is what
+    arcs of -1 read.
+    """
+    lags = len(before)
+    for start in range(at, to, BLOCK):
+        end = min(start + BLOCK, to)
+        arcs = lattice(codes, start, end, vocab)
+        shift = np.frexp(before.max(0))[1] if start else np.zeros(before.shape[1:], np.int32)
+        alpha = np.zeros((lags + end - start, *before.shape[1:]))
+        alpha[:lags] = np.ldexp(before, -shift)
+        for i in range(end - start):
+            n = min(start + i + 1, lags)
+            alpha[lags + i] = (alpha[lags + i - n : lags + i][::-1] * prob[arcs[i, :n]]).sum(0)
+        yield start, arcs, alpha, shift
+        before = alpha[-lags:]
+
+
+def by_length(words: list[str], cells: int = CELLS):
+    """Indices and texts of words of equal length, of about ``cells`` characters at a time."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         groups.setdefault(len(w), []).append(i)
-    for ids in groups.values():
+    for length, ids in groups.items():
+        most = max(1, cells // (length + 1))
         for at in range(0, len(ids), most):
             yield ids[at : at + most], [words[i] for i in ids[at : at + most]]
 
@@ -149,31 +176,55 @@ def log_probabilities(words: list[str], vocab: Pieces, prob: np.ndarray) -> np.n
     """Log-probability of each word in every language; ``prob`` is padded."""
     out = np.zeros((len(words), prob.shape[1]))
     for ids, group in by_length(words):
-        out[ids] = np.log(np.maximum(forward(lattice(group, vocab), prob)[-1], 1e-300))
+        codes, shifts = characters(group), 0
+        for _, _, alpha, shift in forward(codes, 0, len(codes), opening(codes, vocab, prob), vocab, prob):
+            shifts = shifts + shift
+        out[ids] = np.log(np.maximum(alpha[-1], 1e-300)) + shifts * np.log(2)
     return out
 
 
 def expected(words: list[str], counts: np.ndarray, vocab: Pieces, prob: np.ndarray) -> np.ndarray:
     """Expected counts of every piece, for words seen ``counts`` times in each language."""
     total = np.zeros_like(prob)
-    for ids, group in by_length(words):
-        steps, flows = [], []
-        arcs = lattice(group, vocab)
-        alpha = forward(arcs, prob)
-        beta = np.zeros_like(alpha)
-        beta[-1] = counts[ids] / np.maximum(alpha[-1], 1e-300)
-        for end in range(arcs.shape[0], 0, -1):
-            for lag in range(1, min(end, arcs.shape[1]) + 1):
-                p = arcs[end - 1, lag - 1]
-                share = prob[p] * beta[end]
-                steps.append(p)
-                flows.append(alpha[end - lag] * share)
-                beta[end - lag] += share
+    steps, flows, held = [], [], 0
+
+    def add():
         used, flow = np.concatenate(steps), np.concatenate(flows)
         for k in range(prob.shape[1]):
-            # arcs of -1 go to the last row
-            total[:, k] += np.bincount(np.where(used < 0, len(total) - 1, used), flow[:, k], len(total))
-    total[-1] = 0
+            total[:, k] += np.bincount(used, flow[:, k], len(total))
+
+    for ids, group in by_length(words):
+        codes = characters(group)
+        # of a long word the alphas before each stretch are kept, and the stretches are walked again backwards
+        marks, before = [], opening(codes, vocab, prob)
+        lags = len(before)
+        for at in range(0, len(codes), STRETCH):
+            marks.append((at, before))
+            if at + STRETCH < len(codes):
+                for *_, alpha, _ in forward(codes, at, at + STRETCH, before, vocab, prob):
+                    before = alpha[-lags:]
+        # how often a segmentation has a border at each of the last places
+        behind = np.zeros_like(before)
+        behind[-1] = counts[ids]
+        for at, before in reversed(marks):
+            for start, arcs, alpha, _ in reversed(list(forward(codes, at, min(at + STRETCH, len(codes)), before, vocab, prob))):
+                border = np.zeros_like(alpha)
+                border[-lags:] = behind
+                for i in range(len(arcs) - 1, -1, -1):
+                    n = min(start + i + 1, lags)
+                    p, back = arcs[i, :n], slice(lags + i - n, lags + i)
+                    flow = alpha[back][::-1] * prob[p] * (border[lags + i] / np.maximum(alpha[lags + i], 1e-300))
+                    border[back] += flow[::-1]
+                    fits = p >= 0
+                    steps.append(p[fits])
+                    flows.append(flow[fits])
+                    held += len(steps[-1])
+                behind = border[:lags]
+                if held > MAX_FLOWS:
+                    add()
+                    steps, flows, held = [], [], 0
+    if held:
+        add()
     return total
 
 
@@ -184,7 +235,7 @@ def _count_words(batches):
         for batch in batches:
             seen: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts(batch), strict=True):
-                seen.setdefault(lang, Counter()).update(stretches(text))
+                seen.setdefault(lang, Counter()).update(words_of(text))
             for lang, counter in seen.items():
                 for word, n in counter.items():
                     yield lang, word, n
@@ -243,16 +294,18 @@ def _predict(shared, path: str):
         langs, prob = shared.value
         prob, vocab = padded(prob), vocabulary(path)
         known: dict[str, int] = {}
+        letters = 0
         table = np.zeros((0, len(langs)))
         for batch in batches:
-            parts = [stretches(t) if langs else [] for t in texts(batch)]
-            if len(known) > MAX_KNOWN:
+            parts = [words_of(t) if langs else [] for t in texts(batch)]
+            if len(known) > MAX_KNOWN or letters > MAX_LETTERS:
                 known.clear()
-                table = table[:0]
+                letters, table = 0, table[:0]
             new = [w for w in dict.fromkeys(w for p in parts for w in p) if w not in known]
             if new:
                 table = np.vstack([table, log_probabilities(new, vocab, prob)])
                 known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+                letters += sum(map(len, new))
             for doc_id, words in zip(batch.column("doc_id").to_pylist(), parts, strict=True):
                 if not words:
                     yield doc_id, "und", 0.0
