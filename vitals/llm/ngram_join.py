@@ -23,7 +23,11 @@ occur once (among sets of like size) are dropped; the others give candidates: al
 the whole sets, and rows that are connected already are not compared again. The rows that are still open after
 ``PIVOTS`` rounds are joined anew among themselves, by prefixes in ascending order of how many of them hold a token,
 and a pair is verified only if what follows its shared token, and the parity sketches of both sets, leave room for
-a link. So no link is lost, and a group of m near copies costs about m comparisons a round.
+a link. So no component is split, and a group of m near copies costs about m comparisons a round.
+
+``jaccard_join`` gives connectivity: links inside a component that is known already are not verified. ``jaccard_links`` gives
+every link, verified, with the number of pairs of rows it stands for; its work grows with the number of links, which
+in a group of m near copies is the square of m.
 
 Cases: null text, or text without a word, has an empty set and links with nothing; with fewer words
 than the shingle the whole sequence is one shingle; rows with the same doc_id are one node and are each
@@ -376,3 +380,32 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # the rows of a representative share its component, whose smallest id is a representative
     out = by_rep.join(labels, by_rep["rep"] == labels["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
+
+
+def _keyed_sets(n: int):
+    """Every document's set with a 63-bit key of it; documents without a set are left out."""
+
+    def rows(batches):
+        for batch in batches:
+            for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts(batch), n), strict=True):
+                if doc_id is not None and len(s):
+                    yield doc_id, xxhash.xxh3_64_intdigest(s.tobytes()) >> 1, s.tobytes()
+
+    return lambda batches: rows_batches(rows(batches), pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("tokens", pa.binary())]), 200)
+
+
+def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """Every link between different sets: a, b (the smallest doc_ids of either set) and links, the pairs of document
+    rows that it stands for; rows of equal sets link with each other in a row of a = b."""
+    prepare(docs.sparkSession)
+    rows = stage(docs.select("doc_id", "text").mapInArrow(_keyed_sets(n), "doc_id long, key long, tokens binary"), "links-rows")
+    held = stage(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "links-keys")
+    sets = stage(rows.groupBy("key").agg(F.first("tokens").alias("tokens")).withColumnRenamed("key", "doc_id"), "links-sets")
+    discard(rows)
+    near = stage(_open_pairs(sets, sets.select("doc_id", F.col("doc_id").alias("component")), percent).select("a", "b").distinct(), "links-near")
+    x, y = (sets.select(F.col("doc_id").alias(k), F.col("tokens").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    found = near.join(x, "a").join(y, "b").mapInArrow(_verify(percent), "a long, b long")
+    left, right = (held.select(F.col("key").alias(k), F.col("rep").alias(f"r{k}"), F.col("rows").alias(f"n{k}")) for k in "ab")
+    between = found.join(left, "a").join(right, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), (F.col("na") * F.col("nb")).alias("links"))
+    equal = held.where("rows > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.expr("rows * (rows - 1) div 2").alias("links"))
+    return between.unionAll(equal)
