@@ -1,7 +1,7 @@
 """Operator 9: near-duplicate vectors with randomised-rotation binary codes.
 
-Each vector is scaled to length 1 and turned by one random rotation R. Its code keeps the signs of R x; the stored
-factor f = <R x, code> / sqrt(D) corrects the estimate: <code_x, R y> / (sqrt(D) f) is an unbiased
+Each vector is scaled to length 1 and turned by one random rotation R, once; R x, its code (the packed signs of R x) and its
+factor go to the tables and blocks. The factor f = <R x, code> / sqrt(D) corrects the estimate: <code_x, R y> / (sqrt(D) f) is an unbiased
 estimate of <x, y> whose error exceeds ``WIDTH`` * sqrt((1 - f^2) / (f^2 (D - 1))) with the negligible probability of
 a WIDTH-sigma event. Pairs whose upper bound lies below the threshold are dropped; all others are
 recomputed exactly, in double precision, so no pair below the threshold is ever linked.
@@ -85,31 +85,44 @@ def band_keys(x: np.ndarray, planes: np.ndarray, bits: int) -> np.ndarray:
     return signs @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def _banded(shared, bits: int):
+def coded(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(packed signs, correction factors <r, code> / sqrt(D)) of turned vectors."""
+    return np.packbits(r >= 0, axis=1), np.abs(r).sum(1) / math.sqrt(r.shape[1])
+
+
+def _banded(shared, bits: int, dim: int):
+    turn = rotation(dim)
+
     def run(batches):
         planes = shared.value
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float64).reshape(batch.num_rows, -1)
             keys = band_keys(x, planes, bits)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), batch.column("x"), pa.array(keys.tolist(), pa.list_(pa.int64()))], names=["node", "n", "x", "bands"])
+            r = x @ turn.T
+            code, factor = coded(r)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), pa.array([v.tobytes() for v in r], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor), pa.array(keys.tolist(), pa.list_(pa.int64()))],
+                names=["node", "n", "r", "code", "factor", "bands"],
+            )
 
     return run
 
 
-def estimate(a: np.ndarray, b: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unbiased estimates of all inner products of rows of a and b, half-widths for the rows of a)."""
-    ra, rb = a @ turn.T, b @ turn.T
-    code, dim = np.where(ra >= 0, 1.0, -1.0).astype(np.float32), a.shape[1]
-    factor = np.abs(ra).sum(1) / math.sqrt(dim)  # <R a, code> / sqrt(D): stored with the code
-    est = (code @ rb.T.astype(np.float32)) / (math.sqrt(dim) * factor[:, None])
+def estimate(code: np.ndarray, factor: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unbiased estimates of all inner products of coded vectors with turned ones (float32), half-widths for the
+    coded ones), from the stored codes and factors."""
+    dim = turned.shape[1]
+    signs = np.unpackbits(code, axis=1, count=dim).astype(np.float32) * 2 - 1
+    est = (signs @ turned.T) / (math.sqrt(dim) * factor[:, None])
     return est, WIDTH * np.sqrt(np.maximum(1 - factor**2, 0) / (factor**2 * max(dim - 1, 1)))
 
 
-def block_links(a: dict, b: dict | None, table: int, threshold: float, turn: np.ndarray):
+def block_links(a: dict, b: dict | None, table: int, threshold: float):
     """Links between two blocks of a bucket (or within one): (counts of a, counts of b, forest edges)."""
     other = a if b is None else b
     na, nb, edges = np.zeros(len(a["node"]), np.int64), np.zeros(len(other["node"]), np.int64), []
     parent: dict[int, int] = {}
+    turned = other["r"].astype(np.float32)
 
     def root(v):
         while parent.get(v, v) != v:
@@ -119,7 +132,7 @@ def block_links(a: dict, b: dict | None, table: int, threshold: float, turn: np.
 
     for at in range(0, len(a["node"]), 512):
         rows = slice(at, at + 512)
-        est, half = estimate(a["x"][rows], other["x"], turn)
+        est, half = estimate(a["code"][rows], a["factor"][rows], turned)
         i, j = np.nonzero(est + half[:, None] >= threshold)
         i += at
         if b is None:
@@ -129,7 +142,7 @@ def block_links(a: dict, b: dict | None, table: int, threshold: float, turn: np.
             i, j = i[fresh], j[fresh]
         for k in range(0, len(i), 50_000):
             p, q = i[k : k + 50_000], j[k : k + 50_000]
-            ok = np.einsum("ij,ij->i", a["x"][p], other["x"][q]) >= threshold
+            ok = np.einsum("ij,ij->i", a["r"][p], other["r"][q]) >= threshold
             p, q = p[ok], q[ok]
             np.add.at(na, p, other["n"][q])
             np.add.at(nb, q, a["n"][p])
@@ -150,21 +163,21 @@ def _arrays(t: pa.Table) -> dict:
     return {
         "node": t.column("node").to_numpy(),
         "n": t.column("n").to_numpy(),
-        "x": np.frombuffer(b"".join(t.column("x").to_pylist()), np.float64).reshape(n, -1),
+        "r": np.frombuffer(b"".join(t.column("r").to_pylist()), np.float64).reshape(n, -1),
+        "code": np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(n, -1),
+        "factor": t.column("factor").to_numpy(),
         "bands": np.array(t.column("bands").to_pylist(), np.int64).reshape(n, -1),
     }
 
 
-def _meet(threshold: float, dim: int):
-    turn = rotation(dim)
-
+def _meet(threshold: float):
     def run(t: pa.Table) -> pa.Table:
         table = t.column("t")[0].as_py()
         side = t.column("block").to_numpy()
         lo, hi = t.column("p")[0].as_py(), t.column("q")[0].as_py()
         a = _arrays(t.filter(pa.array(side == lo)))
         b = None if lo == hi else _arrays(t.filter(pa.array(side == hi)))
-        na, nb, edges = block_links(a, b, table, threshold, turn)
+        na, nb, edges = block_links(a, b, table, threshold)
         rows = [(u, None, n) for u, n in zip(a["node"].tolist(), (na if b is not None else na + nb).tolist(), strict=True) if n]
         if b is not None:
             rows += [(u, None, n) for u, n in zip(b["node"].tolist(), nb.tolist(), strict=True) if n]
@@ -187,14 +200,14 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     count = rows.where("digest is not null").count()
     bits, tables = plan(count, threshold)
     planes = spark.sparkContext.broadcast(band_planes(dim, bits, tables))
-    banded = stage(held.mapInArrow(_banded(planes, bits), "node long, n long, x binary, bands array<long>"), "vectors-banded")
-    tagged = banded.select("node", "n", "x", "bands", F.posexplode("bands").alias("t", "band"))
+    banded = stage(held.mapInArrow(_banded(planes, bits, dim), "node long, n long, r binary, code binary, factor double, bands array<long>"), "vectors-banded")
+    tagged = banded.select("node", "n", "r", "code", "factor", "bands", F.posexplode("bands").alias("t", "band"))
     buckets = banded.select(F.posexplode("bands").alias("t", "band")).groupBy("t", "band").agg(F.count("*").alias("m")).where("m > 1")
     blocks = F.ceil(F.col("m") / block).cast("int")
     dealt = tagged.join(buckets, ["t", "band"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # every two blocks of a bucket meet once: a block goes to the pairs (p, q) that hold it
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
-    found = met.select("t", "band", "p", "q", "block", "node", "n", "x", "bands").groupBy("t", "band", "p", "q").applyInArrow(_meet(threshold, dim), _LINK)
+    found = met.select("t", "band", "p", "q", "block", "node", "n", "r", "code", "factor", "bands").groupBy("t", "band", "p", "q").applyInArrow(_meet(threshold), _LINK)
     found = stage(found, "vectors-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     # rows that repeat a vec_id tie their vectors together
