@@ -35,19 +35,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at a Jaccard similarity of 0.8, the smallest doc_id stays.
 
-    Rows without words or doc_id stay. Of rows that repeat a doc_id one stays: that with the smallest text hash.
+    Rows without words or doc_id stay. Of rows that repeat a doc_id one stays: that with the smallest text hash; so texts
+    that are not alike, but share a doc_id, go too, and they tie the groups of their copies together.
     """
     prepare(spark)
     found = ngram_join.jaccard_join(docs, n=5, percent=80)
     by_id = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
     by_id = stage(by_id.select(F.col("doc_id").alias("k_id"), (F.col("first") == F.col("doc_id")).alias("k_stays"), (F.col("rows") > 1).alias("k_many")), "pipeline-groups")
     joined = docs.join(by_id, docs["doc_id"] == by_id["k_id"], "left").where("k_stays is null or k_stays")
-    # several rows of one id are rare, and they alone are ranked; a row without words has no group
+    # several rows of one id are rare, and the smallest of them is found map-side; a row without words has no group
     wordless = ~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
     many = F.coalesce("k_many", F.lit(False)) & ~wordless
-    rank = F.row_number().over(W.partitionBy("k_id").orderBy(F.xxhash64("text")))
-    one = joined.where(many).withColumn("k_rank", rank).where("k_rank = 1")
-    return joined.where(~many).select(docs.columns).unionAll(one.select(docs.columns))
+    one = joined.where(many).groupBy("k_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("k_row"))
+    return joined.where(~many).select(docs.columns).unionAll(one.select("k_row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
