@@ -42,6 +42,8 @@ SUCCESS, FAILED, EMPTY = "success", "failed", "empty"
 ROWS_PER_FILE = 2_000_000
 # Append-only tables (ledger, dimensions) are rewritten once they exceed this many files.
 COMPACT_AFTER_FILES = 64
+# Failing rows of a table that a failed batch's report shows.
+SAMPLE_ROWS = 5
 
 
 @dataclass
@@ -50,6 +52,8 @@ class BatchReport:
     partitions: int = 0
     rows: dict[str, int] = field(default_factory=dict)
     violations: list[tuple[str, str, str, int]] = field(default_factory=list)
+    # The first failing rows of each table of a failed batch.
+    samples: dict[str, list[dict]] = field(default_factory=dict)
 
 
 def _evaluate(name: str, df: DataFrame, contract: C.Contract) -> tuple[list[tuple[str, str, str, int]], int]:
@@ -57,6 +61,12 @@ def _evaluate(name: str, df: DataFrame, contract: C.Contract) -> tuple[list[tupl
     return [(name, rule, col, n) for rule, col, n in bad], rows
 
 
+def _first_failing(df: DataFrame, contract: C.Contract, key: str = "id") -> list[dict]:
+    """The first failing rows by ``key`` (row rules and unique keys), a bounded top-k."""
+    bad = C.split_passing(df, contract)[1]
+    return [r.asDict() for r in bad.orderBy(key).limit(SAMPLE_ROWS).collect()]
+
+
 def silver_batch(
     lake: TableLake,
     now: Column | None = None,
@@ -162,7 +172,8 @@ def _check_and_publish(lake: TableLake, staged: dict[str, DataFrame], on_violati
         bad, rows[name] = _evaluate(name, df, contracts[name])
         found += bad
     if found and on_violation == "fail":
-        return BatchReport(FAILED, violations=found)
+        failing = {name for name, *_ in found}
+        return BatchReport(FAILED, violations=found, samples={n: _first_failing(staged[n], contracts[n]) for n in staged if n in failing})
     if found:  # quarantine: failing rows aside, the rest goes on
         for name, df in staged.items():
             good, bad = C.split_passing(df, contracts[name])
@@ -198,7 +209,7 @@ def gold_batch(lake: TableLake, now: Column | None = None, days: tuple[str, str]
     try:
         found, n = _evaluate("gold", daily, C.GOLD)
         if found:
-            return BatchReport(FAILED, violations=found)
+            return BatchReport(FAILED, violations=found, samples={"gold": _first_failing(daily, C.GOLD, "repo_id")})
         TB.replace_partitions(daily, lake.paths["gold"], GOLD_PARTITIONS)
         return BatchReport(SUCCESS, rows={"gold": n})
     finally:
