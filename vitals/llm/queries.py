@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm import decontam, html_extract, langid, mixing, ngram_join, substrings, tokens, toxicity, vectors, warc
+from vitals.llm import byte_cnn, conversations, decontam, hard_negatives, html_extract, langid, mixing, ngram_join, substrings, tokens, toxicity, vectors, warc
 from vitals.llm.common import table
 from vitals.session import scratch_path
 
@@ -90,6 +91,29 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = byte_cnn.score(docs, byte_cnn.fit(docs, table(spark, sf_dir, "labels")))
+    held = (byte_cnn.fold() == byte_cnn.HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= byte_cnn.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.quantise(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.repair(conversations.damage(rows)).withColumnRenamed("conv_id", "r_id")
+    ids = rows.select("conv_id").distinct()
+    joined = ids.join(found, ids["conv_id"].eqNullSafe(found["r_id"]), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = hashlib.sha256().hexdigest()
+    return joined.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_token_ids": op1_token_ids,
@@ -102,4 +126,7 @@ def queries() -> dict[str, QueryFn]:
         "op8_repeated_substrings": op8_repeated_substrings,
         "op9_near_vectors": op9_near_vectors,
         "op10_main_text": op10_main_text,
+        "op11_quality": op11_quality,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_conversation_repair": op13_conversation_repair,
     }
