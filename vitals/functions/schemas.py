@@ -201,3 +201,13 @@ GOLD_COUNT_COLUMNS: tuple[str, ...] = (
     "issues_closed",
 )
 GOLD_PARTITIONS: tuple[str, ...] = ("year", "month", "day")
+
+# Raw rows that a silver batch sets aside: what was delivered, the archive hour, and why.
+REJECTS_SCHEMA = T.StructType(
+    [
+        *(f for f in BRONZE_SCHEMA.fields),
+        T.StructField("source", T.StringType()),
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        T.StructField("batch", T.StringType()),
+    ]
+)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vitals.functions.columns import detect_bot, extract_action, parse_created_at, partition_columns
 from vitals.functions.schemas import ACTOR_STRUCT, KNOWN_EVENT_TYPES, ORG_STRUCT, REPO_STRUCT
@@ -24,7 +25,7 @@ def filter_known_events(bronze: DataFrame) -> DataFrame:
 def parse_structs(df: DataFrame) -> DataFrame:
     """Decode actor / repo / org JSON text into structs and created_at into a naive
     timestamp. Null text gives a null struct; malformed text gives a struct of nulls
-    (PERMISSIVE), which the contracts then count."""
+    (PERMISSIVE), for which :func:`parse_checked` gives the row a reason."""
     return (
         df.withColumn("actor_struct", F.from_json("actor", ACTOR_STRUCT))
         .withColumn("repo_struct", F.from_json("repo", REPO_STRUCT))
@@ -48,6 +49,43 @@ def parse_bronze(bronze: DataFrame) -> DataFrame:
     return with_action(parse_structs(filter_known_events(bronze)))
 
 
+#: Reasons for which a row is no event as it stands: a batch fails on them, or sets them aside.
+FATAL = ("id malformed", "actor malformed", "repo malformed", "org malformed")
+#: Rows without an id, actor or repository are left out of the fact, and set aside.
+MISSING = ("id missing", "actor missing", "repo missing")
+#: Rows that reach the fact and fail its contract there.
+BAD_TIME = ("time missing", "time malformed")
+
+_CORRUPT = "_corrupt"
+_RAW = ("id", "type", "actor", "repo", "payload", "public", "created_at", "org")
+
+
+def parse_checked(bronze: DataFrame) -> DataFrame:
+    """As :func:`parse_bronze`, with two more columns from the same pass: ``reasons`` (everything that is wrong with the
+    row, empty for a good one) and ``raw`` (the row's texts, for rows with reasons alone, so good rows stay narrow)."""
+    rows = filter_known_events(bronze)
+    decoded = {
+        name: F.from_json(name, StructType([*schema.fields, StructField(_CORRUPT, StringType())]), {"columnNameOfCorruptRecord": _CORRUPT})
+        for name, schema in (("actor", ACTOR_STRUCT), ("repo", REPO_STRUCT), ("org", ORG_STRUCT))
+    }
+    rows = rows.withColumns({f"{name}_struct": struct for name, struct in decoded.items()} | {"_at": parse_created_at("created_at"), "action": extract_action("payload", "type")})
+    broken = {name: F.col(f"{name}_struct.{_CORRUPT}").isNotNull() for name in decoded}
+    found = [
+        F.when(F.col("id").isNull(), "id missing").when(F.col("id").try_cast("long").isNull(), "id malformed"),
+        *(F.when(broken[n], f"{n} malformed").when(F.col(f"{n}_struct.id").isNull(), f"{n} missing") for n in ("actor", "repo")),
+        F.when(broken["org"], "org malformed"),
+        F.when(F.col("created_at").isNull(), "time missing").when(F.col("_at").isNull(), "time malformed"),
+    ]
+    reasons = F.filter(F.array(*found), lambda x: x.isNotNull())
+    raw = F.when(F.size("reasons") > 0, F.struct(*_RAW))
+    checked = rows.withColumn("reasons", reasons).withColumn("raw", raw).drop("actor", "repo", "org", "payload", "created_at")
+    return checked.withColumnRenamed("_at", "created_at")
+
+
+def has_reason(*reasons: str) -> Column:
+    return F.arrays_overlap("reasons", F.array(*(F.lit(x) for x in reasons)))
+
+
 def dedup_by_key(df: DataFrame, key: str = "id") -> DataFrame:
     """One row per key. The survivor is the smallest row, so the choice is stable under
     task retries and reruns (identical duplicates make it irrelevant)."""
@@ -75,11 +113,24 @@ def dedup_clustered(df: DataFrame, cluster: list[str], buckets: DataFrame, n_par
     order = [c for c in (PUBLISHED_FIRST, "created_at") if c in df.columns]
     order += [c for c in columns if c not in (key, *order)]
     unique = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_row")).select(*(key if c == key else F.col(f"_row.{c}").alias(c) for c in columns))
+    return layout(unique, cluster, buckets, n_partitions, key)
+
+
+def layout(df: DataFrame, cluster: list[str], buckets: DataFrame, n_partitions: int, key: str = "id") -> DataFrame:
+    """Step 2 of :func:`dedup_clustered`: the shuffle on (cluster, salt)."""
     n_salt = F.coalesce(F.col("_buckets"), F.lit(1))
-    salted = unique.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
+    salted = df.join(F.broadcast(buckets.withColumnRenamed("buckets", "_buckets")), cluster, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(F.col(key)), n_salt)
     )
-    return salted.repartition(max(1, int(n_partitions)), *cluster, "_salt").select(*columns)
+    return salted.repartition(max(1, int(n_partitions)), *cluster, "_salt").select(*df.columns)
+
+
+def dedup_deliveries(facts: DataFrame, key: str = "id") -> DataFrame:
+    """One row per ``key`` with ``source`` (the archive hour of the row that survives: the earliest, then the smallest) and
+    ``sources`` (all hours that delivered it: at most the hours of a batch). Combined map-side."""
+    order = ["created_at", *(c for c in facts.columns if c not in (key, "created_at", "source")), "source"]
+    one = facts.groupBy(key).agg(F.min(F.struct(*order)).alias("_row"), F.collect_set("source").alias("sources"))
+    return one.select(*(key if c == key else F.col(f"_row.{c}").alias(c) for c in facts.columns), "sources")
 
 
 def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tuple[DataFrame, int]:
@@ -95,8 +146,8 @@ def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tu
     return table, int(sum(r["buckets"] for r in rows))
 
 
-def events_projection(parsed: DataFrame) -> DataFrame:
-    """Typed fact columns of the parsed frame, before null-drop and dedup."""
+def events_projection(parsed: DataFrame, *more: str) -> DataFrame:
+    """Typed fact columns of the parsed frame (and ``more`` of its columns), before null-drop and dedup."""
     return parsed.select(
         F.col("id").try_cast("long").alias("id"),
         "type",
@@ -107,6 +158,7 @@ def events_projection(parsed: DataFrame) -> DataFrame:
         "public",
         "created_at",
         *partition_columns("created_at"),
+        *more,
     )
 
 

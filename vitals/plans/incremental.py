@@ -1,6 +1,6 @@
 """What is left to process: pending bronze partitions, the gold watermark, pending
 days and their batches. Every answer is a small DataFrame (one row per hour or day);
-the only values brought to the driver are day bounds."""
+the only value brought to the driver is the watermark."""
 
 from __future__ import annotations
 
@@ -12,22 +12,6 @@ from vitals.functions.schemas import BRONZE_PARTITIONS, GOLD_SENTINEL_DAY
 PARTITION_KEYS = list(BRONZE_PARTITIONS)
 
 
-def partition_values(table: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct partition values of a partitioned table, answered from the folder
-    listing alone (metadata-only optimisation: no data file is opened). One row per
-    partition (hours), so the values are materialised as a small local frame."""
-    spark = table.sparkSession
-    key = "spark.sql.optimizer.metadataOnly"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        rows = table.select(*keys).distinct().collect()
-    finally:
-        spark.conf.set(key, before)
-    schema = ", ".join(f"`{k}` {table.schema[k].dataType.simpleString()}" for k in keys)
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
-
-
 def bronze_partitions(bronze: DataFrame) -> DataFrame:
     """Distinct hour partitions of bronze."""
     return bronze.select(*PARTITION_KEYS).distinct()
@@ -68,18 +52,6 @@ def pending_days(events: DataFrame, watermark: str) -> DataFrame:
     return cand.select(F.to_date("created_at").alias("day")).distinct().orderBy("day")
 
 
-def pending_day_bounds(events: DataFrame, watermark: str) -> tuple[str, str] | None:
-    """First and last pending day in one pass: a global min / max (map-side partial,
-    no shuffle) over the partition-pruned scan of the days after the watermark."""
-    wm = F.lit(f"{watermark} 00:00:00").cast("timestamp_ntz")
-    ymd = F.concat_ws("-", "year", "month", "day")
-    d = F.to_date("created_at")
-    row = events.where((ymd >= F.lit(watermark)) & (F.col("created_at") > wm)).agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return str(row["lo"]), str(row["hi"])
-
-
 def batches(days: DataFrame, size: int) -> DataFrame:
     """I4: consecutive chunks of ``size`` pending days: (batch, first_day, last_day,
     n_days). One row per day in, so a single ordered window is bounded by the number
@@ -91,11 +63,3 @@ def batches(days: DataFrame, size: int) -> DataFrame:
         .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("n_days"))
         .orderBy("batch")
     )
-
-
-def day_bounds(days: DataFrame) -> tuple[str, str] | None:
-    """First and last pending day as ISO strings (one tiny aggregate to the driver)."""
-    row = days.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return str(row["lo"]), str(row["hi"])

@@ -22,8 +22,10 @@ from pyspark.sql import types as T
 from vitals.functions import schemas as S
 from vitals.operators import gold as G
 from vitals.operators import silver as SV
-from vitals.sources import fixtures
 from vitals.session import configure
+from vitals.sources import fixtures
+from vitals.sources.id_index import IdIndex
+from vitals.sources.tables import exists
 
 DEFAULT_NOW = "2024-02-01 00:00:00"
 
@@ -134,6 +136,10 @@ class TableLake(Lake):
             "orgs": f"{r}/silver/orgs",
             "gold": f"{r}/gold/daily_activity",
             "ledger": f"{r}/_ledger/bronze_processed",
+            "changed_days": f"{r}/_ledger/changed_days",
+            "gold_consumed": f"{r}/_ledger/gold_consumed",
+            "ids": f"{r}/_index/event_ids",
+            "rejects": f"{r}/_rejects",
         }
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
@@ -180,6 +186,16 @@ class TableLake(Lake):
     def has(self, name: str) -> bool:
         return exists(self.spark, self.paths[name])
 
+    def id_index(self) -> IdIndex:
+        return IdIndex(self.spark, self.paths["ids"])
+
+    def rejects(self) -> DataFrame:
+        """Raw rows that silver batches set aside, with their reasons."""
+        path = f"{self.paths['rejects']}/bronze"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], S.REJECTS_SCHEMA)
+        return self.spark.read.schema(S.REJECTS_SCHEMA).option("basePath", path).parquet(path)
+
 
 class ExtractLake(TableLake):
     """The static extract under ``root`` (``export.write_extract``), for serving only: events
@@ -213,11 +229,3 @@ def children(spark: SparkSession, path: str) -> tuple[list[str], bool]:
     found = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hpath)
     names = [(f.getPath().getName(), f.isDirectory()) for f in found]
     return [n for n, folder in names if folder], any(n.endswith(".parquet") for n, folder in names if not folder)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists (through the Hadoop file system, so the same
-    call works for object stores)."""
-    # An unreadable store raises: only a path that the store says is absent is missing.
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath))
