@@ -13,6 +13,7 @@ import datetime as dt
 
 START = "2024-01-01"
 END = "2024-01-30"
+EXTRACT_FROM = "2024-01-24"
 
 PREFIX = r"""
 WITH src AS (
@@ -700,6 +701,61 @@ WRITES["csv_download"] = (
 )
 
 
+_COLUMNS = "event_id, user_id, ts, props"
+_NEW = 29_100_000_000
+
+
+def _over(body: str, events: str) -> str:
+    """``body`` over other events than the whole table."""
+    return with_prefix(body).replace("FROM events\n", f"FROM ({events})\n", 1)
+
+
+_WITH_NEW = f"SELECT {_COLUMNS} FROM events UNION ALL SELECT event_id + {_NEW}, user_id, ts, props FROM events WHERE event_id % 25 = 0"
+_RELANDED = f"""
+SELECT {_COLUMNS} FROM events
+WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-12') OR CAST(ts AS DATE) = DATE '2024-01-10' AND (event_id % 2 = 0 OR event_id % 10 = 1)
+UNION ALL SELECT event_id + {_NEW}, user_id, ts, props FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 25 = 0
+"""
+
+REJECTS = COPIES + f"""
+, judged AS (
+    SELECT CASE WHEN event_id % 223 = 0 THEN 'evt_' ELSE '' END || CAST(event_id AS VARCHAR) AS id, strftime(created_at, '%Y-%m-%d-%H') AS source,
+        concat_ws('; ', CASE WHEN event_id % 223 = 0 THEN 'id malformed' END,
+            CASE WHEN event_id % 97 = 0 THEN 'actor missing' WHEN event_id % 211 = 0 THEN 'actor malformed' END,
+            CASE WHEN event_id % 229 = 0 THEN 'repo malformed' END,
+            CASE WHEN event_id % 233 = 0 AND org_id IS NOT NULL THEN 'org malformed' END,
+            CASE WHEN event_id % 227 = 0 THEN 'time malformed' END) AS reasons
+    FROM copies WHERE type IN {KNOWN})
+SELECT id, source, reasons FROM judged WHERE reasons <> ''
+"""
+
+INGEST = COPIES + _HOURS + """
+, held AS (SELECT date_trunc('hour', created_at) AS h, COUNT(*) AS n FROM copies GROUP BY 1
+           UNION ALL SELECT TIMESTAMP '2024-01-21 03:00:00', 1)
+, avail AS (SELECT h, SUM(n)::BIGINT AS n FROM held GROUP BY 1)
+, stated AS (
+    SELECT hour_ts, n, CASE WHEN n IS NULL OR hour_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'skipped'
+        WHEN hour_ts BETWEEN TIMESTAMP '2024-01-20 05:00:00' AND TIMESTAMP '2024-01-20 07:00:00' THEN 'failed' ELSE 'success' END AS status
+    FROM hrs LEFT JOIN avail ON h = hour_ts)
+SELECT hour_ts, status, CASE WHEN n IS NULL THEN 'source missing' WHEN status = 'skipped' THEN 'already landed' WHEN status = 'failed' THEN 'cut off' ELSE 'landed' END AS reason,
+    CASE WHEN status = 'success' THEN n END AS n_rows, CASE WHEN status = 'success' THEN (hour_ts = TIMESTAMP '2024-01-21 03:00:00')::BIGINT END AS n_corrupt
+FROM stated
+"""
+
+
+def _histories() -> dict[str, str]:
+    return {
+        "dedup_across_batches": _over(_EVENTS_ALL, _WITH_NEW),
+        "late_days": _over(_GOLD_NO_CLOCK, _WITH_NEW),
+        "relanded_hour": _over(_EVENTS_ALL, _RELANDED),
+        "relanded_gold": _over(_GOLD_NO_CLOCK, _RELANDED),
+        "silver_rejects": with_prefix(REJECTS),
+        "transform_in_batches": with_prefix(_EVENTS_ALL),
+        "ingest_status": with_prefix(INGEST),
+        "read_table_extract": with_prefix(SERVING["bot_vs_human"], EXTRACT_FROM, END),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {name: with_prefix(body) for name, body in SERVING.items()}
     out["activity_heatmap"] = with_prefix(heatmap_sql(END))
@@ -707,4 +763,5 @@ def all_sql() -> dict[str, str]:
     out.update({name: with_prefix(body) for name, body in DERIVED.items()})
     out.update({name: with_prefix(body) for name, body in OPS.items()})
     out.update({name: with_prefix(body) for name, body in WRITES.items()})
+    out.update(_histories())
     return out

@@ -7,10 +7,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitals.functions.schemas import BRONZE_PARTITIONS
 from vitals.plans import jobs as J
 from vitals.session import configure, scratch_path
 from vitals.sources import bronze as B
 from vitals.sources import fixtures
+from vitals.sources import tables as TB
 from vitals.sources.lake import DEFAULT_NOW, TableLake
 
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -35,12 +37,12 @@ def land(spark: SparkSession, archive_glob: str, bronze_path: str) -> None:
     B.land_bronze(spark, archive_glob, bronze_path, F.lit(INGESTED_AT).cast("timestamp"))
 
 
-_BRONZE_CACHE: dict[tuple[int, str], str] = {}
+_BRONZE_CACHE: dict[tuple[str, str], str] = {}
 
 
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Bronze table for ``sf_dir`` (landed once per session and input folder)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BRONZE_CACHE:
         configure(spark)
         path = scratch_path(spark, "bronze")
@@ -49,20 +51,47 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     return _BRONZE_CACHE[key]
 
 
+def land_rows(lake: TableLake, raw: DataFrame) -> None:
+    """Raw rows with ``file_hour`` as landed bronze hours; an hour that is there is replaced."""
+    TB.replace_partitions(fixtures.bronze_of(raw, INGESTED_AT), lake.paths["bronze"], BRONZE_PARTITIONS)
+
+
+def in_hour(raw: DataFrame, hour: str) -> DataFrame:
+    """The rows as a delivery of another archive hour."""
+    return raw.withColumn("file_hour", F.lit(hour).cast("timestamp_ntz"))
+
+
+def run_silver(lake: TableLake, **kwargs) -> J.BatchReport:
+    rep = J.silver_batch(lake, now_col(), **kwargs)
+    if rep.status != J.SUCCESS:
+        raise RuntimeError(f"silver batch {rep.status}: {rep.violations}")
+    return rep
+
+
+def run_gold(lake: TableLake, **kwargs) -> J.BatchReport:
+    rep = J.gold_batch(lake, now_col(), **kwargs)
+    if rep.status != J.SUCCESS:
+        raise RuntimeError(f"gold batch {rep.status}: {rep.violations}")
+    return rep
+
+
+def own_lake(spark: SparkSession, raw: DataFrame) -> TableLake:
+    """A new lake with a bronze table of its own, which may be landed into again."""
+    lake = TableLake(configure(spark), scratch_path(spark, "lake"))
+    land_rows(lake, raw)
+    return lake
+
+
 def fresh_lake(spark: SparkSession, sf_dir: str) -> TableLake:
     """A new, empty lake whose bronze is the landed archive of ``sf_dir``."""
     return TableLake(spark, scratch_path(spark, "lake"), bronze_path=landed_bronze(spark, sf_dir))
 
 
-def build_lake(spark: SparkSession, sf_dir: str, now: str = DEFAULT_NOW) -> TableLake:
+def build_lake(spark: SparkSession, sf_dir: str) -> TableLake:
     """Full run: silver batch then gold batch on a fresh lake."""
     lake = fresh_lake(spark, sf_dir)
-    rep = J.silver_batch(lake, now_col(now))
-    if rep.status != J.SUCCESS:
-        raise RuntimeError(f"silver batch {rep.status}: {rep.violations}")
-    rep = J.gold_batch(lake, now_col(now))
-    if rep.status != J.SUCCESS:
-        raise RuntimeError(f"gold batch {rep.status}: {rep.violations}")
+    run_silver(lake)
+    run_gold(lake)
     return lake
 
 

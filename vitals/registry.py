@@ -18,16 +18,19 @@ from vitals.operators import contracts as C
 from vitals.operators import derived as D
 from vitals.operators import gold as G
 from vitals.operators import silver as SV
-from vitals.oracle import END, START
+from vitals.oracle import END, EXTRACT_FROM, START
 from vitals.plans import incremental as I
 from vitals.plans import jobs as J
 from vitals.plans import pipeline as P
 from vitals.plans import serving as Q
+from vitals.plans.ingest import ingest
 from vitals.session import scratch_path
 from vitals.sources import bronze as B
 from vitals.sources import export as X
+from vitals.sources import fixtures
+from vitals.sources import ledger as LG
 from vitals.sources import tables as TB
-from vitals.sources.lake import DerivedLake, TableLake
+from vitals.sources.lake import DerivedLake, ExtractLake, TableLake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -380,8 +383,114 @@ def write_queries() -> dict[str, QueryFn]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Histories: several landings and batches over the whole events table
+# ---------------------------------------------------------------------------
+
+# Archive hours after all others.
+LATER, LATEST = "2024-02-04 03:00:00", "2024-02-05 05:00:00"
+# The day whose hours are landed again with other rows, and the one that loses all of them.
+RELANDED_DAY, EMPTIED_DAY = "2024-01-10", "2024-01-12"
+# Archive hours whose files are cut off, and one with a line that is no JSON.
+CUT_HOURS, CORRUPT_HOUR = ("2024-01-20-5", "2024-01-20-6", "2024-01-20-7"), "2024-01-21-3"
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def _raw(events: DataFrame) -> DataFrame:
+    return fixtures.raw_events(events)
+
+
+def relanded_lake(spark: SparkSession, sf_dir: str) -> TableLake:
+    """A lake whose hours of one day were landed again: half of the rows, some of the others held by a later hour as well,
+    and new ones; another day was landed again without a known event."""
+    events = _events(spark, sf_dir)
+    lake = P.own_lake(spark, _raw(events))
+    P.run_silver(lake)
+    P.run_gold(lake)
+    day = F.to_date("ts")
+    P.land_rows(lake, P.in_hour(_raw(events.where((day == RELANDED_DAY) & (F.col("event_id") % 10 == 1))), LATER))
+    P.run_silver(lake)
+    kept = events.where((day == RELANDED_DAY) & (F.col("event_id") % 2 == 0))
+    new = fixtures.new_like(events.where((day == RELANDED_DAY) & (F.col("event_id") % 25 == 0)))
+    # an hour of which nothing is left is landed with rows of an unknown type, as the emptied day's are
+    unknown = _raw(events.where(day.isin(RELANDED_DAY, EMPTIED_DAY))).withColumn("type", F.lit("GollumEvent"))
+    P.land_rows(lake, _raw(kept.unionByName(new)).unionByName(unknown))
+    P.run_silver(lake)
+    P.run_gold(lake)
+    return lake
+
+
+def history_queries() -> dict[str, QueryFn]:
+    def dedup_across_batches(spark, d):
+        """A tenth of all ids comes again 7 hours later in later batches, with some new events."""
+        events = _events(spark, d)
+        lake = P.own_lake(spark, _raw(events))
+        P.run_silver(lake)
+        again = events.where("event_id % 10 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 7 HOURS"))
+        P.land_rows(lake, P.in_hour(_raw(again), LATER))
+        P.run_silver(lake)
+        P.land_rows(lake, P.in_hour(_raw(again.unionByName(fixtures.new_like(events.where("event_id % 25 = 0")))), LATEST))
+        P.run_silver(lake)
+        return lake.events()
+
+    def late_days(spark, d):
+        """Gold after events of every day came late, long behind the watermark."""
+        events = _events(spark, d)
+        lake = P.own_lake(spark, _raw(events))
+        P.run_silver(lake)
+        P.run_gold(lake)
+        P.land_rows(lake, P.in_hour(_raw(fixtures.new_like(events.where("event_id % 25 = 0"))), LATEST))
+        P.run_silver(lake)
+        P.run_gold(lake, days_per_batch=8)
+        return lake.gold().drop("updated_at")
+
+    def silver_rejects(spark, d):
+        lake = P.own_lake(spark, fixtures.damaged(_raw(_events(spark, d))))
+        P.run_silver(lake, on_violation="quarantine")
+        return lake.rejects().select("id", "source", F.array_join("reasons", "; ").alias("reasons"))
+
+    def in_batches(spark, d):
+        lake = P.fresh_lake(spark, d)
+        size = LG.file_versions(spark, lake.paths["bronze"]).agg(F.sum("bytes")).first()[0]
+        P.run_silver(lake, max_bytes=size // 2)
+        return lake.events()
+
+    def ingest_status(spark, d):
+        """The second ingest of an archive: three files are cut off, one has a line that is no JSON."""
+        glob = P.write_archive(spark, d)
+        root = glob.split("/archive=")[0]
+        for name in CUT_HOURS:
+            B.cut_archive_files(spark, f"{root}/archive={name}.json.gz")
+        spark.createDataFrame([("no json",)], "value string").coalesce(1).write.mode("append").option("compression", "gzip").text(f"{root}/archive={CORRUPT_HOUR}.json.gz")
+        lake = TableLake(spark, scratch_path(spark, "lake"))
+        hours = B.hours_to_ingest(spark, _max_ts_plus_hour(spark, d), 30)
+        at = F.lit(P.INGESTED_AT).cast("timestamp")
+        ingest(lake, glob, hours.where(F.col("hour_ts") < F.lit(f"{LANDED_BEFORE} 00:00:00").cast("timestamp_ntz")), at)
+        return ingest(lake, glob, hours, at)
+
+    def read_table_extract(spark, d):
+        """A metric that reads events and a dimension, over the written extract."""
+        out = scratch_path(spark, "extract")
+        X.write_extract(_lake(spark, d), out, EXPORT_DAYS)
+        return Q.bot_vs_human(ExtractLake(spark, out), EXTRACT_FROM, END)
+
+    return {
+        "dedup_across_batches": dedup_across_batches,
+        "late_days": late_days,
+        "relanded_hour": lambda spark, d: relanded_lake(spark, d).events(),
+        "relanded_gold": lambda spark, d: relanded_lake(spark, d).gold().drop("updated_at"),
+        "silver_rejects": silver_rejects,
+        "transform_in_batches": in_batches,
+        "ingest_status": ingest_status,
+        "read_table_extract": read_table_extract,
+    }
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
-    for section in (serving_queries, derived_queries, silver_queries, contract_queries, incremental_queries, write_queries):
+    for section in (serving_queries, derived_queries, silver_queries, contract_queries, incremental_queries, write_queries, history_queries):
         out.update(section())
     return out

@@ -94,6 +94,23 @@ def _json_value(c: str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(wrapped, r'^\{"v":(.*)\}$', 1), F.lit("")), F.lit("null"))
 
 
+def cut_archive_files(spark: SparkSession, folder: str) -> None:
+    """Cut the gzip files of an archive folder to their first half, as a broken transfer leaves them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    for f in fs.listStatus(root) if fs.exists(root) else []:
+        path = f.getPath()
+        if path.getName().endswith(".gz"):
+            half = jvm.org.apache.hadoop.fs.Path(folder, f"{path.getName()}.half")
+            source, target = fs.open(path), fs.create(half)
+            target.write(bytes(source.readNBytes(f.getLen() // 2)))
+            source.close()
+            target.close()
+            fs.delete(path, False)
+            fs.rename(half, path)
+
+
 def archive_paths(root: str) -> str:
     """Glob over archive folders written by :func:`write_archive_files`."""
     return f"{root}/archive=*/*.gz"

@@ -154,8 +154,13 @@ def raw_events(events: DataFrame) -> DataFrame:
 def bronze_frame(events: DataFrame, ingested_at: str = "2024-02-01 00:00:00") -> DataFrame:
     """Raw rows in landed-bronze shape: + source_file, ingestion_timestamp and the
     year/month/day/hour partition columns of the archive file."""
+    return bronze_of(raw_events(events), ingested_at)
+
+
+def bronze_of(raw: DataFrame, ingested_at: str = "2024-02-01 00:00:00") -> DataFrame:
+    """Any raw rows with ``file_hour`` in landed-bronze shape."""
     fh = F.col("file_hour")
-    return raw_events(events).select(
+    return raw.select(
         "id",
         "type",
         "actor",
@@ -173,6 +178,30 @@ def bronze_frame(events: DataFrame, ingested_at: str = "2024-02-01 00:00:00") ->
     )
 
 
+#: Added to an event_id it gives a new event of the same kind: a multiple of all the numbers above.
+NEW_IDS = 29_100_000_000
+
+
+def new_like(events: DataFrame) -> DataFrame:
+    """Further events that look like the given ones, under new ids."""
+    return events.withColumn("event_id", F.col("event_id") + F.lit(NEW_IDS))
+
+
+def damaged(raw: DataFrame) -> DataFrame:
+    """Raw rows of which some are broken, by their id: 211 the actor is cut, 223 the id is no number, 227 the time is no
+    time, 229 the repository and 233 the organisation are no JSON."""
+    n = F.col("id").cast("long")
+    return raw.withColumns(
+        {
+            "actor": F.when(n % 211 == 0, F.substring("actor", 1, 10)).otherwise(F.col("actor")),
+            "created_at": F.when(n % 227 == 0, F.lit("not a time")).otherwise(F.col("created_at")),
+            "repo": F.when(n % 229 == 0, F.lit('{"id":')).otherwise(F.col("repo")),
+            "org": F.when((n % 233 == 0) & F.col("org").isNotNull(), F.lit("[")).otherwise(F.col("org")),
+            "id": F.when(n % 223 == 0, F.concat(F.lit("evt_"), F.col("id"))).otherwise(F.col("id")),
+        }
+    )
+
+
 def archive_file_name(hour_ts: Column) -> Column:
     """``2024-01-05-7.json.gz``: archive naming, hour not padded."""
     return F.format_string(
