@@ -17,6 +17,10 @@ its square; sets that may link across a level boundary are indexed on both level
 Which tokens are frequent is a fixed-size bitmap of heavy hitters, so it can be shipped however many there
 are; any such bitmap gives the same links, only other candidates.
 
+Pairs of candidates are settled by size and by parity sketches (about a bit a token) before any set travels: two sets differ
+in at least as many tokens as their sketches in bits. Only the sets of the pairs that are left are fetched, and
+compared exactly.
+
 Equal sets are joined by their 128-bit digest first, and one representative goes on. Signatures that
 occur once (among sets of like size) are dropped; the others give candidates: all pairs where a signature has
 ``SMALL`` rows at most, else in rounds: each signature compares its rows to one pivot, links are verified on
@@ -57,8 +61,10 @@ PIVOTS = 3
 SMALL = 8
 #: 64-bit words of a set's parity sketch (a power of two), and prefix tokens looked back at for a pair's first one.
 SKETCH_WORDS, EARLIER = 8, 64
-#: Ids of a round that are broadcast (16 bytes each) to fetch their sets; more go by a shuffle.
+#: Ids of a round that are broadcast (16 bytes each) to fetch their sets; more go by a fixed-size filter and a shuffle.
 FEW_IDS = 200_000
+#: Bits of the smallest sketch; a larger set has a bit a token, rounded up to a power of two.
+LEAST_BITS = 512
 
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -205,28 +211,60 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     return np.unique(np.concatenate(out))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the numbers of tokens by their low bits."""
+    bits = max(LEAST_BITS, 1 << max(len(tokens) - 1, 0).bit_length())
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differ(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the larger one folded to the smaller one's length: a lower bound of the number of
+    tokens that one of the two sets has alone."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _able(percent: int):
+    """Pairs (a, b) that sizes and sketches don't rule out: |x ^ y| <= (|x| + |y|) * (100 - percent) / (100 + percent)."""
+
+    def run(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("sa", "sb", "x", "y"))
+            keep = pa.array([differ(x, y) * (100 + percent) <= (sa + sb) * (100 - percent) for sa, sb, x, y in zip(*columns, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in "ab"], names=["a", "b"])
+
+    return run
+
+
 def _signatures(n: int, percent: int, shared):
     def run(batches):
         bits = shared.value
         for batch in batches:
-            sigs, sizes = [], []
+            sigs, sizes, sketches = [], [], []
             for s in shingle_sets(texts(batch), n):
                 sizes.append(len(s))
+                sketches.append(sketch(s))
                 slot = (s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                 sigs.append(signatures(s, (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1, percent).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "size", "sigs"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "size", "sigs", "sketch"]
+            )
 
     return run
 
 
 def _sets(n: int, shared):
-    """The sets of the documents that pass a fixed-size filter."""
+    """The sets of the documents, or of those that pass a fixed-size filter."""
 
     def rows(batches):
-        bits = shared.value
         for batch in batches:
-            keep = in_filter(bits, batch.column("slot").to_numpy())
-            batch = batch.filter(pa.array(keep))
+            if shared is not None:
+                batch = batch.filter(pa.array(in_filter(shared.value, batch.column("slot").to_numpy())))
             for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts(batch), n), strict=True):
                 yield doc_id, s.tobytes()
 
@@ -319,29 +357,37 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # equal sets: the smallest id stands for all (min is combined map-side, so copies cost nothing)
     first = sized.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = first.select(F.col("rep").alias("doc_id")).distinct()
-    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, size int, sigs array<long>").where(F.size("sigs") > 0)
-    posts = stage(signed.join(reps, "doc_id", "left_semi").select("doc_id", "size", F.explode("sigs").alias("sig")), "join-posts")
-    first_cut = stage(_shared(posts), "join-shared")
-    discard(posts)
+    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, size int, sigs array<long>, sketch binary").where(F.size("sigs") > 0)
+    signed = stage(signed.join(reps, "doc_id", "left_semi"), "join-signed")
+    first_cut = stage(_shared(signed.select("doc_id", "size", F.explode("sigs").alias("sig"))), "join-shared")
     # sizes of a linked pair differ by a factor of 100 / percent at most: they meet in one of two neighbouring size classes
     bucket = F.floor(F.log("size") / (math.log(100 / percent) * 1.001)) if percent < 100 else F.col("size").cast("long")
     classed = first_cut.select(F.explode(F.array(bucket, bucket + 1)).alias("b"), "sig", "doc_id", "size").select(F.xxhash64("sig", "b").alias("sig"), "doc_id", "size")
     active = stage(_shared(classed), "join-active")
     discard(first_cut)
-    ids = active.select("doc_id").distinct()
-    passing = spark.sparkContext.broadcast(key_filter(ids, "doc_id"))
-    some = docs.select("doc_id", "text", slot_of("doc_id").alias("slot")).mapInArrow(_sets(n, passing), "doc_id long, tokens binary")
-    sets = stage(some.join(ids, "doc_id", "left_semi").distinct(), "join-sets")
+    sketches = stage(signed.select("doc_id", "sketch").join(active.select("doc_id").distinct(), "doc_id", "left_semi"), "join-sketches")
+    discard(signed)
+
+    def fetched(ids: DataFrame) -> DataFrame:
+        """The distinct sets of documents."""
+        if ids.count() <= FEW_IDS:
+            some = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(_sets(n, None), "doc_id long, tokens binary")
+        else:
+            passing = spark.sparkContext.broadcast(key_filter(ids, "doc_id"))
+            some = rows.withColumn("slot", slot_of("doc_id")).mapInArrow(_sets(n, passing), "doc_id long, tokens binary").join(ids, "doc_id", "left_semi")
+        return stage(some.distinct(), "join-sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        # the smaller set needs percent of the larger one's size: settled before the sets travel
-        near = stage(pairs.where(F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent).select("a", "b").distinct(), f"{name}-near")
-        wanted = stage(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
-        held = sets.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id", "left_semi")
-        left = held.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-        right = held.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-        out = stage(near.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "a long, b long").distinct(), name)
-        discard(near, wanted)
+        # the smaller set needs percent of the larger one's size
+        near = pairs.where(F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent).select("a", "b", "sa", "sb").distinct()
+        x, y = (sketches.select(F.col("doc_id").alias(k), F.col("sketch").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+        able = stage(near.join(x, "a").join(y, "b").mapInArrow(_able(percent), "a long, b long").distinct(), f"{name}-able")
+        wanted = stage(able.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
+        sets = fetched(wanted)
+        left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
+        right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
+        out = stage(able.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "a long, b long").distinct(), name)
+        discard(able, wanted, sets)
         return out
 
     # a doc_id with several texts is one node: it links the representatives of its texts
@@ -359,9 +405,13 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         if open_.isEmpty():
             break
         if turn == PIVOTS:
-            new = verified(_open_pairs(sets, open_.select("doc_id", "component").distinct(), percent), "join-verified")
+            left = stage(open_.select("doc_id", "component").distinct(), "join-left")
+            sets = fetched(left.select("doc_id").distinct())
+            new = verified(_open_pairs(sets, left, percent), "join-verified")
+            discard(sets, left)
             if not new.isEmpty():
                 labels = components(links.unionAll(new), "join-cc")
+            discard(open_)
             break
         few = F.col("m") <= SMALL
         other = open_.where(few).select("sig", F.col("doc_id").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"))
