@@ -219,3 +219,16 @@ def test_damage_by_kind(spark):
         row = (i, t, "user" if kind == 4 else role, "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text)
         want += [row] * (0 if kind == 0 else 2 if kind == 3 else 1)
     assert got == sorted(want)
+
+
+def test_queries_run_over_edge_case_tables(spark, tmp_path):
+    from vitals.llm import queries
+
+    spark.createDataFrame([(1, None, "x"), (None, "", "y"), (1, "word " * 3000, "z")], "doc_id long, text string, score string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, [1.0, 2.0], 1), (0, [1.0, 2.0], 1), (100, [], 1), (7, [1.0], 9), (None, [1.0], 1)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([(1, 0, "user", "Hi."), (1, 0, "user", "Hi."), (1, None, None, None), (None, 3, "tool", "x" * 5000), (2, 1, "", "")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert len(queries.op11_quality(spark, str(tmp_path)).collect()) == 3
+    assert queries.op12_hard_negatives(spark, str(tmp_path)).count() >= 0
+    repaired = {r.conv_id: r for r in queries.op13_conversation_repair(spark, str(tmp_path)).collect()}
+    assert set(repaired) == {1, 2, None} and repaired[1].duplicate == 1

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vitals.llm import decontam, html_extract, mixing, ngram_join, queries, rans, substrings, tokens, vectors, warc
@@ -50,14 +51,17 @@ def sf(spark, tmp_path_factory):
     base = rng.standard_normal((40, 16))
     vecs = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, (base[0] + 0.05 * rng.standard_normal(16)).tolist()) for i in range(30)]
     vecs += [(200, base[5].tolist()), (201, None), (202, [0.0] * 16), (203, [float("nan")] * 16), (204, [None] * 16), (205, [1.0]), (205, base[6].tolist()), (206, (3 * base[7]).tolist())]
-    spark.createDataFrame(vecs, "vec_id long, embedding array<double>").write.parquet(f"{d}/embeddings.parquet")
+    vecs = [(i, v, None if i == 3 else i % 10) for i, v in vecs]
+    spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int").write.parquet(f"{d}/embeddings.parquet")
+    turns = [(1, 0, "user", "Hi."), (1, 0, "user", "Hi."), (1, None, None, None), (None, 3, "tool", "x" * 5000), (2, 1, "", "")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return str(d)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, sf, tmp_path_factory):
     d = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "benchmark", "labels", "pages", "embeddings"):
+    for name in ("documents", "benchmark", "labels", "pages", "embeddings", "conversations"):
         spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{d}/{name}.parquet")
     return str(d)
 
@@ -381,5 +385,10 @@ def test_pipeline_stages(spark, sf):
     mixed = corpus_pipeline.mix_sources(spark, docs, sf)
     taken = sum(r["copies"] for r in rows(mixing.mix(docs)))
     assert mixed.columns == columns and mixed.count() == taken
+    # columns named like the stages' own ones are carried along as they are
+    clash = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in ("m_id", "k_id", "m_words", "b_key", "m_take", "k_row")))
+    for step in (corpus_pipeline.drop_near_copies, corpus_pipeline.drop_contaminated, corpus_pipeline.mix_sources):
+        out = rows(step(spark, clash, sf))
+        assert len(out) == step(spark, docs, sf).count() and all(r["m_id"] == "own m_id" and r["m_words"] == "own m_words" and r["b_key"] == "own b_key" for r in out)
     assert corpus_pipeline.drop_toxic(spark, docs, sf).columns == columns
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "decontamination", "mixing", "token_output"]
