@@ -17,6 +17,11 @@ from vitals.llm.queries import word_tokenizer
 from vitals.session import scratch_path
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``docs`` doesn't have."""
+    return [next(c for c in (name + "_" * i for i in range(len(docs.columns) + 1)) if c not in docs.columns) for name in names]
+
+
 def _same(left, right, keys):
     """Null-safe equality of the keys of two frames."""
     out = None
@@ -40,22 +45,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     prepare(spark)
     found = ngram_join.jaccard_join(docs, n=5, percent=80)
+    k_id, k_stays, k_many, k_row = _free(docs, "k_id", "k_stays", "k_many", "k_row")
     by_id = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
-    by_id = stage(by_id.select(F.col("doc_id").alias("k_id"), (F.col("first") == F.col("doc_id")).alias("k_stays"), (F.col("rows") > 1).alias("k_many")), "pipeline-groups")
-    joined = docs.join(by_id, docs["doc_id"] == by_id["k_id"], "left").where("k_stays is null or k_stays")
+    by_id = stage(by_id.select(F.col("doc_id").alias(k_id), (F.col("first") == F.col("doc_id")).alias(k_stays), (F.col("rows") > 1).alias(k_many)), "pipeline-groups")
+    joined = docs.join(by_id, docs["doc_id"] == by_id[k_id], "left").where(F.col(k_stays).isNull() | F.col(k_stays))
     # several rows of one id are rare, and the smallest of them is found map-side; a row without words has no group
     wordless = ~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
-    many = F.coalesce("k_many", F.lit(False)) & ~wordless
-    one = joined.where(many).groupBy("k_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("k_row"))
-    return joined.where(~many).select(docs.columns).unionAll(one.select("k_row.*"))
+    many = F.coalesce(k_many, F.lit(False)) & ~wordless
+    one = joined.where(many).groupBy(k_id).agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias(k_row))
+    return joined.where(~many).select(docs.columns).unionAll(one.select(f"{k_row}.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the contamination rule marks go."""
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     bad = found.where(decontam.is_contaminated()).select(F.col("doc_id").alias("b_id"), F.col("row_hash").alias("b_hash")).distinct()
-    hashed = docs.withColumn("b_key", F.xxhash64("doc_id", "text"))
-    return hashed.join(bad, _same(hashed, bad, [("doc_id", "b_id"), ("b_key", "b_hash")]), "left_anti").select(docs.columns)
+    (b_key,) = _free(docs, "b_key")
+    hashed = docs.withColumn(b_key, F.xxhash64("doc_id", "text"))
+    return hashed.join(bad, _same(hashed, bad, [("doc_id", "b_id"), (b_key, "b_hash")]), "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,16 +70,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share doc_id, source and size share their copies as evenly as can be, in the order of their text hashes.
     """
-    mixed = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("m_copies"), F.count("*").alias("m_rows"))
-    mixed = mixed.withColumnsRenamed({"doc_id": "m_id", "source": "m_source", "size": "m_size"})
-    sized = docs.withColumn("m_words", F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long"))
-    joined = sized.join(mixed, _same(sized, mixed, [("doc_id", "m_id"), ("source", "m_source"), ("m_words", "m_size")]))
-    rank = F.row_number().over(W.partitionBy("m_id", "m_source", "m_size").orderBy(F.xxhash64("text")))
-    shared = joined.where("m_rows > 1").withColumn("m_rank", rank)
-    share = F.floor(F.col("m_rank") * F.col("m_copies") / F.col("m_rows")) - F.floor((F.col("m_rank") - 1) * F.col("m_copies") / F.col("m_rows"))
-    alone = joined.where("m_rows = 1").select(*docs.columns, F.col("m_copies").alias("m_take"))
-    both = alone.unionAll(shared.select(*docs.columns, share.alias("m_take")))
-    return both.where("m_take > 0").withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_take").cast("int")))).select(docs.columns)
+    m_id, m_source, m_size, m_copies, m_rows, m_words, m_rank, m_take, m_copy = _free(docs, *(f"m_{c}" for c in "id source size copies rows words rank take copy".split()))
+    mixed = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias(m_copies), F.count("*").alias(m_rows))
+    mixed = mixed.withColumnsRenamed({"doc_id": m_id, "source": m_source, "size": m_size})
+    sized = docs.withColumn(m_words, F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long"))
+    joined = sized.join(mixed, _same(sized, mixed, [("doc_id", m_id), ("source", m_source), (m_words, m_size)]))
+    rank = F.row_number().over(W.partitionBy(m_id, m_source, m_size).orderBy(F.xxhash64("text")))
+    shared = joined.where(F.col(m_rows) > 1).withColumn(m_rank, rank)
+    share = F.floor(F.col(m_rank) * F.col(m_copies) / F.col(m_rows)) - F.floor((F.col(m_rank) - 1) * F.col(m_copies) / F.col(m_rows))
+    alone = joined.where(F.col(m_rows) == 1).select(*docs.columns, F.col(m_copies).alias(m_take))
+    both = alone.unionAll(shared.select(*docs.columns, share.alias(m_take)))
+    return both.where(F.col(m_take) > 0).withColumn(m_copy, F.explode(F.sequence(F.lit(1), F.col(m_take).cast("int")))).select(docs.columns)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
