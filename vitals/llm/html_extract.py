@@ -11,6 +11,10 @@ Boilerplate is left out by tag (menus, headers, footers, asides, forms, scripts,
 words in class, id and role (advert, cookie, comment, share ...). Character references are decoded, white space
 inside a block becomes one space, blocks are joined by two newlines.
 
+Reading a page takes time in proportion to its length, however it is broken: a tag whose quoted value never ends is cut at
+its first ``>``, and quotes count no more on the rest of that page; after the last ``>`` all is text; steps of a path beyond
+``PATH_CHARS`` characters are folded into a digest, so deep nesting costs no more per level.
+
 Cases: null or empty html gives the empty text; null url is a host of its own; unclosed, stray and badly nested tags
 are read as browsers roughly do; ties between paths go to the smaller path; repeated rows and page_ids are each
 extracted; an empty table gives no rows; other columns are ignored.
@@ -23,6 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +43,8 @@ BLOCKS = frozenset(
 )
 INLINE_ENDS = frozenset("a abbr b bdi bdo cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var".split())
 JUNK = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login"
-    r"|sidebar|side|rail|widget\w*|related|recommend\w*|share|sharing|social|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer|header|masthead|topbar|comments?|replies|reply|respond|disqus|tags|skip)"
+    r"(?:^|[-_\s])(?:ads?|advert[^\W\d_]*+|adsense|sponsor[^\W\d_]*+|promo[^\W\d_]*+|banner|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login"
+    r"|sidebar|side|rail|widget[^\W\d_]*+|related|recommend[^\W\d_]*+|share|sharing|social|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer|header|masthead|topbar|comments?|replies|reply|respond|disqus|tags|skip)"
     r"(?:$|[-_\s\d])",
     re.I,
 )
@@ -47,10 +52,14 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 GOOD = re.compile(r"article|content|main|post|entry|story|text|body", re.I)
 # end of fixed values
 
-TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|([!?][^>]*>))")
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+OPEN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|([!?]))")
+#: The rest of a tag; possessive, so it is read once whether it ends or not.
+REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+ATTRIBUTE = re.compile(r"(?<![^\s=\"'/>])([^\s=\"'/>]++)\s*+=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 SPACE = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
+#: Longer paths go on from a digest of what they have.
+PATH_CHARS = 400
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -69,13 +78,23 @@ def is_junk(tag: str, attrs: dict[str, str]) -> bool:
     return tag not in ("html", "body", "article", "main") and any(JUNK.search(attrs[k]) for k in ("class", "id") if k in attrs)
 
 
-def read(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int, int]]]:
-    """Blocks (text, letters outside links) in page order and containers (path, first block, end block)."""
+def below(path: str, step_: str) -> str:
+    """The path of a step under ``path``."""
+    if len(path) > PATH_CHARS:
+        path = "~" + xxhash.xxh3_128_hexdigest(path)
+    return f"{path}>{step_}" if path else step_
+
+
+def read(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int, str, int, int]]]:
+    """Blocks (text, letters outside links) in page order and containers (path, depth, last step, first block, end block)."""
     blocks: list[tuple[str, int]] = []
-    containers: list[tuple[str, int, int]] = []
-    stack: list[list] = []  # [tag, path, first block, is container, hides its content]
+    containers: list[tuple[str, int, str, int, int]] = []
+    stack: list[list] = []  # [tag, path, last step, first block, is container, hides its content]
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
+    shut: list[int] = []  # places of blocks in the stack
     words: list[str] = []
     linked = hidden = links = at = 0
+    last, quotes = page.rfind(">"), True
 
     def close_block():
         nonlocal linked
@@ -95,32 +114,37 @@ def read(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int, int]]]:
 
     def pop():
         nonlocal hidden, links
-        tag, path, first, box, hides = stack.pop()
+        tag, path, name, first, box, hides = stack.pop()
+        opened[tag].pop()
         hidden -= hides
         links -= tag == "a"
         if tag in BLOCKS:
+            shut.pop()
             close_block()
         if box and len(blocks) > first:
-            containers.append((path, first, len(blocks)))
+            containers.append((path, len(stack), name, first, len(blocks)))
 
     while at < len(page):
-        m = TAG.search(page, at)
-        if not m:
+        m = OPEN.search(page, at)
+        # an open comment needs no end, all else ends at a later ">"
+        if not m or (m.end() > last and not m[1]):
             say(page[at:])
             break
         say(page[at : m.start()])
-        at = m.end()
         if m[1]:  # comment
             end = page.find("-->", m.start() + 4)
             at = len(page) if end < 0 else end + 3
             continue
-        if m[5]:
+        rest = REST.match(page, m.end()) if quotes and not m[4] else None
+        quotes = quotes and (m[4] is not None or rest is not None)
+        at = rest.end() if rest else page.find(">", m.end()) + 1
+        if m[4]:
             continue
-        tag = m[3].lower()
+        tag, inside = m[3].lower(), page[m.end() : at - 1]
         if m[2]:
-            if any(s[0] == tag for s in stack):
+            if opened.get(tag):
                 # an inline end tag doesn't close blocks around it
-                if tag in INLINE_ENDS and any(s[0] in BLOCKS for s in stack[max(i for i, s in enumerate(stack) if s[0] == tag) + 1 :]):
+                if tag in INLINE_ENDS and shut and shut[-1] > opened[tag][-1]:
                     continue
                 while stack[-1][0] != tag:
                     pop()
@@ -136,21 +160,20 @@ def read(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int, int]]]:
             close_block()
             # blocks end an open paragraph, items end open items of the same list
             ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or stack[i][0] in ends:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i][0] not in INLINE_ENDS and stack[i][0] in BLOCKS:
-                    break
-        if tag in VOID or m[4].endswith("/"):
+            if shut and (stack[shut[-1]][0] == "p" or stack[shut[-1]][0] in ends):
+                at_block = shut[-1]
+                while len(stack) > at_block:
+                    pop()
+        if tag in VOID or inside.endswith("/"):
             if tag == "br" or tag == "hr":
                 words.append(" ")
             continue
-        attrs = attributes(m[4])
-        hides = int(is_junk(tag, attrs))
-        path = f"{stack[-1][1]}>{step(tag, attrs)}" if stack else step(tag, attrs)
-        stack.append([tag, path, len(blocks), tag in CONTAINERS and not hidden and not hides, hides])
+        attrs = attributes(inside)
+        hides, name = int(is_junk(tag, attrs)), step(tag, attrs)
+        opened.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            shut.append(len(stack))
+        stack.append([tag, below(stack[-1][1] if stack else "", name), name, len(blocks), tag in CONTAINERS and not hidden and not hides, hides])
         hidden += hides
         links += tag == "a"
     close_block()
@@ -164,10 +187,8 @@ def scores(page: str) -> list[tuple[str, float]]:
     blocks, containers = read(page)
     letters = np.concatenate([[0], np.cumsum([n for _, n in blocks])]) if blocks else np.zeros(1)
     best: dict[str, float] = {}
-    for path, a, b in containers:
-        last = path.rsplit(">", 1)[-1]
+    for path, depth, last, a, b in containers:
         weight = 1.0 + 0.5 * last.startswith(("article", "main")) + 0.2 * bool("." in last and GOOD.search(last))
-        depth = path.count(">")
         best[path] = best.get(path, 0.0) + float(letters[b] - letters[a]) * weight * (1 + 0.02 * depth)
     return list(best.items())
 
@@ -175,10 +196,10 @@ def scores(page: str) -> list[tuple[str, float]]:
 def extract(page: str, path: str | None) -> str:
     """The text of the containers on ``path``, else of the page's best path, else of the whole page."""
     blocks, containers = read(page)
-    spans = [(a, b) for p, a, b in containers if p == path]
+    spans = [(a, b) for p, _, _, a, b in containers if p == path]
     if not spans:
         ranked = sorted(scores(page), key=lambda s: (-s[1], s[0]))
-        spans = [(a, b) for p, a, b in containers if ranked and p == ranked[0][0]] or [(0, len(blocks))]
+        spans = [(a, b) for p, _, _, a, b in containers if ranked and p == ranked[0][0]] or [(0, len(blocks))]
     chosen = sorted({i for a, b in spans for i in range(a, b)})
     return "\n\n".join(blocks[i][0] for i in chosen)
 
