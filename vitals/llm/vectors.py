@@ -6,6 +6,8 @@ estimate of <x, y> whose error exceeds ``WIDTH`` * sqrt((1 - f^2) / (f^2 (D - 1)
 a WIDTH-sigma event. Pairs whose upper bound lies below the threshold are dropped; all others are
 recomputed exactly, in double precision, so no pair below the threshold is ever linked.
 
+Vectors of each length have rotations and tables of their own, so vectors meet those of their length only.
+
 Candidates share all bits of a band of the code in one of T tables. A pair at the threshold agrees in a bit with
 probability 1 - acos(threshold) / pi; bands have about log2(N / BUCKET) bits and T is chosen so that such a pair is
 missed by all tables with probability ``MISS`` at most. A pair is counted in the first table it meets in only.
@@ -14,14 +16,15 @@ Buckets larger than ``BLOCK`` are dealt into blocks, and every two blocks meet i
 Equal vectors are joined first and count with their number. Tasks return counts and the edges of
 local spanning forests, not pairs, so a bucket of m near copies gives about m rows.
 
-Cases: null vectors, zero vectors and vectors with null or non-finite components link with nothing; so do vectors of another
-length than most; rows with the same vec_id are vectors of their own that share their id's component; an empty
+Cases: null vectors, zero vectors and vectors with null or non-finite components link with nothing; vectors of different
+lengths don't link with each other; rows with the same vec_id are vectors of their own that share their id's component; an empty
 table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +35,11 @@ from pyspark.sql import functions as F
 from vitals.llm.common import components, prepare, rows_batches, stage
 
 THRESHOLD = 0.9
-MISS, BUCKET, BLOCK, WIDTH, SEED = 0.005, 16, 2048, 4.0, 20240229
+#: A bucket of about BUCKET vectors is compared at about the price of handing over its rows.
+MISS, BUCKET, BLOCK, WIDTH, SEED = 0.005, 256, 2048, 4.0, 20240229
 
 
+@lru_cache(maxsize=64)
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
@@ -47,6 +52,7 @@ def plan(n: int, threshold: float, bucket: int = BUCKET, miss: float = MISS) ->
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-hit)))
 
 
+@lru_cache(maxsize=4)
 def band_planes(dim: int, bits: int, tables: int) -> np.ndarray:
     """Signs along further random directions extend the code when the bands need more bits than it has."""
     need, blocks = bits * tables, []
@@ -55,9 +61,9 @@ def band_planes(dim: int, bits: int, tables: int) -> np.ndarray:
     return np.vstack(blocks)[:need]
 
 
-def unit(vector, dim: int) -> np.ndarray | None:
+def unit(vector) -> np.ndarray | None:
     """The vector at length 1, or None if it links with nothing."""
-    if vector is None or len(vector) != dim or any(v is None for v in vector):
+    if vector is None or any(v is None for v in vector):
         return None
     x = np.asarray(vector, np.float64)
     if not np.isfinite(x).all():
@@ -66,17 +72,17 @@ def unit(vector, dim: int) -> np.ndarray | None:
     return None if not top else (x / top) / np.linalg.norm(x / top)
 
 
-def _units(dim: int):
+def _units(batches):
     """vec_id, digest of the scaled vector and the vector itself (bytes of doubles)."""
 
-    def rows(batches):
+    def rows():
         for batch in batches:
             for vec_id, v in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
-                x = unit(v, dim)
+                x = unit(v)
                 data = None if x is None else np.asarray(v, np.float64).tobytes()
                 yield vec_id, None if x is None else xxhash.xxh3_128_digest(data), None if x is None else x.tobytes()
 
-    return lambda batches: rows_batches(rows(batches), pa.schema([("vec_id", pa.int64()), ("digest", pa.binary()), ("x", pa.binary())]), 2000)
+    return rows_batches(rows(), pa.schema([("vec_id", pa.int64()), ("digest", pa.binary()), ("x", pa.binary())]), 2000)
 
 
 def band_keys(x: np.ndarray, planes: np.ndarray, bits: int) -> np.ndarray:
@@ -90,20 +96,24 @@ def coded(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(r >= 0, axis=1), np.abs(r).sum(1) / math.sqrt(r.shape[1])
 
 
-def _banded(shared, bits: int, dim: int):
-    turn = rotation(dim)
+_BANDED = "node long, n long, dim int, r binary, code binary, factor double, bands array<long>"
+
 
+def _banded(bits: int, tables: int):
     def run(batches):
-        planes = shared.value
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float64).reshape(batch.num_rows, -1)
-            keys = band_keys(x, planes, bits)
-            r = x @ turn.T
-            code, factor = coded(r)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array([v.tobytes() for v in r], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor), pa.array(keys.tolist(), pa.list_(pa.int64()))],
-                names=["node", "n", "r", "code", "factor", "bands"],
-            )
+            lengths = np.array([len(v) // 8 for v in batch.column("x").to_pylist()])
+            for dim in np.unique(lengths).tolist():
+                part = batch.filter(pa.array(lengths == dim))
+                x = np.frombuffer(b"".join(part.column("x").to_pylist()), np.float64).reshape(-1, dim)
+                keys = band_keys(x, band_planes(dim, bits, tables), bits)
+                r = x @ rotation(dim).T
+                code, factor = coded(r)
+                columns = [pa.array(np.full(len(x), dim, np.int32)), pa.array([v.tobytes() for v in r], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), part.column("n"), *columns, pa.array(factor), pa.array(keys.tolist(), pa.list_(pa.int64()))],
+                    names=["node", "n", "dim", "r", "code", "factor", "bands"],
+                )
 
     return run
 
@@ -189,25 +199,21 @@ def _meet(threshold: float):
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding)."""
-    spark = prepare(vectors.sparkSession)
-    lengths = vectors.where("embedding is not null").groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
-    most = lengths.orderBy(F.desc("n"), "d").limit(1).collect()
-    dim = max(1, most[0]["d"] if most else 1)
-    rows = stage(vectors.select("vec_id", "embedding").mapInArrow(_units(dim), "vec_id long, digest binary, x binary"), "vectors-units")
+    prepare(vectors.sparkSession)
+    rows = stage(vectors.select("vec_id", "embedding").mapInArrow(_units, "vec_id long, digest binary, x binary"), "vectors-units")
     # equal vectors: one node, the smallest id, that counts n times
     nodes = rows.where("digest is not null and vec_id is not null").groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
     held = rows.join(nodes, "digest").where("vec_id = node").select("node", "n", "x").dropDuplicates(["node", "x"])
     count = rows.where("digest is not null").count()
     bits, tables = plan(count, threshold)
-    planes = spark.sparkContext.broadcast(band_planes(dim, bits, tables))
-    banded = stage(held.mapInArrow(_banded(planes, bits, dim), "node long, n long, r binary, code binary, factor double, bands array<long>"), "vectors-banded")
-    tagged = banded.select("node", "n", "r", "code", "factor", "bands", F.posexplode("bands").alias("t", "band"))
-    buckets = banded.select(F.posexplode("bands").alias("t", "band")).groupBy("t", "band").agg(F.count("*").alias("m")).where("m > 1")
+    banded = stage(held.mapInArrow(_banded(bits, tables), _BANDED), "vectors-banded")
+    tagged = banded.select("node", "n", "dim", "r", "code", "factor", "bands", F.posexplode("bands").alias("t", "band"))
+    buckets = banded.select("dim", F.posexplode("bands").alias("t", "band")).groupBy("dim", "t", "band").agg(F.count("*").alias("m")).where("m > 1")
     blocks = F.ceil(F.col("m") / block).cast("int")
-    dealt = tagged.join(buckets, ["t", "band"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = tagged.join(buckets, ["dim", "t", "band"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # every two blocks of a bucket meet once: a block goes to the pairs (p, q) that hold it
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
-    found = met.select("t", "band", "p", "q", "block", "node", "n", "r", "code", "factor", "bands").groupBy("t", "band", "p", "q").applyInArrow(_meet(threshold), _LINK)
+    found = met.select("dim", "t", "band", "p", "q", "block", "node", "n", "r", "code", "factor", "bands").groupBy("dim", "t", "band", "p", "q").applyInArrow(_meet(threshold), _LINK)
     found = stage(found, "vectors-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     # rows that repeat a vec_id tie their vectors together
