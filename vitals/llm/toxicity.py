@@ -8,7 +8,7 @@ unlabelled texts (U) with the class-prior-corrected risk
 where l is the logistic loss. When the second term turns negative, its gradient is followed the other
 way round, as the non-negative estimator asks. The prior is the share of toxic rows among the labelled
 rows that may be learnt from. Training takes a bounded sample (``MAX_POSITIVE``, ``MAX_UNLABELLED``
-documents in expectation, by a hash of the doc_id); scoring reads every whole text.
+rows in expectation, by a hash of doc_id and text; equal rows count once); scoring reads every whole text.
 
 Features of a text: its distinct words (runs of letters, lower case) and their prefixes of 4 to 6
 letters. Only features whose shares of P and of U differ by at least ``MIN_Z`` standard errors, found in at least
@@ -103,14 +103,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     if not n["p"] or not n_docs:
         return {}, -50.0
 
-    def share(most, of):
-        return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) < int(min(1.0, most / max(of, 1)) * (1 << 30))
+    def share(most, of, *key):
+        return F.pmod(F.xxhash64(*key, F.lit(17)), F.lit(1 << 30)) < int(min(1.0, most / max(of, 1)) * (1 << 30))
+
+    def sampled(rows_, most, of):
+        # by row, not by id; rows that are repeated are one (combined map-side), so no id fills the sample
+        return rows_.where(share(most, of, "doc_id", "text")).dropDuplicates(["doc_id", "text"])
 
     rows = docs.where(learn).select("doc_id", "text")
     # the sampled positives are a bounded set of ids, so they are joined as a broadcast
-    wanted = known.where((F.col("toxic") == 1) & share(max_positive, n["p"])).select("doc_id")
-    pos = rows.join(F.broadcast(wanted), "doc_id").select(F.lit(1).alias("label"), "text")
-    unl = rows.where(share(max_unlabelled, n_docs)).select(F.lit(0).alias("label"), "text")
+    wanted = known.where((F.col("toxic") == 1) & share(max_positive, n["p"], "doc_id")).select("doc_id")
+    toxic = rows.join(F.broadcast(wanted), "doc_id")
+    pos = sampled(toxic, max_positive, toxic.count()).select(F.lit(1).alias("label"), "text")
+    unl = sampled(rows, max_unlabelled, n_docs).select(F.lit(0).alias("label"), "text")
     sample = stage(pos.unionAll(unl).mapInArrow(_featurise, "label int, features array<string>"), "toxicity-sample")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = size.get(1, 0), size.get(0, 0)
