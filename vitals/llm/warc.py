@@ -6,8 +6,9 @@ payloads the one with the smallest page_id is the response, the others are revis
 written by Spark's text writer, so any store and Spark's commit protocol serve; records
 end with CRLF CRLF, and segments and chunks are cut between characters, so files are valid WARC.
 
-Reading: records are split where a blank line is followed by a version line. (The writer cuts a chunk inside
-any such text of a payload, so it never occurs in a block.) Records without segments are decoded at once;
+Reading: files are split where a blank line is followed by a version line, and a record whose Content-Length isn't met yet goes on
+with the next pieces of its file, so payloads of other writers may hold such text. (Our writer cuts a chunk inside
+it, so it never occurs in a block; an uncompressed file that Spark reads in splits is cut there only by others' payloads, which is reported.) Records without segments are decoded at once;
 segments alone are shuffled, grouped by origin, ordered by number, checked against the total length and joined; then
 the chunked framing is taken off.
 
@@ -20,7 +21,10 @@ segment without its fellows is such a record; an empty table gives an empty arch
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
+from collections import deque
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +36,8 @@ VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 SEPARATOR = END + VERSION
 CHUNK_BYTES, SEGMENT_BYTES = 4096, 32768
+#: A record that says it is longer isn't put together; Spark's text rows are bounded likewise.
+MOST_BYTES = 1 << 30
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -96,15 +102,16 @@ def _clean(value: str | None) -> str | None:
     return None if value is None else value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def records(page_id, url, html: str | None, rep, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
-    """The record of a page, without its final CRLF CRLF, and its continuations. ``rep``: the page it revisits."""
+def records(page_id, url, html: str | None, rep, segment_bytes: int = SEGMENT_BYTES, date: str = "1970-01-01T00:00:00Z") -> list[bytes]:
+    """The record of a page, without its final CRLF CRLF, and its continuations. ``rep``: the page it revisits;
+    ``date``: their WARC-Date."""
     payload = ("" if html is None else html).encode("utf-8", "replace")
     digest = base32_sha1(payload)
 
     def rid(page):
         return f"<urn:page:{'' if page is None else page}:{digest}>"
 
-    fields = [("WARC-Record-ID", rid(page_id)), ("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
+    fields = [("WARC-Record-ID", rid(page_id)), ("WARC-Date", date), ("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if rep is not None and rep != page_id:
         extra = [("WARC-Type", "revisit"), ("WARC-Refers-To", rid(rep)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
@@ -118,18 +125,18 @@ def records(page_id, url, html: str | None, rep, segment_bytes: int = SEGMENT_BY
         total = str(len(block)) if i == len(parts) else None
         out.append(
             _header(
-                [("WARC-Type", "continuation"), ("WARC-Record-ID", f"{rid(page_id)[:-1]}:{i}>"), ("WARC-Segment-Origin-ID", rid(page_id)), ("WARC-Segment-Number", str(i)), ("WARC-Segment-Total-Length", total)],
+                [("WARC-Type", "continuation"), ("WARC-Record-ID", f"{rid(page_id)[:-1]}:{i}>"), ("WARC-Date", date), ("WARC-Segment-Origin-ID", rid(page_id)), ("WARC-Segment-Number", str(i)), ("WARC-Segment-Total-Length", total)],
                 part,
             )
         )
     return out
 
 
-def _write(segment_bytes: int):
+def _write(segment_bytes: int, date: str):
     def rows(batches):
         for batch in batches:
             for r in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "rep")), strict=True):
-                for record in records(*r, segment_bytes):
+                for record in records(*r, segment_bytes, date):
                     yield (record,)
 
     def run(batches):
@@ -139,20 +146,22 @@ def _write(segment_bytes: int):
     return run
 
 
-def write_warc(pages: DataFrame, out: str, min_revisit_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Write ``pages`` (page_id, url, html) as gzipped WARC files under ``out``.
+def write_warc(pages: DataFrame, out: str, min_revisit_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, date: dt.datetime | None = None) -> None:
+    """Write ``pages`` (page_id, url, html) as gzipped WARC files under ``out``; ``date``: the time of capture,
+    else that of this call (one for all records, so a task that is run again writes the same).
 
     Equal payloads of at least ``min_revisit_bytes`` share their response. Their smallest page_id is a map-side combined
     minimum per digest; payloads that occur once meet no revisit.
     """
     prepare(pages.sparkSession)
+    stamp = (date or dt.datetime.now(dt.UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"))
     size = F.octet_length(F.coalesce("html", F.lit("")))
     first = (
         rows.where(size >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep")
     )
     joined = rows.join(first, "digest", "left").select("page_id", "url", "html", "rep")
-    joined.mapInArrow(_write(segment_bytes), "value string").write.option("lineSep", END.decode()).option("compression", "gzip").text(out)
+    joined.mapInArrow(_write(segment_bytes, stamp), "value string").write.option("lineSep", END.decode()).option("compression", "gzip").text(out)
 
 
 _PARSED = "type string, record_id string, origin string, number int, total long, refers_to string, block binary, error string"
@@ -176,12 +185,54 @@ def parse(record: bytes) -> tuple:
     return h.get("warc-type"), h.get("warc-record-id"), h.get("warc-segment-origin-id"), int(number) if number.isdigit() else None, int(total) if total.isdigit() else None, h.get("warc-refers-to"), rest, error
 
 
+def lacking(piece: bytes) -> int:
+    """Bytes that a record's first piece lacks by its Content-Length (0: none, or it can't be told)."""
+    head, mark, rest = piece.partition(END)
+    for line in head.split(b"\r\n"):
+        k, _, v = line.partition(b":")
+        if k.strip().lower() == b"content-length" and v.strip().isdigit():
+            length = int(v)
+            return max(0, length - len(rest)) if mark and length <= MOST_BYTES else 0
+    return 0
+
+
+def framed(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """The records of a stream of pieces, in which every separator has been taken out.
+
+    A record goes on with the next pieces until its Content-Length is met. Where it is never met, as the next file begins or
+    the pieces end beyond it, its first piece comes as it is (``parse`` reports it), and the others are read on their own.
+    """
+    ahead: deque[bytes] = deque()
+    while True:
+        first = ahead.popleft() if ahead else next(pieces, None)
+        if first is None:
+            return
+        need, used = lacking(first), 0
+        while need > 0:
+            if used == len(ahead):
+                more = next(pieces, None)
+                if more is None:
+                    break
+                ahead.append(more)
+            if ahead[used].startswith(VERSION):  # a file's first piece
+                break
+            need -= len(SEPARATOR) + len(ahead[used])
+            used += 1
+        if need in (0, -len(END)):  # the last record of a file has its end still
+            first = SEPARATOR.join([first, *(ahead.popleft() for _ in range(used))])
+        yield first
+
+
 def _parse(batches):
-    def rows():
+    def pieces():
         for batch in batches:
             for value in batch.column("value").cast(pa.binary()).to_pylist():
                 if value.strip():
-                    yield parse(value)
+                    yield value
+
+    def rows():
+        for record in framed(pieces()):
+            yield parse(record)
 
     return rows_batches(rows(), _PARSED_PA, 200)
 
