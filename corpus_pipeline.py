@@ -38,21 +38,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles at a Jaccard similarity of 0.8, the smallest doc_id stays.
+    """Of each group linked by five-word shingles at a Jaccard similarity of 0.8, the row with the smallest doc_id stays.
 
-    Rows without words or doc_id stay. Of rows that repeat a doc_id one stays: that with the smallest text hash; so texts
-    that are not alike, but share a doc_id, go too, and they tie the groups of their copies together.
+    A row's node is the hash of its doc_id and text, so unrelated texts that share a doc_id are judged on their own. Rows without
+    words or doc_id stay; of rows with equal doc_id and text one stays.
     """
     prepare(spark)
-    found = ngram_join.jaccard_join(docs, n=5, percent=80)
-    k_id, k_stays, k_many, k_row = _free(docs, "k_id", "k_stays", "k_many", "k_row")
-    by_id = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
-    by_id = stage(by_id.select(F.col("doc_id").alias(k_id), (F.col("first") == F.col("doc_id")).alias(k_stays), (F.col("rows") > 1).alias(k_many)), "pipeline-groups")
-    joined = docs.join(by_id, docs["doc_id"] == by_id[k_id], "left").where(F.col(k_stays).isNull() | F.col(k_stays))
-    # several rows of one id are rare, and the smallest of them is found map-side; a row without words has no group
-    wordless = ~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
-    many = F.coalesce(k_many, F.lit(False)) & ~wordless
-    one = joined.where(many).groupBy(k_id).agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias(k_row))
+    k_key, k_stays, k_many, k_row = _free(docs, "k_key", "k_stays", "k_many", "k_row")
+    keyed = docs.withColumn(k_key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = ngram_join.jaccard_join(keyed.select(F.col(k_key).alias("doc_id"), "text"), n=5, percent=80)
+    nodes = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    nodes = stage(nodes.withColumnRenamed("doc_id", "node"), "pipeline-nodes")
+    ids = keyed.select(F.col(k_key).alias("node"), F.col("doc_id").alias("id"))
+    # the smallest id of each group, combined map-side
+    first = ids.join(nodes, "node").groupBy("component").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.node").alias("f"))
+    marked = nodes.join(first, F.col("node") == F.col("f"), "left")
+    marked = stage(marked.select(F.col("node").alias(k_key), F.col("f").isNotNull().alias(k_stays), (F.col("rows") > 1).alias(k_many)), "pipeline-groups")
+    joined = keyed.join(marked, k_key, "left").where(F.col(k_stays).isNull() | F.col(k_stays))
+    # rows that repeat both are rare, and one of them is picked map-side
+    many = F.coalesce(k_many, F.lit(False))
+    one = joined.where(many).groupBy(k_key).agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias(k_row))
     return joined.where(~many).select(docs.columns).unionAll(one.select(f"{k_row}.*"))
 
 
