@@ -60,7 +60,7 @@ PIVOTS = 3
 #: Signatures with at most SMALL rows compare all of them at once.
 SMALL = 8
 #: 64-bit words of a set's parity sketch (a power of two), and prefix tokens looked back at for a pair's first one.
-SKETCH_WORDS, EARLIER = 8, 64
+SKETCH_WORDS, EARLIER = 8, 4
 #: Ids of a round that are broadcast (16 bytes each) to fetch their sets; more go by a fixed-size filter and a shuffle.
 FEW_IDS = 200_000
 #: Bits of the smallest sketch; a larger set has a bit a token, rounded up to a power of two.
@@ -286,43 +286,67 @@ def _verify(percent: int):
 
 
 def _exploded(batches):
-    """A row for each token of each set."""
+    """A row for each token of each set, by the set's key."""
     for batch in batches:
-        for doc_id, component, tokens in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "component", "tokens")), strict=True):
+        for tokens in batch.column("tokens").to_pylist():
             token = np.frombuffer(tokens, np.int64)
-            n, key = len(token), xxhash.xxh3_64_intdigest(tokens) >> 1
-            for at in range(0, n, CHUNK):
+            for at in range(0, len(token), CHUNK):
                 part = token[at : at + CHUNK]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), v)) for v in (doc_id, component, key, n)] + [pa.array(part)], names=["doc_id", "component", "key", "size", "token"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), set_key(tokens))), pa.array(part)], names=["key", "token"])
+
+
+def set_key(tokens: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(tokens) >> 1
+
+
+_WORDS = [f"w{i}" for i in range(SKETCH_WORDS)]
+_HEAD = "doc_id long, component long, key long, size int, " + ", ".join(f"{w} long" for w in _WORDS)
+
+
+def _heads(batches):
+    """A row for each set: its key, size and sketch, folded to SKETCH_WORDS words."""
+    for batch in batches:
+        sets = batch.column("tokens").to_pylist()
+        words = [np.bitwise_xor.reduce(np.frombuffer(sketch(np.frombuffer(t, np.uint64)), np.int64).reshape(-1, SKETCH_WORDS), axis=0) for t in sets]
+        keys, sizes = pa.array([set_key(t) for t in sets], pa.int64()), pa.array([len(t) // 8 for t in sets], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("component"), keys, sizes, *(pa.array([int(w[i]) for w in words], pa.int64()) for i in range(SKETCH_WORDS))],
+            names=["doc_id", "component", "key", "size", *_WORDS],
+        )
 
 
 def _open_pairs(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b, sa, sb) among the documents ``left`` (doc_id, component): prefixes in ascending order of
     the tokens' numbers among them, and the sets' rests after a shared token must be able to link.
 
-    The parities of a set's tokens by their low bits are its sketch; two sets differ in as many tokens as their
+    Tokens travel as (key of the set, token) and those of one set alone stay behind, as only their number matters: they come first
+    in every prefix. The parities of a set's tokens by their low bits are its sketch; two sets differ in as many tokens as their
     sketches in bits, or more, so a pair whose sketches differ too much can't link.
     """
-    own = stage(sets.join(left, "doc_id").mapInArrow(_exploded, "doc_id long, component long, key long, size long, token long"), "join-tokens")
-    held = own.groupBy("token").agg(F.count("*").alias("n"))
-    words = [f"w{i}" for i in range(SKETCH_WORDS)]
-    bit, word = F.expr("shiftleft(1L, cast(token & 63 as int))"), F.shiftright("token", 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
-    sketch = [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(w) for i, w in enumerate(words)]
-    ranked = own.join(held, "token").groupBy("doc_id", "component", "key", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked"), *sketch)
-    most = (F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1).cast("int")
-    prefix = ranked.withColumn("ranked", F.slice("ranked", F.lit(1), most)).select("doc_id", "component", "size", *words, "ranked", F.posexplode("ranked").alias("at", "t"))
-    # a pair is made at its first shared token; beyond EARLIER tokens it may be made more than once
-    earlier = F.when(F.col("at") <= EARLIER, F.slice("ranked.token", F.lit(1), F.col("at"))).otherwise(F.array().cast("array<long>"))
-    prefix = prefix.where("t.n > 1").select("doc_id", "component", "size", *words, (F.col("size") - F.col("at")).alias("rest"), earlier.alias("earlier"), F.col("t.token").alias("token"))
-    prefix = stage(prefix, "join-prefixes")
-    x, y = prefix.alias("x"), prefix.alias("y")
+    heads = stage(sets.join(left, "doc_id").mapInArrow(_heads, _HEAD), "join-heads")
+    own = stage(sets.join(left, "doc_id", "left_semi").mapInArrow(_exploded, "key long, token long"), "join-tokens")
+    often = own.groupBy("token").agg(F.count("*").cast("int").alias("n")).where("n > 1")
+    ranked = own.join(often, "token").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("n", "token"))).alias("ranked"))
+    alone = F.col("size") - F.size("ranked")
+    most = F.col("size") - F.floor((F.col("size").cast("long") * percent + 99) / 100) + 1
+    prefix = heads.join(ranked, "key").withColumn("alone", alone).withColumn("ranked", F.slice("ranked", F.lit(1), F.greatest(most - F.col("alone"), F.lit(0)).cast("int")))
+    prefix = prefix.select("doc_id", "component", "size", *_WORDS, "alone", F.col("ranked.token").alias("ranked"), F.posexplode("ranked.token").alias("at", "token"))
+    # a pair is made where none of the EARLIER tokens before is shared: at its first shared token, and seldom again
+    earlier = F.slice("ranked", F.greatest(F.col("at") - EARLIER, F.lit(0)) + 1, F.least("at", F.lit(EARLIER)))
+    prefix = stage(prefix.select("doc_id", "component", "size", *_WORDS, (F.col("size") - F.col("alone") - F.col("at")).alias("rest"), earlier.alias("earlier"), "token"), "join-prefixes")
+    discard(heads, own)
+    # tokens of one component alone make no pair
+    mixed = prefix.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    prefixes = prefix.join(mixed, "token", "left_semi")
+    x, y = prefixes.alias("x"), prefixes.alias("y")
     both, shared = F.expr("x.size + y.size"), F.expr("least(x.rest, y.rest)")
-    apart = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in words), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in _WORDS), F.lit(0))
     able = (shared * 100 >= (both - shared) * percent) & (apart * (100 + percent) <= both * (100 - percent))
     pairs = x.join(y, F.expr("x.token = y.token and x.doc_id < y.doc_id and x.component <> y.component") & able & ~F.arrays_overlap("x.earlier", "y.earlier"))
-    return pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.size").alias("sa"), F.col("y.size").alias("sb"))
+    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.size").alias("sa"), F.col("y.size").alias("sb"))
+    pairs = stage(pairs.distinct(), "join-pairs")
+    discard(prefix)
+    return pairs
 
 
 def _frequent(found: DataFrame) -> np.ndarray:
@@ -439,7 +463,7 @@ def _keyed_sets(n: int):
         for batch in batches:
             for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts(batch), n), strict=True):
                 if doc_id is not None and len(s):
-                    yield doc_id, xxhash.xxh3_64_intdigest(s.tobytes()) >> 1, s.tobytes()
+                    yield doc_id, set_key(s.tobytes()), s.tobytes()
 
     return lambda batches: rows_batches(rows(batches), pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("tokens", pa.binary())]), 200)
 
