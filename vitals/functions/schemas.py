@@ -202,6 +202,19 @@ GOLD_COUNT_COLUMNS: tuple[str, ...] = (
 )
 GOLD_PARTITIONS: tuple[str, ...] = ("year", "month", "day")
 
+# Bitmaps of the ids of each day, partitioned like gold.
+DAY_SETS_SCHEMA = T.StructType(
+    [
+        T.StructField("at_midnight", T.BooleanType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+        T.StructField("year", T.StringType()),
+        T.StructField("month", T.StringType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
+
 # Raw rows that a silver batch sets aside: what was delivered, the archive hour, and why.
 REJECTS_SCHEMA = T.StructType(
     [

@@ -743,6 +743,14 @@ FROM stated
 """
 
 
+ROLLING = """
+SELECT d.day, COUNT(DISTINCT s.actor_id) AS actors, COUNT(DISTINCT s.repo_id) AS repos
+FROM (SELECT DISTINCT CAST(created_at AS DATE) AS day FROM silver) d
+JOIN silver s ON CAST(s.created_at AS DATE) BETWEEN d.day - 6 AND d.day
+GROUP BY 1
+"""
+
+
 def _histories() -> dict[str, str]:
     return {
         "dedup_across_batches": _over(_EVENTS_ALL, _WITH_NEW),
@@ -752,6 +760,8 @@ def _histories() -> dict[str, str]:
         "silver_rejects": with_prefix(REJECTS),
         "transform_in_batches": with_prefix(_EVENTS_ALL),
         "ingest_status": with_prefix(INGEST),
+        "overview_kpis_from_bitmaps": with_prefix(SERVING["overview_kpis"]),
+        "rolling_distincts": with_prefix(ROLLING),
         "read_table_extract": with_prefix(SERVING["bot_vs_human"], EXTRACT_FROM, END),
     }
 

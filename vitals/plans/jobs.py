@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions.schemas import EVENT_PARTITIONS, GOLD_PARTITIONS
 from vitals.operators import contracts as C
+from vitals.operators import distincts as DS
 from vitals.operators import gold as G
 from vitals.operators import silver as SV
 from vitals.plans import incremental as I
@@ -337,9 +338,13 @@ def _gold_days(lake: TableLake, days: list, now: Column) -> BatchReport:
         found, n = _evaluate("gold", daily, C.GOLD)
         if found:
             return BatchReport(FAILED, violations=found, samples={"gold": _first_failing(daily, C.GOLD, "repo_id")})
+        # the bitmaps go first: a run that stops in between does both again
+        TB.replace_partitions(DS.day_sets(events).hint("rebalance", "day"), lake.paths["day_sets"], GOLD_PARTITIONS)
         TB.replace_partitions(daily, lake.paths["gold"], GOLD_PARTITIONS)
         left = {r["day"] for r in daily.select("day").distinct().collect()}
-        TB.drop_partitions(spark, lake.paths["gold"], [(f"{d:%Y}", f"{d:%m}", d.isoformat()) for d in days if d not in left], GOLD_PARTITIONS)
+        emptied = [(f"{d:%Y}", f"{d:%m}", d.isoformat()) for d in days if d not in left]
+        for table in ("gold", "day_sets"):
+            TB.drop_partitions(spark, lake.paths[table], emptied, GOLD_PARTITIONS)
         return BatchReport(SUCCESS, rows={"gold": n})
     finally:
         daily.unpersist()

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitals.functions.columns import one_row, round_even, stable
+from vitals.operators import distincts as DS
 from vitals.operators import silver as SV
 from vitals.sources.lake import Lake
 
@@ -105,7 +106,8 @@ def _topk_join_name(ranked: DataFrame, lake: Lake, order: list[Column], limit: i
 
 
 def overview_kpis(lake: Lake, start: str, end: str) -> DataFrame:
-    """Q01: six KPIs in one row (five from gold, distinct contributors from silver)."""
+    """Q01: six KPIs in one row: five from gold, distinct contributors from the days' bitmaps, or from silver in a lake
+    without them. With bitmaps all six are as of the last gold batch."""
     g = gold_window(lake, start, end).agg(
         _sum("total_events").alias("total_events"),
         F.count_distinct("repo_id").alias("active_repos"),
@@ -113,7 +115,11 @@ def overview_kpis(lake: Lake, start: str, end: str) -> DataFrame:
         stable(F.avg("issue_close_rate")).alias("avg_issue_close_rate"),
         stable(F.avg("activity_score")).alias("avg_activity_score"),
     )
-    s = silver_window(lake, start, end).agg(F.count_distinct("actor_id").alias("unique_contributors"))
+    sets = lake.day_sets()
+    if sets is None:
+        s = silver_window(lake, start, end).agg(F.count_distinct("actor_id").alias("unique_contributors"))
+    else:
+        s = DS.count_ids(sets.where(DS.in_window(start, end)), "actor", "unique_contributors")
     return one_row(g, s)
 
 

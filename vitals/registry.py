@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vitals.functions.columns import detect_bot
 from vitals.operators import contracts as C
 from vitals.operators import derived as D
+from vitals.operators import distincts as DS
 from vitals.operators import gold as G
 from vitals.operators import silver as SV
 from vitals.oracle import END, EXTRACT_FROM, START
@@ -447,6 +448,10 @@ def history_queries() -> dict[str, QueryFn]:
         P.run_gold(lake, days_per_batch=8)
         return lake.gold().drop("updated_at")
 
+    def rolling_distincts(spark, d):
+        """Distinct actors and repositories of each week that ends with a day, from the bitmaps beside gold."""
+        return DS.rolling(P.build_lake(spark, d).day_sets(), 7)
+
     def silver_rejects(spark, d):
         lake = P.own_lake(spark, fixtures.damaged(_raw(_events(spark, d))))
         P.run_silver(lake, on_violation="quarantine")
@@ -486,6 +491,8 @@ def history_queries() -> dict[str, QueryFn]:
         "transform_in_batches": in_batches,
         "ingest_status": ingest_status,
         "read_table_extract": read_table_extract,
+        "overview_kpis_from_bitmaps": lambda spark, d: Q.overview_kpis(P.build_lake(spark, d), START, END),
+        "rolling_distincts": rolling_distincts,
     }
 
 

@@ -25,7 +25,7 @@ from vitals.operators import silver as SV
 from vitals.session import configure
 from vitals.sources import fixtures
 from vitals.sources.id_index import IdIndex
-from vitals.sources.tables import exists
+from vitals.sources.tables import exists, list_partitions
 
 DEFAULT_NOW = "2024-02-01 00:00:00"
 
@@ -66,6 +66,10 @@ class Lake:
     def gold(self) -> DataFrame:
         raise NotImplementedError
 
+    def day_sets(self) -> DataFrame | None:
+        """Bitmaps of the ids of each day, where they are kept for all days of gold."""
+        return None
+
     def on_days(self, first: str, last: str) -> Column:
         """Events of the days [first, last], stated on the partition columns (prunes)."""
         ymd = F.concat_ws("-", "year", "month", "day")
@@ -135,6 +139,7 @@ class TableLake(Lake):
             "repos": f"{r}/silver/repos",
             "orgs": f"{r}/silver/orgs",
             "gold": f"{r}/gold/daily_activity",
+            "day_sets": f"{r}/gold/day_sets",
             "ledger": f"{r}/_ledger/bronze_processed",
             "changed_days": f"{r}/_ledger/changed_days",
             "gold_consumed": f"{r}/_ledger/gold_consumed",
@@ -183,6 +188,14 @@ class TableLake(Lake):
     def gold(self) -> DataFrame:
         return self._read("gold", GOLD_SCHEMA)
 
+    def day_sets(self) -> DataFrame | None:
+        if not (self.has("day_sets") and self.has("gold")):
+            return None
+        days, kept = (list_partitions(self.spark, self.paths[t], S.GOLD_PARTITIONS) for t in ("gold", "day_sets"))
+        if not days.join(kept, list(S.GOLD_PARTITIONS), "left_anti").isEmpty():
+            return None  # days of a lake that was written without them
+        return self._read("day_sets", S.DAY_SETS_SCHEMA)
+
     def has(self, name: str) -> bool:
         return exists(self.spark, self.paths[name])
 

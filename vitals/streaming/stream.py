@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from vitals.functions import schemas as S
 from vitals.operators import contracts as C
+from vitals.operators import distincts as DS
 from vitals.operators import gold as G
 from vitals.plans import jobs as J
 from vitals.sources import tables as TB
@@ -77,6 +78,7 @@ def stream_gold(lake: TableLake, now: Column, checkpoint: str | None = None, ava
         bad, _ = C.evaluate(staged, C.GOLD)
         if bad:
             raise RuntimeError(f"gold micro-batch {epoch_id} failed contracts: {bad}")
+        TB.replace_partitions(DS.day_sets(events).hint("rebalance", "day"), lake.paths["day_sets"], S.GOLD_PARTITIONS)
         TB.replace_partitions(staged, lake.paths["gold"], S.GOLD_PARTITIONS)
 
     w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint or f"{lake.root}/_checkpoints/gold")
