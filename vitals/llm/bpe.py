@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -15,15 +16,23 @@ PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 class _Known(dict):
-    """Word → ids; a word not met yet passes the tokenizer."""
+    """Word → ids; a word not met yet passes the tokenizer.
+
+    Two generations of at most ``most`` words: a full one becomes the older one, and what is asked for again
+    comes back from there, so that frequent words are kept however many rare ones pass."""
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.make(word)
-        if len(self) < self.most and len(word) <= 64:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
@@ -33,20 +42,21 @@ class WordEncoder:
 
     The tokenizer lower-cases, drops white space, splits words into runs of letters, single digits and runs of other
     characters, and merges within those alone; so a text's ids are the concatenation of its parts' ids. Each distinct
-    part passes the tokenizer library once; the caches are bounded and start over when full.
+    part passes the tokenizer library once while it is known; what is known is bounded.
     """
 
-    def __init__(self, path: str, max_words: int = 300_000, max_parts: int = 500_000):
+    def __init__(self, path: str, max_words: int = 250_000, max_parts: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size()
         self.dtype = np.uint16 if self.vocab <= 1 << 16 else np.uint32
+        self.code = "H" if self.vocab <= 1 << 16 else "I"
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.words, self.parts = _Known(self._word, max_words), _Known(self._part, max_parts)
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def _model(self, part: str) -> bytes:
         return self._ids([t.id for t in self.tok.model.tokenize(part)])
@@ -68,9 +78,6 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of ``dtype``."""
-        for cache in (self.words, self.parts):
-            if len(cache) >= cache.most:
-                cache.clear()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
