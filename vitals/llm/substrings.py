@@ -36,8 +36,10 @@ from vitals.llm.common import FILTER_BITS, discard, in_filter, key_filter, prepa
 LENGTH, K = 400, 32
 #: Window starts handled at once; with the overlap it stays below 2**20.
 STRETCH = 1 << 18
-#: Bytes indexed together, and distinct segments of one minimizer that one task indexes.
-INDEX_BYTES, HOT = 1 << 20, 1500
+#: Bytes indexed together, and distinct segments of one minimizer that one task indexes (of 2 * LENGTH bytes at most each).
+INDEX_BYTES, HOT = 1 << 20, 6000
+#: Letters of nine bits in the key of the first sort.
+FIRST = 7
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _LOW = np.uint64((1 << 20) - 1)
@@ -184,47 +186,73 @@ class RunIndex:
         sa, n = self.sa, len(text)
         bwt = text[sa - 1]
         head = np.append(True, bwt[1:] != bwt[:-1])
-        self.run_letters, self.run_starts = bwt[head], np.flatnonzero(head)
-        last = np.append(self.run_starts[1:], n) - 1
-        self.before = self._stream(sa[self.run_starts], np.where(self.run_starts > 0, sa[self.run_starts - 1], -1))
-        self.after = self._stream(sa[last], np.where(last + 1 < n, sa[np.minimum(last + 1, n - 1)], -1))
+        first = np.flatnonzero(head)
+        # a border between two runs is the sample of both
+        border = np.concatenate([[0], self._match(sa[first[1:]], sa[first[1:] - 1]), [0]])
+        self.before = self._stream(sa[first], border[:-1])
+        self.after = self._stream(sa[np.append(first[1:], n) - 1], border[1:])
+
+    def _first(self) -> np.ndarray:
+        """The first FIRST letters of every suffix as one number; nothing follows the end of its string."""
+        n = len(self.text)
+        letter = np.minimum(self.text, 256) + 1
+        ends = letter == 257
+        letter, ends = np.append(letter, np.zeros(FIRST, np.int64)), np.append(ends, np.zeros(FIRST, bool))
+        key, over = letter[:n].copy(), ends[:n].copy()
+        for i in range(1, FIRST):
+            key = (key << 9) | np.where(over, 0, letter[i : i + n])
+            over |= ends[i : i + n]
+        self.closed = over
+        return key
 
     def _sort(self) -> None:
-        """Suffix array by prefix doubling; the ranks of every round are kept for match lengths."""
-        n, top = len(self.text), int(self.text.max()) + 2
-        pad = np.zeros(n, np.int64)
-        rank = self.text + 1
-        self.levels, step = [(1, rank)], 1
+        """Suffix array by prefix doubling, from FIRST letters on. Each round sorts only the suffixes whose place is open;
+        a rank is the place of the first suffix that begins alike, and the ranks of every round are kept for match lengths."""
+        n, step = len(self.text), FIRST
+        key = self._first()
+        sa = np.argsort(key)
+        # what reaches the end of its string differs from all else: equal keys by string
+        special = self.closed[sa]
+        inner = sa[special]
+        sa[special] = inner[np.lexsort((inner, key[inner]))]
+        ordered = key[sa]
+        head = np.append(True, ordered[1:] != ordered[:-1]) | special
+        rank = np.empty(n, np.int32)
+        rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+        self.levels = [(step, rank)]
+        place = np.arange(n)
         while True:
-            second = pad.copy()
-            second[: n - step] = rank[step:] if step < n else 0
-            key = rank * top + second
+            open_ = ~(head & np.append(head[1:], True))
+            place = place[open_]
+            if not len(place):
+                break
+            at = sa[place]
+            # a suffix whose place is open has FIRST letters alike and no end among them, so it is longer than ``step``
+            key = rank[at].astype(np.int64) * n + rank[at + step]
             order = np.argsort(key)
-            sorted_key = key[order]
-            new = np.empty(n, np.int64)
-            new[order] = np.cumsum(np.append(True, sorted_key[1:] != sorted_key[:-1]))
+            at, key = at[order], key[order]
+            sa[place] = at
+            head = np.append(True, key[1:] != key[:-1])
+            rank = rank.copy()
+            rank[at] = place[np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))]
             step *= 2
-            rank, top = new, n + 2
-            if int(new.max()) == n:
-                break
             self.levels.append((step, rank))
-        self.sa = order
+        self.sa = sa
 
     def _match(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Length of the longest common prefix of suffixes p and q."""
         total, n = np.zeros(len(p), np.int64), len(self.text)
-        ok = q >= 0
-        for step, rank in reversed(self.levels):
-            i, j = p + total, np.where(ok, q, 0) + total
-            same = ok & (i < n) & (j < n)
+        for step, rank in [*reversed(self.levels), *[(1, self.text)] * (FIRST - 1)]:
+            i, j = p + total, q + total
+            same = (i < n) & (j < n)
             same &= rank[np.minimum(i, n - 1)] == rank[np.minimum(j, n - 1)]
             total += same * step
         return total
 
-    def _stream(self, sample: np.ndarray, neighbour: np.ndarray) -> np.ndarray:
+    def _stream(self, sample: np.ndarray, length: np.ndarray) -> np.ndarray:
         n = len(self.text)
         known, at = np.zeros(n, np.int64), np.full(n, -1, np.int64)
-        known[sample], at[sample] = self._match(sample, neighbour), sample
+        known[sample], at[sample] = length, sample
         at = np.maximum.accumulate(at)
         return known[at] - (np.arange(n) - at)
 
