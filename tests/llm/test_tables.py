@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import hashlib
+import os
 import re
 import time
 import zlib
@@ -107,6 +108,17 @@ def test_word_encoder_equals_the_library():
         assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == enc.tok.encode(t, add_special_tokens=False).ids
 
 
+def test_batches_and_small_caches_encode_alike():
+    many = ["", " ", "a  b", "\n\n", "x\ty", "éİ ẞ", "<|endoftext|> a", *(f"w{i} word{chr(97 + i % 26) * (i % 7)}, of" for i in range(60))] * 2
+    enc, small = WordEncoder(queries.word_tokenizer()), WordEncoder(queries.word_tokenizer(), 5, 3)
+    want = [enc.tok.encode(t, add_special_tokens=False).ids for t in many]
+    for most in (1, 40, 1 << 20):
+        assert [a.tolist() for a in enc.encode_all(many, most)] == want
+        assert [a.tolist() for a in small.encode_all(many, most)] == want
+    assert max(len(small.words), len(small.words.older)) <= 5
+    assert list(enc.encode_all([])) == []
+
+
 def test_mix_meets_targets(spark, sf):
     got = rows(queries.op2_mixing(spark, sf))
     assert sorted(key(r["doc_id"]) for r in got) == sorted(key(r[0]) for r in _docs())
@@ -333,6 +345,19 @@ def test_run_index_matches():
             assert max(index.before[a + i], index.after[a + i]) == best
 
 
+def test_run_index_of_repetitive_strings():
+    rng = np.random.default_rng(5)
+    for letters in (1, 2, 4):
+        for _ in range(12):
+            strings = [bytes(rng.integers(97, 97 + letters, rng.integers(1, 40)).tolist()) for _ in range(rng.integers(1, 8))]
+            index = substrings.RunIndex(strings)
+            suffixes = [(i, a, s[a:]) for i, s in enumerate(strings) for a in range(len(s))]
+            for i, a, s in suffixes:
+                best = max((len(os.path.commonprefix([s, t])) for j, b, t in suffixes if (j, b) != (i, a)), default=0)
+                at = index.start[i] + a
+                assert max(index.before[at], index.after[at]) == best
+
+
 def test_warc_records_are_framed_by_their_length():
     inner = b"before" + warc.SEPARATOR + b"WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc" + warc.SEPARATOR + b"after"
     head = b"WARC-Type: response\r\nWARC-Record-ID: <urn:page:1:x>\r\nContent-Length: %d\r\n\r\n"

@@ -7,6 +7,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -81,6 +83,34 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+    def encode_all(self, texts: list[str], most_chars: int = 1 << 23):
+        """The ids of each text as an array. Texts are split and their words numbered by Arrow, about ``most_chars`` at
+        a time; each distinct word among them is looked up once and its ids are gathered."""
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > most_chars:
+                yield from self._encode_some(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        if held:
+            yield from self._encode_some(held)
+
+    def _encode_some(self, texts: list[str]):
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        known = [self.words[w] for w in words.dictionary.to_pylist()]
+        width = np.dtype(self.dtype).itemsize
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // width
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        which = words.indices.to_numpy()
+        n = sizes[which]
+        upto = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - upto[:-1], n) + np.arange(upto[-1])]
+        border = upto[split.offsets.to_numpy()]
+        yield from np.split(ids, border[1:-1])
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 

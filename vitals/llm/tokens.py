@@ -51,8 +51,8 @@ def _raw_blocks(path: str, end_id: int, block_tokens: int):
         end = np.asarray([end_id], enc.dtype).tobytes()
         width, block, size, ids, lens, raw = np.dtype(enc.dtype).itemsize, 0, 0, [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                data = enc.encode(text) + end
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), enc.encode_all(texts(batch)), strict=True):
+                data = found.tobytes() + end
                 n = len(data) // width
                 if size and size + n > block_tokens:
                     yield shard, block, size, ids, lens, b"".join(raw)
