@@ -181,3 +181,40 @@ def test_bad_times_are_set_aside(spark):
     assert J.silver_batch(lk, _now(), on_violation="quarantine").status == J.SUCCESS
     assert [r["id"] for r in lk.events().collect()] == [81]
     assert {r["id"] for r in spark.read.parquet(f"{lk.root}/_rejects/events").collect()} == {82, 83}
+
+
+def test_redelivered_rows_stay_before_the_merge(spark, monkeypatch):
+    """Copies in one archive hour go no further; another hour's copy, changed rows and old late rows do."""
+    from vitals.plans import jobs
+    from vitals.streaming.stream import stream_silver
+
+    def event(id_, at, user=3):
+        return (id_, "ForkEvent", actor(user, f"user{user}"), repo(1, "org/repo1"), json.dumps({"action": "forked"}), True, at, None)
+
+    def arrive(rows, file_name):
+        df = spark.createDataFrame(rows, "id string, type string, actor string, repo string, payload string, public boolean, created_at string, org string")
+        landed = B.with_bronze_partitions(df.withColumn("source_file", F.lit(f"/in/{file_name}")), F.current_timestamp())
+        landed.coalesce(1).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(lk.paths["bronze"])
+
+    merged, plain = [], jobs.silver_from_bronze
+
+    def spy(lake, rows, *args, **named):
+        merged.extend((r["id"], r["hour"]) for r in rows.collect())
+        return plain(lake, rows, *args, **named)
+
+    monkeypatch.setattr(jobs, "silver_from_bronze", spy)
+    lk = TableLake(spark, scratch_path(spark, "test-stream-redelivered"))
+    a, b = event("1", "2024-02-05T07:30:00Z"), event("2", "2024-02-05T07:31:00Z")
+    arrive([a, b, b], "2024-02-05-7.json.gz")
+    stream_silver(lk, _now(), redelivered_within="1 hour")
+    assert sorted(merged) == [("1", "07"), ("2", "07")]
+    merged.clear()
+    arrive([a, event("2", "2024-02-05T07:31:00Z", 4), event("3", "2020-01-01T00:00:00Z")], "2024-02-05-7.json.gz")
+    arrive([a], "2024-02-05-9.json.gz")
+    stream_silver(lk, _now(), redelivered_within="1 hour")
+    assert sorted(merged) == [("1", "09"), ("2", "07"), ("3", "07")]
+    assert sorted((r["id"], r["actor_id"]) for r in lk.events().collect()) == [(1, 3), (2, 3), (3, 3)]
+    merged.clear()
+    arrive([a], "2024-02-05-7.json.gz")
+    stream_silver(lk, _now(), redelivered_within="1 hour")
+    assert merged == []

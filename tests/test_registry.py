@@ -15,7 +15,7 @@ from vitals import oracle, registry
 WRITE_PATH = {
     "read_raw_events", "land_bronze", "skip_existing_hours", "read_bronze_partitions", "append_fact",
     "transform_batch", "silver_to_gold", "replace_days", "export_gold_window", "export_events_window",
-    "csv_download", "stream_silver", "stream_gold",
+    "csv_download", "stream_silver", "stream_silver_redelivered", "stream_gold",
     # test_history.py has these on small lakes
     "overview_kpis_from_bitmaps", "rolling_distincts", "dedup_across_batches", "late_days", "relanded_hour", "relanded_gold", "silver_rejects", "transform_in_batches", "ingest_status", "read_table_extract",
 }

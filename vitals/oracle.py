@@ -685,6 +685,7 @@ _GOLD_NO_CLOCK = f"SELECT {GOLD_COLUMNS} FROM gold"
 WRITES["append_fact"] = _EVENTS_ALL
 WRITES["transform_batch"] = _EVENTS_ALL
 WRITES["stream_silver"] = _EVENTS_ALL
+WRITES["stream_silver_redelivered"] = _EVENTS_ALL
 WRITES["silver_to_gold"] = _GOLD_NO_CLOCK
 WRITES["replace_days"] = _GOLD_NO_CLOCK
 WRITES["stream_gold"] = _GOLD_NO_CLOCK

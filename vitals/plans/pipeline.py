@@ -103,3 +103,16 @@ def stream_lake(spark: SparkSession, sf_dir: str, now: str = DEFAULT_NOW, max_fi
     stream_silver(lake, now_col(now), max_files=max_files)
     stream_gold(lake, now_col(now))
     return lake
+
+
+def redelivered_lake(spark: SparkSession, sf_dir: str, now: str = DEFAULT_NOW, within: str = "12 hours") -> TableLake:
+    """Silver of a stream whose archive hours arrive twice: the second delivery of each is kept from the merge."""
+    from vitals.streaming.stream import stream_silver
+
+    lake = fresh_lake(spark, sf_dir)
+    stream_silver(lake, now_col(now), redelivered_within=within)
+    # the plan reads the folder it adds to: the copy is staged
+    again = TB.stage(spark, lake.bronze(), "bronze-again", BRONZE_PARTITIONS)
+    again.write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(lake.paths["bronze"])
+    stream_silver(lake, now_col(now), redelivered_within=within)
+    return lake

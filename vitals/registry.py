@@ -363,6 +363,9 @@ def write_queries() -> dict[str, QueryFn]:
     def stream_silver(spark, d):
         return P.stream_lake(spark, d, max_files=400).events()
 
+    def stream_redelivered(spark, d):
+        return P.redelivered_lake(spark, d).events()
+
     def stream_gold(spark, d):
         return P.stream_lake(spark, d, max_files=400).gold().drop("updated_at")
 
@@ -380,6 +383,7 @@ def write_queries() -> dict[str, QueryFn]:
         "export_events_window": export_events,
         "csv_download": csv_download,
         "stream_silver": stream_silver,
+        "stream_silver_redelivered": stream_redelivered,
         "stream_gold": stream_gold,
     }
 

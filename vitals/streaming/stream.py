@@ -4,7 +4,8 @@
   :func:`vitals.plans.jobs.silver_from_bronze` (parse, dedup against the touched
   silver partitions, contracts, publish). Exactly-once per file comes from the
   stream checkpoint; cross-batch duplicates are removed by the merge with existing
-  partitions, so no unbounded dedup state is kept.
+  partitions, so no unbounded dedup state is kept. ``redelivered_within`` puts a stage with bounded state in front:
+  a delivery seen less than that ago (same archive hour, same content) goes no further, see :func:`new_deliveries`.
 * ``stream_gold``: new silver files → the distinct days they touch (a handful of rows
   per micro-batch) → gold recomputed for exactly those days from the silver table and
   published by partition replacement. Late events for an old day simply recompute
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,18 +42,51 @@ def _bronze_stream_schema() -> T.StructType:
     )
 
 
-def stream_silver(lake: TableLake, now: Column, checkpoint: str | None = None, available_now: bool = True, max_files: int | None = None):
+def new_deliveries(rows: DataFrame, within: str) -> DataFrame:
+    """Streaming bronze rows without those that arrived before, less than ``within`` ago.
+
+    Two rows are one delivery if their archive hour and all raw fields are equal (SHA-256 of both), so rows of one id that
+    differ, and copies from another archive hour, still reach the exact merge, which picks the survivor and notes every hour.
+    The watermark runs on the time of arrival: a row is never late for it, however old its event or file, and
+    none is dropped but copies. The state holds one digest for each delivery of the last ``within``.
+    """
+    raw = [f.name for f in S.BRONZE_SCHEMA.fields]
+    # to_json writes nulls as such, so a missing field and an empty one differ
+    digest = F.sha2(F.to_json(F.struct(*S.BRONZE_PARTITIONS, *raw), {"ignoreNullFields": "false"}), 256)
+    keyed = rows.withColumns({"_arrived": F.current_timestamp(), "_delivery": digest})
+    return keyed.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_delivery"]).drop("_arrived", "_delivery")
+
+
+def stream_silver(
+    lake: TableLake, now: Column, checkpoint: str | None = None, available_now: bool = True, max_files: int | None = None, redelivered_within: str | None = None
+):
+    """New bronze files into silver. ``redelivered_within`` ('2 hours') belongs to the checkpoint: a stream is started
+    with it or without it, and goes on so."""
     spark = lake.spark
     reader = spark.readStream.schema(_bronze_stream_schema()).option("basePath", lake.paths["bronze"])
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     src = reader.parquet(lake.paths["bronze"])
     reports: list[J.BatchReport] = []
-    checkpoint = checkpoint or f"{lake.root}/_checkpoints/silver"
+    checkpoint = checkpoint or f"{lake.root}/_checkpoints/silver{'-once' if redelivered_within else ''}"
+    if redelivered_within:
+        src = new_deliveries(src, redelivered_within)
     # epochs count by checkpoint, so the checkpoint is part of a batch's name
     stream = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        if redelivered_within:
+            # the state of every partition is written by one whole pass; what follows reads the kept rows
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if batch.count():
+                    publish(batch, epoch_id)
+            finally:
+                batch.unpersist()
+        else:
+            publish(batch, epoch_id)
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
         rep = J.silver_from_bronze(lake, batch, now, batch=f"{stream}-{epoch_id:08d}")
         if rep.status == J.FAILED:
             raise RuntimeError(f"silver micro-batch {epoch_id} failed contracts: {rep.violations}")
