@@ -82,7 +82,7 @@ def write_archive_files(raw: DataFrame, root: str) -> None:
     ]
     out = raw.select(
         F.concat(*parts).alias("value"),
-        F.format_string("%s-%d.json.gz", F.date_format("file_hour", "yyyy-MM-dd"), F.hour("file_hour")).alias("archive"),
+        F.concat(F.coalesce(F.date_format("file_hour", "yyyy-MM-dd"), F.lit("null")), F.lit("-"), F.coalesce(F.hour("file_hour").cast("string"), F.lit("null")), F.lit(".json.gz")).alias("archive"),
     )
     # One file per archive hour, like the real archive.
     out.repartition(64, "archive").write.mode("overwrite").option("compression", "gzip").partitionBy("archive").text(root)
@@ -91,7 +91,7 @@ def write_archive_files(raw: DataFrame, root: str) -> None:
 def _json_value(c: str) -> Column:
     """JSON literal of a string column (quoted and escaped), ``null`` for null."""
     wrapped = F.to_json(F.struct(F.col(c).alias("v")))  # {"v":"..."}, or {} for null
-    return F.coalesce(F.nullif(F.regexp_extract(wrapped, r'^\{"v":(.*)\}$', 1), F.lit("")), F.lit("null"))
+    return F.when(F.col(c).isNull(), "null").otherwise(F.substring(wrapped, F.lit(6), F.length(wrapped) - 6))
 
 
 def cut_archive_files(spark: SparkSession, folder: str) -> None:

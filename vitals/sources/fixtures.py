@@ -37,18 +37,34 @@ REPO_RENAME_FROM = "2024-01-20 00:00:00"
 RENAMED_REPO_ID = 5
 
 
+#: Types by b, below 19.
+_TYPES = (
+    *["PushEvent"] * 6,
+    *["PullRequestEvent"] * 3,
+    *["IssuesEvent"] * 2,
+    *["WatchEvent"] * 2,
+    "IssueCommentEvent",
+    "PullRequestReviewEvent",
+    "PullRequestReviewCommentEvent",
+    "CreateEvent",
+    "ForkEvent",
+    "ReleaseEvent",
+)
+
+
+def _one_of(values: tuple[str, ...], at: Column) -> Column:
+    """The ``at``-th value, counted from 0; a null or negative ``at`` gives the first."""
+    return F.element_at(F.array(*(F.lit(v) for v in values)), F.greatest(at, F.lit(0)).cast("int") + 1)
+
+
+def _text(c: Column) -> Column:
+    """A number as text, ``null`` for null."""
+    return F.coalesce(c.cast("string"), F.lit("null"))
+
+
 def _event_type(b: Column, k: Column) -> Column:
     return (
-        F.when(b < 6, "PushEvent")
-        .when(b < 9, "PullRequestEvent")
-        .when(b < 11, "IssuesEvent")
-        .when(b < 13, "WatchEvent")
-        .when(b == 13, "IssueCommentEvent")
-        .when(b == 14, "PullRequestReviewEvent")
-        .when(b == 15, "PullRequestReviewCommentEvent")
-        .when(b == 16, "CreateEvent")
-        .when(b == 17, "ForkEvent")
-        .when(b == 18, "ReleaseEvent")
+        F.when(b < 19, _one_of(_TYPES, b))
         .when(k % 4 == 0, "DeleteEvent")
         .when(k % 4 == 1, "CommitCommentEvent")
         .when(k % 4 == 2, "GollumEvent")
@@ -57,29 +73,41 @@ def _event_type(b: Column, k: Column) -> Column:
 
 
 def _payload(etype: Column, j: Column, k: Column) -> Column:
-    def with_action(action: Column) -> Column:
-        return F.format_string('{"action": "%s", "number": %d}', action, j)
+    def with_action(actions: tuple[str, ...], at: Column) -> Column:
+        # without a number there is no action either
+        action = F.when(j.isNull(), "null").otherwise(F.element_at(F.array(*(F.lit(a) for a in actions)), (at + 1).cast("int")))
+        return F.concat(F.lit('{"action": "'), action, F.lit('", "number": '), _text(j), F.lit("}"))
 
-    pr_action = F.element_at(F.array(*(F.lit(a) for a in ("opened", "closed", "merged", "reopened"))), (j % 4 + 1).cast("int"))
-    issue_action = F.element_at(F.array(*(F.lit(a) for a in ("opened", "closed", "labeled"))), (j % 3 + 1).cast("int"))
     return (
-        F.when(etype == "PullRequestEvent", with_action(pr_action))
-        .when(etype == "IssuesEvent", with_action(issue_action))
+        F.when(etype == "PullRequestEvent", with_action(("opened", "closed", "merged", "reopened"), j % 4))
+        .when(etype == "IssuesEvent", with_action(("opened", "closed", "labeled"), j % 3))
         .when(etype == "WatchEvent", F.lit('{"action":"started"}'))
         .when(
             etype.isin("IssueCommentEvent", "PullRequestReviewEvent", "PullRequestReviewCommentEvent"),
-            F.format_string('{"action":"created","comment":{"id":%d}}', j),
+            F.concat(F.lit('{"action":"created","comment":{"id":'), _text(j), F.lit("}}")),
         )
         .when(etype == "ForkEvent", F.lit('{"action":"forked"}'))
         .when(etype == "ReleaseEvent", F.lit('{"action":"published"}'))
-        .when(etype == "CommitCommentEvent", F.format_string('{"comment": {"id": %d, "action" : "created"}}', j))
-        .otherwise(F.format_string('{"size":%d}', k))
+        .when(etype == "CommitCommentEvent", F.concat(F.lit('{"comment": {"id": '), _text(j), F.lit(', "action" : "created"}}')))
+        .otherwise(F.concat(F.lit('{"size":'), _text(k), F.lit("}")))
     )
 
 
+def _object(id_: Column, *fields: tuple[str, Column]) -> Column:
+    """JSON text of an id, left out if null, and of text fields that need no escapes and aren't null."""
+    head = F.coalesce(F.concat(F.lit('{"id":'), id_.cast("string"), F.lit(",")), F.lit("{"))
+    parts = [head]
+    for i, (name, value) in enumerate(fields):
+        parts += [F.lit(f'{"," if i else ""}"{name}":"'), value, F.lit('"')]
+    return F.concat(*parts, F.lit("}"))
+
+
 def raw_events(events: DataFrame) -> DataFrame:
     """Raw event rows (all text, JSON objects as text) plus the archive hour they
-    belong to (``file_hour``, the hour of created_at)."""
+    belong to (``file_hour``, the hour of created_at).
+
+    Steps of few columns each: Spark compiles one projection to one method, and the JVM only
+    interprets a method that is too long."""
     k = F.get_json_object("props", "$.k").cast("long")
     base = events.select(
         "event_id",
@@ -89,60 +117,60 @@ def raw_events(events: DataFrame) -> DataFrame:
         (F.col("event_id") % 20).alias("b"),
         F.expr("event_id div 20").alias("j"),
     )
-    etype = _event_type(F.col("b"), F.col("k"))
-    uid = F.col("user_id")
+    uid, k = F.col("user_id"), F.col("k")
+    name = _text(uid)
     login = (
-        F.when(uid % 10 == 0, F.format_string("user%d[bot]", uid))
-        .when(uid % 10 == 1, F.format_string("user%dbot", uid))
-        .otherwise(F.format_string("user%d", uid))
+        F.when(uid % 10 == 0, F.concat(F.lit("user"), name, F.lit("[bot]")))
+        .when(uid % 10 == 1, F.concat(F.lit("user"), name, F.lit("bot")))
+        .otherwise(F.concat(F.lit("user"), name))
+    )
+    renamed = (uid % 7 == 0) & (F.col("ts") >= F.lit(ACTOR_RENAME_FROM).cast("timestamp_ntz"))
+    hot = k < 30
+    named = base.select(
+        "*",
+        _event_type(F.col("b"), k).alias("type"),
+        F.concat(F.when(renamed, F.lit("r-")).otherwise(F.lit("")), login).alias("login"),
+        F.when(hot, F.lit(0).cast("long")).otherwise(k % 40).alias("repo_id"),
+        F.when(hot, F.lit(0).cast("long")).when(k % 4 == 3, F.lit(None).cast("long")).otherwise(k % 7).alias("org_id"),
     )
-    login = F.when((uid % 7 == 0) & (F.col("ts") >= F.lit(ACTOR_RENAME_FROM).cast("timestamp_ntz")), F.concat(F.lit("r-"), login)).otherwise(login)
+    repo_id, org_id = F.col("repo_id"), F.col("org_id")
+    moved = (repo_id == RENAMED_REPO_ID) & (F.col("ts") >= F.lit(REPO_RENAME_FROM).cast("timestamp_ntz"))
+    named = named.select(
+        "*",
+        F.concat(F.when(moved, F.lit("org/renamed")).otherwise(F.lit("org/repo")), _text(repo_id)).alias("repo_name"),
+        F.concat(F.lit("org"), _text(org_id)).alias("org_login"),
+        _payload(F.col("type"), F.col("j"), k).alias("payload"),
+    )
+    login, repo_name, org_login = F.col("login"), F.col("repo_name"), F.col("org_login")
     actor = F.when(
         F.col("event_id") % 97 != 0,
-        F.to_json(
-            F.struct(
-                uid.alias("id"),
-                login.alias("login"),
-                login.alias("display_login"),
-                F.lit("").alias("gravatar_id"),
-                F.concat(F.lit("https://api.github.com/users/"), login).alias("url"),
-                F.format_string("https://avatars.githubusercontent.com/u/%d?", uid).alias("avatar_url"),
-            )
+        _object(
+            uid,
+            ("login", login),
+            ("display_login", login),
+            ("gravatar_id", F.lit("")),
+            ("url", F.concat(F.lit("https://api.github.com/users/"), login)),
+            ("avatar_url", F.concat(F.lit("https://avatars.githubusercontent.com/u/"), name, F.lit("?"))),
         ),
     )
-    repo_id = F.when(F.col("k") < 30, F.lit(0).cast("long")).otherwise(F.col("k") % 40)
-    repo_name = F.when(
-        (repo_id == RENAMED_REPO_ID) & (F.col("ts") >= F.lit(REPO_RENAME_FROM).cast("timestamp_ntz")),
-        F.format_string("org/renamed%d", repo_id),
-    ).otherwise(F.format_string("org/repo%d", repo_id))
-    repo = F.to_json(
-        F.struct(
-            repo_id.alias("id"),
-            repo_name.alias("name"),
-            F.concat(F.lit("https://api.github.com/repos/"), repo_name).alias("url"),
-        )
-    )
-    org_id = F.when(F.col("k") < 30, F.lit(0).cast("long")).when(F.col("k") % 4 == 3, F.lit(None).cast("long")).otherwise(F.col("k") % 7)
-    org_login = F.format_string("org%d", org_id)
+    repo = _object(repo_id, ("name", repo_name), ("url", F.concat(F.lit("https://api.github.com/repos/"), repo_name)))
     org = F.when(
         org_id.isNotNull(),
-        F.to_json(
-            F.struct(
-                org_id.alias("id"),
-                org_login.alias("login"),
-                F.lit("").alias("gravatar_id"),
-                F.concat(F.lit("https://api.github.com/orgs/"), org_login).alias("url"),
-                F.format_string("https://avatars.githubusercontent.com/u/%d?", org_id).alias("avatar_url"),
-            )
+        _object(
+            org_id,
+            ("login", org_login),
+            ("gravatar_id", F.lit("")),
+            ("url", F.concat(F.lit("https://api.github.com/orgs/"), org_login)),
+            ("avatar_url", F.concat(F.lit("https://avatars.githubusercontent.com/u/"), _text(org_id), F.lit("?"))),
         ),
     )
     copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return base.select(
+    return named.select(
         F.col("event_id").cast("string").alias("id"),
-        etype.alias("type"),
+        "type",
         actor.alias("actor"),
         repo.alias("repo"),
-        _payload(etype, F.col("j"), F.col("k")).alias("payload"),
+        "payload",
         F.lit(True).alias("public"),
         format_created_at("ts").alias("created_at"),
         org.alias("org"),
@@ -204,6 +232,5 @@ def damaged(raw: DataFrame) -> DataFrame:
 
 def archive_file_name(hour_ts: Column) -> Column:
     """``2024-01-05-7.json.gz``: archive naming, hour not padded."""
-    return F.format_string(
-        "%s-%d.json.gz", F.date_format(hour_ts, "yyyy-MM-dd"), F.hour(hour_ts)
-    )
+    day = F.coalesce(F.date_format(hour_ts, "yyyy-MM-dd"), F.lit("null"))
+    return F.concat(day, F.lit("-"), _text(F.hour(hour_ts)), F.lit(".json.gz"))
