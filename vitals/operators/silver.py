@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from vitals.functions.columns import detect_bot, extract_action, parse_created_at, partition_columns
-from vitals.functions.schemas import ACTOR_STRUCT, KNOWN_EVENT_TYPES, ORG_STRUCT, REPO_STRUCT
+from vitals.functions.schemas import ACTOR_STRUCT, EVENT_PARTITIONS, KNOWN_EVENT_TYPES, ORG_STRUCT, REPO_STRUCT
 
 INGESTION_COLUMNS = ("source_file", "ingestion_timestamp")
 
@@ -164,9 +164,15 @@ def events_projection(parsed: DataFrame, *more: str) -> DataFrame:
 
 def build_events(parsed: DataFrame) -> DataFrame:
     """Event fact: int64 id, flattened ids, partition strings; rows without id, actor
-    or repo dropped; one row per id (one shuffle, on id, of narrow rows)."""
-    facts = events_projection(parsed).dropna(subset=["id", "actor_id", "repo_id"])
-    return dedup_by_key(facts, "id")
+    or repo dropped; one row per id (one shuffle, on id, of narrow rows).
+
+    The rows without actor or repo are left out in the aggregate: a filter would be moved below the JSON decoding and
+    decode each row again. The partition strings follow from the time, so they needn't travel."""
+    facts = events_projection(parsed).drop(*EVENT_PARTITIONS)
+    others = [c for c in facts.columns if c != "id"]
+    whole = F.col("actor_id").isNotNull() & F.col("repo_id").isNotNull()
+    one = facts.groupBy("id").agg(F.min(F.when(whole, F.struct(*others))).alias("_row")).where("id is not null and _row is not null")
+    return one.select("id", *(F.col(f"_row.{c}").alias(c) for c in others)).select("*", *partition_columns("created_at"))
 
 
 def _dimension(
@@ -177,10 +183,13 @@ def _dimension(
     now: Column,
     bot_flag: bool = False,
 ) -> DataFrame:
-    rows = parsed.select(F.col(f"{struct_col}.*"), "created_at").where(F.col("id").isNotNull())
+    rows = parsed.select(F.col(f"{struct_col}.*"), "created_at")
     # Latest values of the version: taken from its newest event, ties broken by value.
     newest = F.max(F.struct(F.col("created_at").alias("_ts"), *(F.col(c) for c in latest_fields))).alias("_newest")
-    agg = rows.groupBy("id", track_col).agg(newest, F.min("created_at").alias("first_seen_at"))
+    agg = rows.groupBy("id", track_col).agg(newest, F.min("created_at").alias("first_seen_at"), F.count("id").alias("_ids"))
+    # rows without an id go after the aggregate (one group a task for each tracked value): a filter on the id
+    # would be moved below the JSON decoding and decode each row again
+    agg = agg.where("_ids > 0")
     cols = [F.col("id"), F.col(track_col)] + [F.col(f"_newest.{c}").alias(c) for c in latest_fields]
     if bot_flag:
         cols.append(F.coalesce(detect_bot(track_col), F.lit(False)).alias("is_bot"))
