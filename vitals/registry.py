@@ -31,7 +31,7 @@ from vitals.sources import export as X
 from vitals.sources import fixtures
 from vitals.sources import ledger as LG
 from vitals.sources import tables as TB
-from vitals.sources.lake import DerivedLake, ExtractLake, TableLake
+from vitals.sources.lake import DerivedLake, ExtractLake, StagedLake, TableLake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,7 @@ def serving_queries() -> dict[str, QueryFn]:
         "top_forked_repos": _ranged(Q.top_forked_repos),
         "top_open_repos_by_issues": _ranged(Q.top_open_repos, sort_by="issues"),
         "top_open_repos_by_prs": _ranged(Q.top_open_repos, sort_by="prs"),
-        "stars_vs_forks": _ranged(Q.stars_vs_forks),
+        "stars_vs_forks": lambda spark, d: Q.stars_vs_forks(StagedLake(spark, d), START, END),
         "star_engagement": _ranged(Q.star_engagement),
         "date_range": lambda spark, d: Q.date_range(_lake(spark, d)),
     }
@@ -314,11 +314,13 @@ def write_queries() -> dict[str, QueryFn]:
         return B.read_bronze_partitions(lake.bronze(), pending).select("id", "type", "year", "month", "day", "hour")
 
     def append_fact(spark, d):
-        events = _lake(spark, d).events()
+        events = StagedLake(spark, d).events()
         path = scratch_path(spark, "append")
         first = F.col("created_at") < F.lit(f"{LANDED_BEFORE} 00:00:00").cast("timestamp_ntz")
-        TB.append(events.where(first), path, ["year", "month", "day", "hour"])
-        TB.append(events.where(~first), path, ["year", "month", "day", "hour"])
+        hours = ["year", "month", "day", "hour"]
+        # rows of an hour come together first, or each task writes a file for each hour
+        TB.append(events.where(first).hint("rebalance", *hours), path, hours)
+        TB.append(events.where(~first).hint("rebalance", *hours), path, hours)
         from vitals.functions.schemas import SILVER_EVENTS_SCHEMA
 
         return spark.read.schema(SILVER_EVENTS_SCHEMA).option("basePath", path).parquet(path)
@@ -341,17 +343,15 @@ def write_queries() -> dict[str, QueryFn]:
         return lake.gold().drop("updated_at")
 
     def export_gold(spark, d):
-        lake = _lake(spark, d)
         out = scratch_path(spark, "extract")
-        paths = X.write_extract(lake, out, EXPORT_DAYS)
+        paths = X.write_extract(StagedLake(spark, d), out, EXPORT_DAYS)
         from vitals.sources.lake import GOLD_SCHEMA
 
         return spark.read.schema(GOLD_SCHEMA).parquet(paths["gold"]).drop("updated_at")
 
     def export_events(spark, d):
-        lake = _lake(spark, d)
         out = scratch_path(spark, "extract")
-        paths = X.write_extract(lake, out, EXPORT_DAYS)
+        paths = X.write_extract(StagedLake(spark, d), out, EXPORT_DAYS)
         return spark.read.parquet(paths["events"]).withColumn("date", F.col("date").cast("date"))
 
     def csv_download(spark, d):
@@ -483,7 +483,7 @@ def history_queries() -> dict[str, QueryFn]:
     def read_table_extract(spark, d):
         """A metric that reads events and a dimension, over the written extract."""
         out = scratch_path(spark, "extract")
-        X.write_extract(_lake(spark, d), out, EXPORT_DAYS)
+        X.write_extract(StagedLake(spark, d), out, EXPORT_DAYS)
         return Q.bot_vs_human(ExtractLake(spark, out), EXTRACT_FROM, END)
 
     return {
