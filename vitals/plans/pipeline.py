@@ -53,7 +53,9 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
 
 def land_rows(lake: TableLake, raw: DataFrame) -> None:
     """Raw rows with ``file_hour`` as landed bronze hours; an hour that is there is replaced."""
-    TB.replace_partitions(fixtures.bronze_of(raw, INGESTED_AT), lake.paths["bronze"], BRONZE_PARTITIONS)
+    # rows of an hour come together first, or each task writes a file for each hour
+    rows = fixtures.bronze_of(raw, INGESTED_AT).hint("rebalance", *BRONZE_PARTITIONS)
+    TB.replace_partitions(rows, lake.paths["bronze"], BRONZE_PARTITIONS)
 
 
 def in_hour(raw: DataFrame, hour: str) -> DataFrame:
