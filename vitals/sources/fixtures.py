@@ -106,8 +106,7 @@ def raw_events(events: DataFrame) -> DataFrame:
     """Raw event rows (all text, JSON objects as text) plus the archive hour they
     belong to (``file_hour``, the hour of created_at).
 
-    Steps of few columns each: Spark compiles one projection to one method, and the JVM only
-    interprets a method that is too long."""
+    In steps of few columns each, which keeps the generated methods short."""
     k = F.get_json_object("props", "$.k").cast("long")
     base = events.select(
         "event_id",
