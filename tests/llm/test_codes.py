@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from vitals.llm import vectors
+from vitals.llm.warc import base32_of, base32_sha1
 
 
 def test_estimates_from_stored_codes():
@@ -22,3 +26,15 @@ def test_estimates_from_stored_codes():
         na, nb, _ = vectors.block_links(a, None, 0, 0.9)
         linked = (x @ x.T >= 0.9).sum() - 300
         assert 0.99 * linked <= (na + nb).sum() <= linked
+
+
+def test_base32_of_digests_converts_each_digit_once(spark):
+    texts = [b"", b"a", b"<html></html>", bytes(range(256))]
+    digests = [hashlib.sha1(t).hexdigest() for t in texts] + ["0" * 40, "f" * 40, None]
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(digests)], "i int, d string")
+    coded = rows.select("i", base32_of(F.col("d")).alias("code"))
+    got = [r["code"] for r in coded.orderBy("i").collect()]
+    assert got == [*map(base32_sha1, texts), "A" * 32, "7" * 32, None]
+    # numbers of five hex digits: no text of bits is made and converted again for each letter
+    plan = coded._jdf.queryExecution().analyzed().toString()
+    assert ", 16, 10" in plan and ", 16, 2" not in plan and ", 2, 10" not in plan

@@ -330,8 +330,11 @@ def resolve(read: DataFrame) -> DataFrame:
     )
 
 
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
 def base32_of(hex_digest):
-    """Upper-case base32 of a 160-bit hex digest: its bits in groups of five."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(hex_digest, 10 * i + 1, 10), 16, 2), 40, "0") for i in range(4)])
-    letters = [F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(F.substring(bits, 5 * i + 1, 5), 2, 10).cast("int") + 1, F.lit(1)) for i in range(32)]
+    """Upper-case base32 of a 160-bit hex digest: five hex digits at a time are a number of four letters."""
+    numbers = [F.conv(F.substring(hex_digest, 5 * i + 1, 5), 16, 10).cast("int") for i in range(8)]
+    letters = [F.substring(F.lit(_LETTERS), F.shiftright(n, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for n in numbers for shift in (15, 10, 5, 0)]
     return F.when(hex_digest.isNotNull(), F.concat(*letters))
