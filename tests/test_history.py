@@ -260,3 +260,34 @@ def test_long_partition_lists_are_read_in_chunks(spark, monkeypatch):
     wanted = table.where("v <> 4").select("day", "hour")
     assert sorted(r["v"] for r in TB.in_partitions(table, wanted, ("day", "hour")).collect()) == [0, 1, 2, 3, 5, 6, 7, 8]
     assert TB.in_partitions(table, wanted.limit(0), ("day", "hour")).count() == 0
+
+
+# what a batch keeps in memory, and what it reads again
+def test_a_batch_stages_its_decoded_rows_and_keeps_narrow_ones(lake, monkeypatch):
+    staged, kept = [], []
+    frame = type(lake.spark.range(1))
+    stage, persist = J.TB.stage, frame.persist
+    monkeypatch.setattr(J.TB, "stage", lambda spark, df, name, *a: staged.append(name) or stage(spark, df, name, *a))
+    monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.schema) or persist(self, *a))
+    land(lake, "2024-05-01-2", star(1, "2024-05-01T02:00:00Z"), star(2, "2024-05-01T02:00:00Z"))
+    silver(lake)
+    assert staged.count("parsed") == 1
+    assert not [f.name for schema in kept for f in schema if f.dataType.typeName() == "struct"]
+    # the ids that another hour has published are looked up once
+    assert ["id"] in [schema.fieldNames() for schema in kept]
+
+
+def test_an_empty_index_takes_no_filters(spark, monkeypatch):
+    index = IdIndex(spark, scratch_path(spark, "test-index"))
+    monkeypatch.setattr("vitals.sources.id_index.filters_of", lambda *a: pytest.fail("filters of an empty index"))
+    assert index.lookup(spark.range(5)).count() == 0
+
+
+def test_partition_strings_of_the_surviving_delivery(spark):
+    rows = [(1, "2024-05-01 09:00:00", "b"), (1, "2024-05-01 02:30:00", "a"), (2, None, "a")]
+    facts = spark.createDataFrame(rows, "id long, at string, source string").select("id", F.col("at").cast("timestamp_ntz").alias("created_at"), "source")
+    facts = facts.select("id", "created_at", *J.SV.partition_columns("created_at"), "source")
+    one = J.SV.dedup_deliveries(facts)
+    assert one.columns == [*facts.columns, "sources"]
+    got = {r["id"]: (r["day"], r["hour"], r["source"], sorted(r["sources"])) for r in one.collect()}
+    assert got == {1: ("01", "02", "a", ["a", "b"]), 2: (None, None, "a", ["a"])}

@@ -127,10 +127,12 @@ def layout(df: DataFrame, cluster: list[str], buckets: DataFrame, n_partitions:
 
 def dedup_deliveries(facts: DataFrame, key: str = "id") -> DataFrame:
     """One row per ``key`` with ``source`` (the archive hour of the row that survives: the earliest, then the smallest) and
-    ``sources`` (all hours that delivered it: at most the hours of a batch). Combined map-side."""
-    order = ["created_at", *(c for c in facts.columns if c not in (key, "created_at", "source")), "source"]
+    ``sources`` (all hours that delivered it: at most the hours of a batch). Combined map-side; the partition strings of
+    a fact follow from its time, so they needn't travel."""
+    order = ["created_at", *(c for c in facts.columns if c not in (key, "created_at", "source", *EVENT_PARTITIONS)), "source"]
     one = facts.groupBy(key).agg(F.min(F.struct(*order)).alias("_row"), F.collect_set("source").alias("sources"))
-    return one.select(*(key if c == key else F.col(f"_row.{c}").alias(c) for c in facts.columns), "sources")
+    rows = one.select(key, *(F.col(f"_row.{c}").alias(c) for c in order), "sources")
+    return rows.select("*", *partition_columns("created_at")).select(*facts.columns, "sources")
 
 
 def salt_buckets(facts: DataFrame, cluster: list[str], rows_per_file: int) -> tuple[DataFrame, int]:

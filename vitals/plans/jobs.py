@@ -5,7 +5,7 @@ Silver batches
     pending hours are those whose files aren't the version that the ledger has last; they are packed into batches by the
     sizes of their files (``max_bytes``). Each batch, under its own number:
 
-    1. reads its hours alone and parses them once (persisted: four outputs derive from it; at most a batch);
+    1. reads its hours alone and parses them once (staged: four outputs derive from it; at most a batch);
        rows with something wrong go to ``_rejects/bronze/batch=`` with their reasons;
     2. keeps one row per id, and leaves out ids that another hour has published (``IdIndex``);
     3. of hours that were landed again, takes back what the older version brought (an id that a third hour also
@@ -138,8 +138,9 @@ def silver_from_bronze(lake: TableLake, bronze_rows: DataFrame, now: Column, on_
 
     ``batch`` names what the batch writes beside the tables; ``relanded`` are the archive hours in it whose older
     version was processed before."""
-    parsed = SV.parse_checked(bronze_rows).withColumn("source", LG.hour_key()).persist(StorageLevel.MEMORY_AND_DISK)
-    cached: list[DataFrame] = [parsed]
+    # staged, not cached: the decoded structs are wide, and each output reads few of their fields
+    parsed = TB.stage(lake.spark, SV.parse_checked(bronze_rows).withColumn("source", LG.hour_key()), "parsed")
+    cached: list[DataFrame] = []
     try:
         broken = _set_aside(lake, parsed, batch)
         if broken and on_violation == "fail":
@@ -153,7 +154,10 @@ def silver_from_bronze(lake: TableLake, bronze_rows: DataFrame, now: Column, on_
             known = known.where(~F.col("source").isin(relanded))
             retracted = index.of_sources(relanded, but=batch).where("published").select("id", "event_hour")
             revived = _revived(lake, retracted.join(unique, "id", "left_anti"), index, relanded, batch)
-        held = known.select("id").distinct()
+        # found once; its size is known to the joins that follow
+        held = known.select("id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(held)
+        held.count()
         new = unique.drop("sources", "source").join(held, "id", "left_anti")
         if revived is not None:
             new = new.unionByName(revived.drop("source"))

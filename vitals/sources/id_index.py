@@ -74,6 +74,8 @@ class IdIndex:
 
     def blocks_to_read(self, ids: DataFrame, but: str | None = None) -> list[tuple[str, int]]:
         """(batch, block) whose filter shares a bit with the filter of ``ids``. One short row a block comes back."""
+        if not TB.exists(self.spark, self._path("filters")):
+            return []
         stored = self._read("filters", FILTERS)
         if but is not None:
             stored = stored.where(F.col("batch") != but)
@@ -85,6 +87,8 @@ class IdIndex:
     def lookup(self, ids: DataFrame, but: str | None = None) -> DataFrame:
         """The stored deliveries of ``ids``, without those of generation ``but``; reads only the blocks that may hold them."""
         found = self.blocks_to_read(ids, but)
+        if not found:
+            return self._blocks(found)
         return self._blocks(found).join(ids.select("id").distinct(), "id", "left_semi")
 
     def _blocks(self, blocks: list[tuple[str, int]]) -> DataFrame:
