@@ -5,7 +5,8 @@ A document's set holds the 64-bit hashes of its distinct word shingles; sets x a
 hash. A linked pair shares all but t = |x| - ceil(percent * |x| / 100) tokens of x, so x's prefix is
 extended until no removal of t tokens can empty it of signatures:
 
-* a rare token is a signature by itself (removing it costs one);
+* a rare token is a signature by itself (removing it costs one); a set with rare tokens enough takes twice as many of them,
+  so that linked sets share many, and goes without those that most sets have (``spare``, ``_rarest``);
 * frequent tokens fall into classes by hash, and two tokens of one class together are a
   signature; a class of n tokens in the prefix resists n - 1 removals.
 
@@ -57,6 +58,8 @@ BITMAP_BITS = 25
 #: (sets from this size on, classes of frequent tokens)
 LEVELS = ((0, 1), (64, 16), (1024, 256), (16384, 4096))
 PIVOTS = 3
+#: Times that signatures are counted, each time among the sets that are left.
+COUNTS = 2
 #: Signatures with at most SMALL rows compare all of them at once.
 SMALL = 8
 #: 64-bit words of a set's parity sketch (a power of two), and prefix tokens looked back at for a pair's first one.
@@ -183,15 +186,27 @@ def levels(size: int, percent: int) -> list[int]:
     return out
 
 
+def needed(size: int, percent: int) -> int:
+    """Tokens of a set of which every linked set holds one at least."""
+    return size - ceil_share(size, percent) + 1
+
+
+def spare(size: int, rare: int, percent: int) -> int:
+    """How many of a set's signatures may be left out, those that most sets have. Of the prefixes of 2 * needed - 1 rare tokens of two
+    linked sets ``needed`` are shared, by the smaller set's number, and that set has percent of the size at least. If a set has fewer
+    rare tokens, all are signatures, and none is left out."""
+    return needed(ceil_share(size, percent), percent) - 1 if 1 < size and rare >= 2 * needed(size, percent) - 1 else 0
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The signatures of a set, given which of its sorted tokens are frequent."""
     size = len(tokens)
     if size < 2:
         return tokens[:0]  # links only with an equal set
-    need = size - ceil_share(size, percent) + 1
+    need = needed(size, percent)
     rare, often = tokens[~frequent], tokens[frequent]
     if len(rare) >= need:
-        return rare[:need]
+        return rare[: 2 * need - 1]
     out = [rare]
     for level in levels(size, percent):
         group = _mix(often) % np.uint64(LEVELS[level][1])
@@ -245,15 +260,16 @@ def _signatures(n: int, percent: int, shared):
     def run(batches):
         bits = shared.value
         for batch in batches:
-            sigs, sizes, sketches = [], [], []
+            sigs, sizes, sketches, spares = [], [], [], []
             for s in shingle_sets(texts(batch), n):
                 sizes.append(len(s))
                 sketches.append(sketch(s))
                 slot = (s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
-                sigs.append(signatures(s, (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1, percent).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "size", "sigs", "sketch"]
-            )
+                frequent = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                sigs.append(signatures(s, frequent, percent).view(np.int64))
+                spares.append(spare(len(s), len(s) - int(frequent.sum()), percent))
+            columns = [pa.array(sizes, pa.int32()), pa.array(spares, pa.int32()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "size", "spare", "sigs", "sketch"])
 
     return run
 
@@ -371,6 +387,29 @@ def _shared(posts: DataFrame) -> DataFrame:
     return posts.join(often, "sig", "left_semi").select("sig", "doc_id", "size")
 
 
+def _rarest(posts: DataFrame) -> DataFrame:
+    """Each set's signatures that other documents have too, without its ``spare`` commonest ones.
+
+    Signatures of one document come first in the order, so a set with many of its own has nothing left: it links with nothing.
+    Without such sets others' signatures are alone as well, hence the second count.
+    """
+    held = []
+    for turn in range(COUNTS):
+        if held:
+            posts = held[0].join(held[1], ["doc_id", "size"], "left_semi").select("doc_id", "size", "spare", "sig")
+        often = posts.groupBy("sig").agg(F.count("*").alias("m"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("sig", "m")
+        counted = stage(posts.join(often, "sig"), "join-counted")
+        discard(*held)
+        ranked = counted.groupBy("doc_id", "size").agg(F.min("spare").alias("spare"), F.array_sort(F.collect_set(F.struct("m", "sig"))).alias("ranked"))
+        kept = ranked.where(F.size("ranked") > F.col("spare"))
+        if turn + 1 < COUNTS:
+            held = [counted, stage(kept.select("doc_id", "size"), "join-kept")]
+    rarest = F.slice(F.col("ranked.sig"), F.lit(1), F.size("ranked") - F.col("spare"))
+    out = stage(kept.select("doc_id", "size", F.explode(rarest).alias("sig")), "join-shared")
+    discard(counted)
+    return out
+
+
 def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id."""
     spark = prepare(docs.sparkSession)
@@ -381,9 +420,9 @@ def jaccard_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # equal sets: the smallest id stands for all (min is combined map-side, so copies cost nothing)
     first = sized.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = first.select(F.col("rep").alias("doc_id")).distinct()
-    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, size int, sigs array<long>, sketch binary").where(F.size("sigs") > 0)
+    signed = rows.mapInArrow(_signatures(n, percent, shared), "doc_id long, size int, spare int, sigs array<long>, sketch binary").where(F.size("sigs") > 0)
     signed = stage(signed.join(reps, "doc_id", "left_semi"), "join-signed")
-    first_cut = stage(_shared(signed.select("doc_id", "size", F.explode("sigs").alias("sig"))), "join-shared")
+    first_cut = _rarest(signed.select("doc_id", "size", "spare", F.explode("sigs").alias("sig")))
     # sizes of a linked pair differ by a factor of 100 / percent at most: they meet in one of two neighbouring size classes
     bucket = F.floor(F.log("size") / (math.log(100 / percent) * 1.001)) if percent < 100 else F.col("size").cast("long")
     classed = first_cut.select(F.explode(F.array(bucket, bucket + 1)).alias("b"), "sig", "doc_id", "size").select(F.xxhash64("sig", "b").alias("sig"), "doc_id", "size")
