@@ -11,6 +11,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,27 @@ def test_batches_and_small_caches_encode_alike():
     assert list(enc.encode_all([])) == []
 
 
+def test_forms_of_a_word_pass_the_tokenizer_as_one_part():
+    enc, made = WordEncoder(queries.word_tokenizer()), []
+    make, enc.words.make = enc.words.make, lambda part: made.append(part) or make(part)
+    many = ["Größe größe, GRÖSSE", "größe. Größe... größe,,", "word Word WORD, word's ſ÷ Ÿes"] * 2
+    want = [enc.tok.encode(t, add_special_tokens=False).ids for t in many]
+    assert [a.tolist() for a in enc.encode_all(many, 30)] == want
+    assert sorted(made) == sorted(["größe", "grösse", "word", "", ",", ".", "...", ",,", "word's", "ſ÷", "Ÿes"])
+    assert [a.tolist() for a in enc.encode_all(pa.array([None, *many, None]))] == [[], *want, []]
+
+
+def test_small_batches_are_encoded_together():
+    rows_ = [(i, None if i % 5 == 3 else f"text {i:02}") for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows_]), pa.array([t for _, t in rows_])], names=["doc_id", "text"])
+    cut = [batch.slice(i, 5) for i in range(0, 40, 5)]
+    for most, n in ((1 << 20, 1), (2 * cut[0].nbytes + 8, 4), (1, 8)):
+        got = list(tokens._stretches(iter(cut), most))
+        assert len(got) == n
+        assert [r for ids, texts in got for r in zip(ids, texts.to_pylist(), strict=True)] == rows_
+    assert list(tokens._stretches(iter([]))) == []
+
+
 def test_mix_meets_targets(spark, sf):
     got = rows(queries.op2_mixing(spark, sf))
     assert sorted(key(r["doc_id"]) for r in got) == sorted(key(r[0]) for r in _docs())

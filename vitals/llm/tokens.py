@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from vitals.llm import rans
 from vitals.llm.bpe import encoder
-from vitals.llm.common import discard, prepare, rows_batches, stage, texts
+from vitals.llm.common import discard, prepare, rows_batches, stage
 
 BLOCK_TOKENS, LANES, CHECKPOINT, SCALE_BITS = 1 << 19, 4096, 64, 18
 
@@ -45,13 +45,31 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(c.split()[0], _P[c.split()[1]]) for c in ddl.split(", ")])
 
 
+def _stretches(batches, most_bytes: int = 1 << 23):
+    """(doc_ids, texts) of as many batches together as hold ``most_bytes`` at most: what the encoder knows is searched
+    once for each."""
+    held, size = [], 0
+
+    def joined():
+        return [i for b in held for i in b.column("doc_id").to_pylist()], pa.concat_arrays([b.column("text").cast(pa.large_string()) for b in held])
+
+    for batch in batches:
+        if held and size + batch.nbytes > most_bytes:
+            yield joined()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield joined()
+
+
 def _raw_blocks(path: str, end_id: int, block_tokens: int):
     def blocks(batches):
         enc, shard = encoder(path), TaskContext.get().partitionId()
         end = np.asarray([end_id], enc.dtype).tobytes()
         width, block, size, ids, lens, raw = np.dtype(enc.dtype).itemsize, 0, 0, [], [], []
-        for batch in batches:
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), enc.encode_all(texts(batch)), strict=True):
+        for doc_ids, texts in _stretches(batches):
+            for doc_id, found in zip(doc_ids, enc.encode_all(texts), strict=True):
                 data = found.tobytes() + end
                 n = len(data) // width
                 if size and size + n > block_tokens:
@@ -132,7 +150,8 @@ def write_tokens(
     base = shards.select("shard", (F.sum("n").over(W.orderBy("shard")) - F.col("n")).alias("base"))
     inner = raw.select("shard", "block", (F.sum("n_tokens").over(W.partitionBy("shard").orderBy("block")) - F.col("n_tokens")).alias("inner"))
     starts = inner.join(base, "shard").select("shard", "block", (F.col("base") + F.col("inner")).alias("start"))
-    coded = raw.join(starts, ["shard", "block"]).mapInArrow(_code(freq, bits, tokenizer, lanes, checkpoint), _BLOCK)
+    # a block is some 2**19 ids and its start a few bytes, so the starts travel and the ids stay
+    coded = raw.join(F.broadcast(starts), ["shard", "block"]).mapInArrow(_code(freq, bits, tokenizer, lanes, checkpoint), _BLOCK)
     coded.sortWithinPartitions("shard", "block").write.partitionBy("shard").parquet(f"{out}/blocks")
     discard(raw)
 
